@@ -137,22 +137,9 @@ def _words(table: pa.Table):
 
 
 def _chunk_tables(batches, limit: int):
-    held, size, part = [], 0, TaskContext.get().partitionId()
-    number = 0
-    for batch in batches:
-        at = 0
-        sizes = np.diff(flat(pa.chunked_array([batch.column("body")]))[1]).cumsum()
-        while at < batch.num_rows:
-            room = limit - size + (int(sizes[at - 1]) if at else 0)
-            to = max(at + 1, int(np.searchsorted(sizes, room, "right")))
-            held.append(batch.slice(at, to - at))
-            size += int(sizes[min(to, batch.num_rows) - 1]) - (int(sizes[at - 1]) if at else 0)
-            at = to
-            if size >= limit or at < batch.num_rows:
-                yield part << 24 | number, pa.Table.from_batches(held)
-                held, size, number = [], 0, number + 1
-    if held:
-        yield part << 24 | number, pa.Table.from_batches(held)
+    part = TaskContext.get().partitionId()
+    for number, table in enumerate(X.gathered(batches, limit)):
+        yield part << 24 | number, table
 
 
 def _digest(keys: np.ndarray) -> int:

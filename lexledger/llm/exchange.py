@@ -13,10 +13,11 @@ import math
 import tempfile
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .kernel import U64
+from .kernel import U64, flat
 
 #: Text bytes aimed at in a chunk, and text bytes of input for each bucket of keys.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
@@ -103,3 +104,21 @@ def settle(df: DataFrame) -> DataFrame:
     """Computed now and kept in the shared folder, so a lost executor costs no recomputation from the start."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def gathered(batches, limit: int, column: str = "body"):
+    """Arrow batches of a partition put together, or cut, to tables of about ``limit`` bytes of text."""
+    held, size = [], 0
+    for batch in batches:
+        at, end = 0, np.cumsum(np.diff(flat(pa.chunked_array([batch.column(column)]))[1]))
+        while at < batch.num_rows:
+            done = int(end[at - 1]) if at else 0
+            to = max(at + 1, int(np.searchsorted(end, limit - size + done, "right")))
+            held.append(batch.slice(at, to - at))
+            size += int(end[min(to, batch.num_rows) - 1]) - done
+            at = to
+            if size >= limit or at < batch.num_rows:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)

@@ -1,9 +1,13 @@
 """Queries of the training-data operators, with SQL where SQL can express them."""
 
+from .bpe import op4
+from .decontaminate import op6
 from .substring_dedup import op2
 
 QUERIES = {
     "op2_substring_dedup": op2,
+    "op4_byte_bpe": op4,
+    "op6_decontamination": op6,
 }
 
 ORACLE_SQL: dict[str, str] = {}
