@@ -2,12 +2,17 @@
 
 from .bpe import op4
 from .decontaminate import op6
+from .line_dedup import SQL as OP8_SQL
+from .line_dedup import op8
 from .substring_dedup import op2
 
 QUERIES = {
     "op2_substring_dedup": op2,
     "op4_byte_bpe": op4,
     "op6_decontamination": op6,
+    "op8_line_dedup": op8,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_line_dedup": OP8_SQL,
+}
