@@ -10,7 +10,7 @@
 The text itself is never shuffled, only word numbers (about two bytes a token) and distinct words. A word that fills a
 third of the corpus arrives once from each chunk.
 
-The scan is read twice (words, sequences) and must give the same rows in the same order both times: `stable` keeps a
+The scan is read twice (words, sequences) and must give the same rows in the same order both times: `exchange.stable` keeps a
 file scan as it is and settles anything else in the shared checkpoint folder first; a digest of each chunk is compared
 and a difference is an error, never a wrong answer.
 
@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import base64
 import functools
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +34,7 @@ from pyspark.sql import functions as F
 from . import exchange as X
 from .kernel import U64, flat, pieces, word_hashes
 
-CHUNK_BYTES = 24 << 20
+CHUNK_BYTES = 14 << 20
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 
 
@@ -108,13 +107,6 @@ def pretokens(data: np.ndarray, offsets: np.ndarray):
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def stable(docs: DataFrame) -> DataFrame:
-    """The same rows in the same order at every evaluation: a plain file scan, or else a checkpoint."""
-    plan = docs._jdf.queryExecution().optimizedPlan().toString()
-    nodes = {re.sub(r"^[\s:+\-]*", "", line).split(" ")[0] for line in plan.splitlines() if line.strip()}
-    return docs if all(re.match(r"Project|Filter|Relation", x) for x in nodes) else X.settle(docs)
-
-
 def _words(table: pa.Table):
     """Distinct words of a chunk in the order of their hashes: (hashes, bytes of each, number of each pre-token,
     first pre-token of each row)."""
@@ -125,8 +117,8 @@ def _words(table: pa.Table):
         part = data[lo : offsets[b]]
         s, e, f = pretokens(part, offsets[a : b + 1] - lo)
         hashes.append(word_hashes(part, s, e))
-        starts.append(s + lo)
-        ends.append(e + lo)
+        starts.append((s + lo).astype(np.int32 if offsets[-1] < 1 << 31 else np.int64))
+        ends.append((e + lo).astype(np.int32 if offsets[-1] < 1 << 31 else np.int64))
         first.append(f[1:] + first[-1][-1])
     if not hashes:
         return np.zeros(0, U64), [], np.zeros(0, np.int64), np.zeros(1, np.int64)
@@ -146,7 +138,7 @@ def _digest(keys: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(keys.tobytes()) >> 1
 
 
-WORDS = "bucket int, chunk bigint, digest bigint, words array<binary>"
+WORDS = "bucket int, chunk bigint, digest bigint, lengths binary, words binary"
 ANSWERS = "bucket int, chunk bigint, digest bigint, lengths binary, ids binary"
 
 
@@ -157,11 +149,21 @@ def _send_words(buckets: int, limit: int):
             cut = np.searchsorted(X.bucket_of(keys, 64, buckets), np.arange(buckets + 1)).tolist()
             for b, (x, y) in enumerate(zip(cut, cut[1:])):
                 if y > x:
-                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "digest": pa.array([_digest(keys)], pa.int64()), "words": pa.array([words[x:y]], pa.list_(pa.binary()))})
+                    own = words[x:y]
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "digest": pa.array([_digest(keys)], pa.int64()), "lengths": pa.array([_pack_sizes(list(map(len, own)))], pa.binary()), "words": pa.array([b"".join(own)], pa.binary())})
 
     return run
 
 
+def _pack_sizes(sizes) -> bytes:
+    x = np.asarray(sizes, np.uint32)
+    return b"\x01" + x.astype(np.uint8).tobytes() if not len(x) or x.max() < 256 else b"\x04" + x.tobytes()
+
+
+def _unpack_sizes(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8 if raw[0] == 1 else np.uint32, -1, 1).astype(np.int64)
+
+
 def _pack_numbers(x: np.ndarray) -> bytes:
     """Numbers by frequency rank: one byte below 192, two below 16,320, else four."""
     lead = np.where(x < 192, x, np.where(x < 192 + 63 * 256, 192 + ((x - 192) >> 8), 255)).astype(np.uint8)
@@ -232,20 +234,22 @@ def _token_bytes(name: str) -> list[bytes]:
 def _encode_bucket(name: str):
     def run(table: pa.Table) -> pa.Table:
         encode = _encoding(name)._encode_single_piece
-        lists = table["words"].combine_chunks()
-        lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
-        coded = lists.flatten().dictionary_encode()
+        sizes = [_unpack_sizes(x) for x in table["lengths"].to_pylist()]
+        ends = np.concatenate([np.zeros(1, np.int64), *sizes]).cumsum()
+        flat_words = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(b"".join(table["words"].to_pylist()))])
+        counts = list(map(len, sizes))
+        coded = flat_words.dictionary_encode()
         ids = [encode(w) for w in coded.dictionary.to_pylist()]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         pool = np.fromiter((i for x in ids for i in x), np.uint32, int(sizes.sum()))
         begin = np.concatenate(([0], np.cumsum(sizes)))
         which, at, lengths, out = coded.indices.to_numpy(), 0, [], []
-        for n in lists.value_lengths().to_pylist():
+        for n in counts:
             w = which[at : at + n]
             at += n
             size = sizes[w]
             shift = np.repeat(begin[w] - np.concatenate(([0], np.cumsum(size)[:-1])), size)
-            lengths.append(size.astype(np.uint32).tobytes())
+            lengths.append(_pack_sizes(size))
             got = pool[np.arange(int(size.sum())) + shift]
             out.append(got.astype(np.uint16).tobytes() if len(_token_bytes(name)) <= 65536 else got.tobytes())
         return pa.table({"bucket": table["bucket"], "chunk": table["chunk"], "digest": table["digest"], "lengths": pa.array(lengths, pa.binary()), "ids": pa.array(out, pa.binary())})
@@ -260,7 +264,7 @@ def _assemble(name: str, kept: int):
         answers = answers.sort_by("bucket")
         if len(set(docs["digest"].to_pylist()) | set(answers["digest"].to_pylist())) > 1:
             raise RuntimeError("the input gave other rows at its second reading; checkpoint it first")
-        size = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x, np.uint32).astype(np.int64) for x in answers["lengths"].to_pylist())])
+        size = np.concatenate([np.zeros(0, np.int64), *map(_unpack_sizes, answers["lengths"].to_pylist())])
         pool = np.concatenate([np.zeros(0, kind), *(np.frombuffer(x, kind) for x in answers["ids"].to_pylist())])
         head = np.array(docs["head"].to_pylist(), bool)
         bodies = docs["body"].to_pylist()
@@ -290,7 +294,7 @@ def _assemble(name: str, kept: int):
 def bpe(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", text: str = "text", keep: list[str] | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The kept columns with ids (array of int) and decoded (the bytes that the ids stand for)."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
-    docs = stable(docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("body")))
+    docs = X.stable(docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("body")))
     kept = len(keep)
     cols = "".join(f"k{i} {docs.schema[f'k{i}'].dataType.simpleString()}, " for i in range(kept))
     buckets = X.counts(X.measure(docs, "body"))[1]
