@@ -10,6 +10,7 @@ Chunk and bucket counts grow in proportion to the input, so memory for one Pytho
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 
 import numpy as np
@@ -122,3 +123,58 @@ def gathered(batches, limit: int, column: str = "body"):
                 held, size = [], 0
     if held:
         yield pa.Table.from_batches(held)
+
+
+def send(chunk: int, buckets: int, bits: int, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
+    """Messages of a chunk: its sorted keys, with what goes along, cut by bucket."""
+    cut = np.searchsorted(bucket_of(keys, bits, buckets), np.arange(buckets + 1))
+    rows = [(b, pack(keys[x:y], *(m[x:y] for m in more))) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
+    return messages([b for b, _ in rows], [chunk] * len(rows), [p for _, p in rows])
+
+
+def messages(buckets, chunks, payloads) -> pa.Table:
+    return pa.table({"bucket": pa.array(buckets, pa.int32()), "chunk": pa.array(chunks, pa.int32()), "payload": pa.array(payloads, pa.binary())})
+
+
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """From (key << 1 | wanted): distinct sorted keys, and flags: 1 wanted somewhere here, 2 here twice or more."""
+    v = np.sort(values)
+    k = v >> U64(1)
+    last = np.flatnonzero(np.append(k[1:] != k[:-1], True)) if len(k) else np.zeros(0, np.int64)
+    many = np.diff(last, prepend=-1) > 1
+    return k[last], (v[last] & U64(1)).astype(np.uint8) | many.astype(np.uint8) << 1
+
+
+def repeated(table: pa.Table) -> pa.Table:
+    """A bucket's reply: keys that are wanted and occur twice at least, told to every chunk that has them."""
+    got = [unpack(p, np.uint8) for p in table["payload"].to_pylist()]
+    v = np.sort(np.concatenate([k << U64(2) | f.astype(U64) for k, f in got]))
+    k = v >> U64(2)
+    at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    flags = np.bitwise_or.reduceat((v & U64(3)).astype(np.uint8), at)
+    twice = (np.diff(np.append(at, len(k))) > 1) | (flags & 2 > 0)
+    hot = k[at][twice & (flags & 1 > 0)]
+    return answer(table, [x[member(x, hot)] for x, _ in got])
+
+
+def answer(table: pa.Table, keys: list[np.ndarray]) -> pa.Table:
+    rows = [i for i, k in enumerate(keys) if len(k)]
+    at = pa.array(rows, pa.int64())
+    return pa.table({"bucket": table["bucket"].take(at), "chunk": table["chunk"].take(at), "payload": pa.array([pack(keys[i]) for i in rows], pa.binary())})
+
+
+def keys_of(answers: pa.Table) -> np.ndarray:
+    got = [unpack(p)[0] for p in answers["payload"].to_pylist()]
+    return np.sort(np.concatenate(got)) if got else np.zeros(0, U64)
+
+
+def stable(docs: DataFrame) -> DataFrame:
+    """The same rows in the same order at every evaluation: a plain file scan, or else a checkpoint.
+
+    The number of splits is pinned, as Spark would otherwise derive it from the executors present at the time."""
+    spark = docs.sparkSession
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {re.sub(r"^[\s:+\-]*", "", line).split(" ")[0] for line in plan.splitlines() if line.strip()}
+    return docs if all(re.match(r"Project|Filter|Relation", x) for x in nodes) else settle(docs)

@@ -2,6 +2,7 @@
 
 from .bpe import op4
 from .decontaminate import op6
+from .jaccard_join import op9
 from .line_dedup import SQL as OP8_SQL
 from .line_dedup import op8
 from .substring_dedup import op2
@@ -11,6 +12,7 @@ QUERIES = {
     "op4_byte_bpe": op4,
     "op6_decontamination": op6,
     "op8_line_dedup": op8,
+    "op9_jaccard_join": op9,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -33,12 +33,6 @@ def _texts(table):
         yield a, b, word_hashes(part, starts, ends), first
 
 
-def _send(chunk: int, buckets: int, bits: int, keys: np.ndarray, *more: np.ndarray) -> pa.Table:
-    cut = np.searchsorted(X.bucket_of(keys, bits, buckets), np.arange(buckets + 1))
-    rows = [(b, X.pack(keys[x:y], *(m[x:y] for m in more))) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
-    return pa.table({"bucket": pa.array([b for b, _ in rows], pa.int32()), "chunk": pa.array([chunk] * len(rows), pa.int32()), "payload": pa.array([p for _, p in rows], pa.binary())})
-
-
 def _probes(buckets: int, block: int, bits: int):
     def run(table: pa.Table) -> pa.Table:
         keys = []
@@ -46,42 +40,16 @@ def _probes(buckets: int, block: int, bits: int):
             h, at = rolling(words, first, block)
             start = np.repeat(first[:-1], np.diff(first))[at]
             keys.append((h >> U64(64 - bits)) << U64(1) | ((at - start) % block == 0).astype(U64))
-        v = np.sort(np.concatenate(keys)) if keys else np.zeros(0, U64)
-        k = v >> U64(1)
-        last = np.flatnonzero(np.append(k[1:] != k[:-1], True)) if len(k) else np.zeros(0, np.int64)
-        many = np.diff(last, prepend=-1) > 1
-        flags = (v[last] & U64(1)).astype(np.uint8) | many.astype(np.uint8) << 1
-        return _send(table["chunk"][0].as_py(), buckets, bits, k[last], flags)
+        keys, flags = X.distinct(np.concatenate(keys) if keys else np.zeros(0, U64))
+        return X.send(table["chunk"][0].as_py(), buckets, bits, keys, flags)
 
     return run
 
 
-def _anchors(table: pa.Table) -> pa.Table:
-    """Keys that a block has and that occur twice at least, told to every chunk that has them."""
-    got = [X.unpack(p, np.uint8) for p in table["payload"].to_pylist()]
-    v = np.sort(np.concatenate([k << U64(2) | f.astype(U64) for k, f in got]))
-    k = v >> U64(2)
-    at = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-    flags = np.bitwise_or.reduceat((v & U64(3)).astype(np.uint8), at)
-    twice = (np.diff(np.append(at, len(k))) > 1) | (flags & 2 > 0)
-    hot = k[at][twice & (flags & 1 > 0)]
-    return _answer(table, [x[X.member(x, hot)] for x, _ in got])
-
-
-def _answer(table: pa.Table, keys: list[np.ndarray]) -> pa.Table:
-    rows = [i for i, k in enumerate(keys) if len(k)]
-    return pa.table({"bucket": table["bucket"].take(rows), "chunk": table["chunk"].take(rows), "payload": pa.array([X.pack(keys[i]) for i in rows], pa.binary())})
-
-
-def _keys(answers: pa.Table) -> np.ndarray:
-    got = [X.unpack(p)[0] for p in answers["payload"].to_pylist()]
-    return np.sort(np.concatenate(got)) if got else np.zeros(0, U64)
-
-
 def _candidates(buckets: int, window: int, block: int, bits: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         first_keys, second = [np.zeros(0, U64)], [np.zeros(0, np.uint32)]
-        anchors = _keys(answers)
+        anchors = X.keys_of(answers)
         for _, _, words, first in _texts(table) if len(anchors) and table.num_rows else ():
             h, at = rolling(words, first, block)
             hit = np.zeros(len(words) + 1, np.int64)
@@ -93,8 +61,8 @@ def _candidates(buckets: int, window: int, block: int, bits: int):
             second.append((rolling(words, first, window, WORD_POWERS_2)[0][near] >> U64(32)).astype(np.uint32))
         keys, at, n = np.unique(np.concatenate(first_keys), return_index=True, return_counts=True)
         if not len(keys):
-            return pa.table({"bucket": pa.array([], pa.int32()), "chunk": pa.array([], pa.int32()), "payload": pa.array([], pa.binary())})
-        return _send(table["chunk"][0].as_py(), buckets, 62, keys, np.concatenate(second)[at], (n > 1).astype(np.uint8))
+            return X.messages([], [], [])
+        return X.send(table["chunk"][0].as_py(), buckets, 62, keys, np.concatenate(second)[at], (n > 1).astype(np.uint8))
 
     return run
 
@@ -111,12 +79,12 @@ def _repeats(table: pa.Table) -> pa.Table:
     twice = (np.diff(np.append(at, len(k))) > 1) | (np.maximum.reduceat(m, at) > 0)
     keep = twice[np.cumsum(new) - 1]
     k, who = k[keep], who[keep]
-    return _answer(table, [np.sort(k[who == i]) for i in range(len(got))])
+    return X.answer(table, [np.sort(k[who == i]) for i in range(len(got))])
 
 
 def _cut(window: int, kept: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        again = _keys(answers)
+        again = X.keys_of(answers)
         n_words, n_removed, spans_out, texts = [], [], [], []
         bodies = table["body"]
         for a, b, words, first in _texts(table):
@@ -152,7 +120,7 @@ def substring_dedup(docs: DataFrame, window: int = 35, text: str = "text", keep:
     bits = ANCHOR_BITS if total < 1 << 40 else 60
     base = X.chunked(docs, keep, text, chunks)
     chunk = lambda df: df.groupBy("chunk")
-    anchors = chunk(base).applyInArrow(_probes(buckets, block, bits), X.MESSAGE).groupBy("bucket").applyInArrow(_anchors, X.MESSAGE)
+    anchors = chunk(base).applyInArrow(_probes(buckets, block, bits), X.MESSAGE).groupBy("bucket").applyInArrow(X.repeated, X.MESSAGE)
     found = chunk(base).cogroup(chunk(anchors)).applyInArrow(_candidates(buckets, window, block, bits), X.MESSAGE)
     again = found.groupBy("bucket").applyInArrow(_repeats, X.MESSAGE)
     out = chunk(base).cogroup(chunk(again)).applyInArrow(
