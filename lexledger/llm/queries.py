@@ -3,16 +3,20 @@
 from .bpe import op4
 from .decontaminate import op6
 from .jaccard_join import op9
+from .langid import op10
 from .line_dedup import SQL as OP8_SQL
 from .line_dedup import op8
+from .quality import op1
 from .substring_dedup import op2
 
 QUERIES = {
+    "op1_quality_classifier": op1,
     "op2_substring_dedup": op2,
     "op4_byte_bpe": op4,
     "op6_decontamination": op6,
     "op8_line_dedup": op8,
     "op9_jaccard_join": op9,
+    "op10_language_id": op10,
 }
 
 ORACLE_SQL: dict[str, str] = {
