@@ -6,6 +6,7 @@ from .jaccard_join import op9
 from .langid import op10
 from .line_dedup import SQL as OP8_SQL
 from .line_dedup import op8
+from .neighbours import op7
 from .quality import op1
 from .substring_dedup import op2
 
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_substring_dedup": op2,
     "op4_byte_bpe": op4,
     "op6_decontamination": op6,
+    "op7_nearest_neighbours": op7,
     "op8_line_dedup": op8,
     "op9_jaccard_join": op9,
     "op10_language_id": op10,
