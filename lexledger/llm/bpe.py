@@ -304,7 +304,11 @@ def bpe(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", text: str =
     return X.renamed(out, keep, ["ids", "decoded"])
 
 
+def digests(out: DataFrame) -> DataFrame:
+    """doc_id, n_tokens, and the SHA-256 of the ids (decimal, joined by blanks) and of the decoded bytes."""
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op4(spark, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    out = bpe(docs, keep=["doc_id"])
-    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return digests(bpe(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), keep=["doc_id"]))

@@ -6,6 +6,7 @@ from .jaccard_join import op9
 from .langid import op10
 from .line_dedup import SQL as OP8_SQL
 from .line_dedup import op8
+from .lm import op3
 from .neighbours import op7
 from .quality import op1
 from .substring_dedup import op2
@@ -13,6 +14,7 @@ from .substring_dedup import op2
 QUERIES = {
     "op1_quality_classifier": op1,
     "op2_substring_dedup": op2,
+    "op3_lm_scoring": op3,
     "op4_byte_bpe": op4,
     "op6_decontamination": op6,
     "op7_nearest_neighbours": op7,
