@@ -10,12 +10,14 @@ from .lm import op3
 from .neighbours import op7
 from .quality import op1
 from .substring_dedup import op2
+from .suffix_dedup import op5
 
 QUERIES = {
     "op1_quality_classifier": op1,
     "op2_substring_dedup": op2,
     "op3_lm_scoring": op3,
     "op4_byte_bpe": op4,
+    "op5_suffix_dedup": op5,
     "op6_decontamination": op6,
     "op7_nearest_neighbours": op7,
     "op8_line_dedup": op8,
