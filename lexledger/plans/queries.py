@@ -403,3 +403,55 @@ query("logical_row_hash", """SELECT sha256(string_agg(j, chr(10) ORDER BY j) ||
     lambda spark, d: flow.logical_hash(star.read(spark, d, "nation"))
 )
 query("schema_fingerprint", "SELECT substr(sha256('r_regionkey:int;r_name:string'), 1, 16) AS fingerprint")(lambda spark, d: spark.createDataFrame([(flow.schema_fingerprint(star.read(spark, d, "region")),)], "fingerprint string"))
+
+
+# ---- grammar and streams --------------------------------------------------------------------------------------------
+
+
+def _publications(spark, d):
+    """A publication for each order, so that the grammar runs at the table's scale."""
+    o = star.read(spark, d, "orders")
+    kind = F.when(F.col("o_orderkey") % 3 == 0, "muy grave").otherwise("grave")
+    euros = F.translate(F.format_number(F.floor("o_totalprice"), 0), ",", ".")
+    act = F.format_string("Imponer a Sociedad %d, S.A., por la comisión de una infracción %s tipificada en el artículo 99, letra o), de la Ley 24/1988, de 28 de julio, por no comunicar el día 3 de marzo de 2007 sus operaciones, una multa por importe de %s euros.", F.col("o_custkey"), kind, euros)
+    xml = F.format_string("<documento><metadatos><identificador>BOE-A-2008-%d</identificador><titulo>Resolución por la que se publica la sanción</titulo><fecha_publicacion>20080110</fecha_publicacion><fecha_disposicion>20080102</fecha_disposicion></metadatos><texto><p class=\"parrafo\">Resolución de fecha 12 de diciembre de 2007, firme en vía administrativa:</p><p class=\"parrafo_2\">%s</p></texto></documento>", F.col("o_orderkey"), act)
+    return o.select(F.lit("star").alias("corpus"), F.concat(F.lit("/star/BOE-A-2008-"), F.col("o_orderkey").cast("string"), F.lit(".xml")).alias("path"), F.concat(F.lit("BOE-A-2008-"), F.col("o_orderkey").cast("string")).alias("boe_id"), F.encode(xml, "UTF-8").alias("content"))
+
+
+@query("xml_parse_documents", "SELECT 'BOE-A-2008-' || o_orderkey AS boe_id, CASE WHEN o_orderkey % 3 = 0 THEN 'VERY_SERIOUS' ELSE 'SERIOUS' END AS severity, 'Ley 24/1988' AS statute, '99.o' AS article, DATE '2007-03-03' AS conduct_start, CAST(floor(o_totalprice) AS DECIMAL(18,2)) AS amount, 'Sociedad ' || o_custkey || ', S.A' AS subject, DATE '2007-12-12' AS resolution FROM orders")
+def _parse(spark, d):
+    from lexledger.grammar.udf import parse_publications
+
+    p = parse_publications(_publications(spark, d)).select("publication.*")
+    one = p.select("boe_id", F.col("sanctioning_resolution_date").cast("date").alias("resolution"), F.explode("blocks").alias("b")).select("boe_id", "resolution", "b.*")
+    return one.select("boe_id", "severity", "statute", "article", F.col("conduct_start").cast("date").alias("conduct_start"), F.col("sanctions")[0]["amount"].alias("amount"), F.rtrim(F.col("sanctions")[0]["subject"], F.lit(".")).alias("subject"), "resolution")
+
+
+@query("assemble_tables", "SELECT 'cases' AS t, count(*) AS n FROM orders UNION ALL SELECT 'sanctions', count(*) FROM orders UNION ALL SELECT 'infringements', count(*) FROM orders UNION ALL SELECT 'respondents', count(DISTINCT o_custkey) FROM orders UNION ALL SELECT 'evidence', 7 * count(*) FROM orders UNION ALL SELECT 'events', 3 * count(*) FROM orders UNION ALL SELECT 'parse_issues', 0")
+def _assemble(spark, d):
+    from lexledger.plans.assembly import assemble, parsed_corpus
+
+    corpus = _publications(spark, d)
+    t = assemble(parsed_corpus(corpus), corpus, UNTIL)
+    out = None
+    for name in ("cases", "sanctions", "infringements", "respondents", "evidence", "events", "parse_issues"):
+        one = t[name].agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("t"), "n")
+        out = one if out is None else out.union(one)
+    return out
+
+
+@query("streaming_first_seen", "SELECT DISTINCT user_id, event_type FROM events")
+def _stream(spark, d):
+    from lexledger.streaming.incremental import first_seen
+
+    schema = star.read(spark, d, "events").schema
+    return first_seen(spark, spark.readStream.schema(schema).parquet(f"{d}/events.parq*"), ["user_id", "event_type"])
+
+
+@query("streaming_observed_state", "SELECT user_id, arg_max(event_type, ts) AS sha256, min(ts) AS first_observed_at, max(ts) AS observed_at FROM events GROUP BY 1")
+def _observed_state(spark, d):
+    from lexledger.streaming.incremental import observe_stream
+
+    schema = star.read(spark, d, "events").schema
+    source = spark.readStream.schema(schema).parquet(f"{d}/events.parq*").select("user_id", F.col("event_type").alias("sha256"), F.col("ts").alias("observed_at"))
+    return observe_stream(spark, source, "user_id").drop("changes")
