@@ -2,10 +2,10 @@
 
 A text is read as its lower-cased words, each ended by a blank, the last one by a line end: a byte stream. A byte is
 coded as a few binary decisions, by a Huffman tree for the two bytes before it (an escape leads to the order-0 tree),
-so likely bytes take few. Four predictors give each decision a log-odds: the tree's node itself (order 2), and nodes
-hashed with the 4 and 6 bytes before and with the word so far. They are added up with weights that a gate selects (how much the 6 bytes
-and the word have seen); within a text the weights are refined adaptively: after each of its blocks, which double in length,
-a damped Newton step moves them for the rest of that text. The log-probabilities of all decisions add to the score,
+so likely bytes take few. Four predictors give each decision a log-odds: the tree's node itself (order 2), and nodes hashed with
+the 4 and 6 bytes before and with the word so far. They are added up with weights that a gate selects (how much the
+6 bytes and the word have seen); within a text the weights are refined adaptively: after each of its blocks, which
+double in length, a damped Newton step moves them for the rest of that text. The log-probabilities of all decisions add to the score,
 total bits by total bytes is bits_per_byte.
 
 What is learned covers all training texts: token counts, byte trigrams for the trees, decision counts of all contexts
@@ -23,6 +23,7 @@ held out; repeated rows each get their row; without training texts the model is
 from __future__ import annotations
 
 import heapq
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from .quality import remainder
 U32 = np.uint32
 BLANK, END = 0x20, 0x0A
 #: The hashed contexts: so many bytes before, then the word so far; slots of their tables as powers of two.
-ORDERS, BITS = (4, 6), (20, 22, 22)
+ORDERS, BITS = (4, 6), (19, 21, 21)
 INPUTS, GATES = 5, 16
 CONTEXTS = 2048
 SHARE = 40
@@ -67,12 +68,15 @@ def stream(data: np.ndarray, offsets: np.ndarray):
 
 def before(out: np.ndarray, first: np.ndarray, most: int = 6) -> list[np.ndarray]:
     """The bytes 1 to ``most`` places before each byte; line ends before a text."""
-    n = len(first) - 1
-    doc = np.repeat(np.arange(n), np.diff(first))
-    at = np.arange(len(out)) + most * (doc + 1)
-    buf = np.full(len(out) + most * n, END, np.uint8)
-    buf[at] = out
-    return [buf[at - k] for k in range(1, most + 1)]
+    back = []
+    for k in range(1, most + 1):
+        x = np.empty_like(out)
+        x[k:], x[:k] = out[:-k], END
+        for j in range(k):  # the first bytes of each text
+            at = first[:-1] + j
+            x[at[at < first[1:]]] = END
+        back.append(x)
+    return back
 
 
 class Trees:
@@ -163,7 +167,7 @@ def word_so_far(out: np.ndarray, back: np.ndarray) -> np.ndarray:
 
 def slots(h: list[np.ndarray], at: np.ndarray, node: np.ndarray) -> list[np.ndarray]:
     key = node.astype(U32) * U32(0x85EBCA6B)
-    return [((x[at] ^ key) * U32(0xC2B2AE35)) >> U32(32 - b) for x, b in zip(h, BITS)]
+    return [(((x.take(at) ^ key) * U32(0xC2B2AE35)) >> U32(32 - b)).astype(np.int64) for x, b in zip(h, BITS)]
 
 
 # ---- token counts and trigrams -------------------------------------------------------------------------------------
@@ -177,34 +181,45 @@ def _token_keys(data: np.ndarray, offsets: np.ndarray):
     return word_hashes(low, starts, ends) >> U64(4), first
 
 
+def _pack_counts(keys: np.ndarray, n: np.ndarray) -> bytes:
+    small = not len(n) or int(n.max()) < 1 << 32
+    return (b"4" if small else b"8") + X.pack(keys, n.astype(U32 if small else U64))
+
+
+def _unpack_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = X.unpack(raw[1:], U32 if raw[:1] == b"4" else U64)
+    return keys, n.astype(U64)
+
+
 def _count(buckets: int):
     def run(batches):
         for table in X.gathered(batches, X.CHUNK_BYTES):
             data, offsets = flat(table["body"])
-            words, grams = [], np.zeros(1 << 24, np.int64)
+            words, seen = [], []
             for a, b in pieces(offsets):
                 part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 words.append(_token_keys(part, off)[0])
                 out, first = stream(part, off)
                 p1, p2 = before(out, first, 2)
-                np.add.at(grams, p2.astype(np.int64) << 16 | p1.astype(np.int64) << 8 | out, 1)
+                seen.append(np.unique(p2.astype(np.int32) << 16 | p1.astype(np.int32) << 8 | out, return_counts=True))
             keys, n = np.unique(np.concatenate([np.array([END_KEY] * table.num_rows, U64), *words]), return_counts=True)
             cut = np.searchsorted(X.bucket_of(keys, 60, buckets), np.arange(buckets + 1)).tolist()
-            rows = [(b, X.pack(keys[x:y], n[x:y].astype(U64))) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
-            some = np.flatnonzero(grams)
+            rows = [(b, _pack_counts(keys[x:y], n[x:y])) for b, (x, y) in enumerate(zip(cut, cut[1:])) if y > x]
+            some, at = np.unique(np.concatenate([np.zeros(0, np.int32), *(g[0] for g in seen)]), return_inverse=True)
+            grams = np.bincount(at, np.concatenate([np.zeros(0, np.int64), *(g[1] for g in seen)]), len(some))
             for j, (x, y) in enumerate(zip(*(lambda c: (c[:-1], c[1:]))(np.searchsorted(some, np.arange(17) << 20).tolist()))):
                 if y > x:
-                    rows.append((-1 - j, X.pack(some[x:y].astype(U64), grams[some[x:y]].astype(U64))))
+                    rows.append((-1 - j, _pack_counts(some[x:y].astype(U64), grams[x:y])))
             yield pa.RecordBatch.from_pydict({"bucket": pa.array([r[0] for r in rows], pa.int32()), "payload": pa.array([r[1] for r in rows], pa.binary())})
 
     return run
 
 
 def _total(table: pa.Table) -> pa.Table:
-    got = [X.unpack(p, U64) for p in table["payload"].to_pylist()]
+    got = [_unpack_counts(p) for p in table["payload"].to_pylist()]
     keys, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
     n = np.bincount(at, np.concatenate([g[1] for g in got]).astype(np.float64)).astype(U64)
-    return pa.table({"bucket": table["bucket"][:1], "total": pa.array([int(n.sum())], pa.int64()), "kinds": pa.array([len(keys)], pa.int64()), "payload": pa.array([X.pack(keys, n)], pa.binary())})
+    return pa.table({"bucket": table["bucket"][:1], "total": pa.array([int(n.sum())], pa.int64()), "kinds": pa.array([len(keys)], pa.int64()), "payload": pa.array([_pack_counts(keys, n)], pa.binary())})
 
 
 # ---- decision counts ------------------------------------------------------------------------------------------------
@@ -247,27 +262,31 @@ def _learn(block):
             for a, b in pieces(offsets, PIECE):
                 seen = True
                 step, where, *_ = _decisions(trees, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                np.add.at(table, step, U32(1))
-                bit = (step & 1).astype(np.int64)
+                table[: begin[1] * 2] += np.bincount(step, minlength=begin[1] * 2).astype(U32)
                 for t, x in enumerate(where, 1):
-                    np.add.at(table[begin[t] * 2 : begin[t + 1] * 2], (x.astype(np.int64) << 1) | bit, U32(1))
+                    np.add.at(table[begin[t] * 2 : begin[t + 1] * 2], (x << 1) | (step & 1), U32(1))
         part = TaskContext.get().partitionId()
         for i in range(begin[-1] // SLICE if seen else 0):
             own = table[i * SLICE * 2 : (i + 1) * SLICE * 2]
             if own.any():
-                yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "part": pa.array([part], pa.int32()), "payload": pa.array([own.astype(U64 if own.max() > 1 << 30 else U32).tobytes()], pa.binary())})
+                yield pa.RecordBatch.from_pydict({"slice": pa.array([i], pa.int32()), "part": pa.array([part], pa.int32()), "payload": pa.array([_squeeze(own)], pa.binary())})
 
     return run
 
 
+def _squeeze(counts: np.ndarray) -> bytes:
+    """Counts of a slice of the table, deflated: most are nought or small."""
+    return zlib.compress(counts.astype(U32 if counts.max() < 1 << 32 else U64).tobytes(), 1)
+
+
 def _wide(raw: bytes) -> np.ndarray:
+    raw = zlib.decompress(raw)
     return np.frombuffer(raw, U32 if len(raw) == SLICE * 8 else U64).astype(U64)
 
 
 def _add(table: pa.Table) -> pa.Table:
     total = sum(_wide(x) for x in table["payload"].to_pylist())
-    raw = total.astype(U32) if total.max() < 1 << 32 else total
-    return pa.table({"slice": table["slice"][:1], "part": table["part"][:1], "payload": pa.array([raw.tobytes()], pa.binary())})
+    return pa.table({"slice": table["slice"][:1], "part": table["part"][:1], "payload": pa.array([_squeeze(total)], pa.binary())})
 
 
 def _log_odds(table: pa.Table) -> pa.Table:
@@ -283,9 +302,9 @@ def _log_odds(table: pa.Table) -> pa.Table:
 def _inputs(model: dict, step: np.ndarray, where: list[np.ndarray]):
     """(log-odds of the predictors, gate) for each decision."""
     table, begin = model["table"], model["begin"]
-    codes = [table[step >> 1], *(table[begin[t] : begin[t + 1]][x] for t, x in enumerate(where, 1))]
+    codes = [table.take(step >> 1), *(table[begin[t] : begin[t + 1]].take(x) for t, x in enumerate(where, 1))]
     x = [(c >> 2).astype(np.float32) * np.float32(1 / 256) for c in codes]
-    gate = (codes[2] & 3) << 2 | (codes[3] & 3)
+    gate = ((codes[2] & 3) << 2 | (codes[3] & 3)).astype(np.int64)
     return x, gate
 
 
@@ -340,12 +359,14 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
     base = np.zeros(len(step), np.float32)
     weights = model["weights"].astype(np.float32)
     for k in range(INPUTS - 1):
-        base += weights[:, k][gate] * x[k]
-    base += weights[:, INPUTS - 1][gate] * np.float32(0.3)
+        base += weights[:, k].take(gate) * x[k]
+    base += weights[:, INPUTS - 1].take(gate) * np.float32(0.3)
     sign = (step & 1).astype(np.float32)
     doc = doc_of_byte[at]
     cut = np.searchsorted(block[at], np.arange(int(block[-1]) + 2))
-    total, moved, curve = np.zeros(n), np.zeros((INPUTS - 1, n), np.float32), np.full((INPUTS - 1, n), DAMP, np.float32)
+    # What adapts: the gain of the mixed log-odds, and the weight of the longest context.
+    moving = [base, x[2]]
+    total, moved, curve = np.zeros(n), np.zeros((2, n), np.float32), np.full((2, n), DAMP, np.float32)
     for b, (lo, hi) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
         if hi == lo:
             continue
@@ -355,19 +376,19 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
         z = base[lo:hi].copy()
         if b:
             size = np.diff(np.append(head, hi - lo))
-            for k in range(INPUTS - 1):
-                z += np.repeat(moved[k, own], size) * x[k][lo:hi]
+            for k in range(2):
+                z += np.repeat(moved[k, own], size) * moving[k][lo:hi]
         np.clip(z, -16, 16, out=z)
-        p = 1 / (1 + np.exp(-z))
         y = sign[lo:hi]
-        total[own] += np.add.reduceat(np.log(np.where(y > 0, p, 1 - p) + np.float32(1e-9)), head, dtype=np.float64)
+        p = 1 / (1 + np.exp(-z))
+        err = y - p
+        total[own] += np.add.reduceat(np.log(1 - np.abs(err) + np.float32(1e-9)), head, dtype=np.float64)
         if b + 2 < len(cut):
-            err, bend = y - p, p * (1 - p)
-            for k in range(INPUTS - 1):
-                v = x[k][lo:hi]
-                ev = err * v
+            bend = p * (1 - p)
+            for k in range(2):
+                v = moving[k][lo:hi]
                 curve[k, own] += np.add.reduceat(bend * v * v, head)
-                moved[k, own] += np.add.reduceat(ev, head) / curve[k, own]
+                moved[k, own] += np.add.reduceat(err * v, head) / curve[k, own]
             np.clip(moved, -0.4, 0.4, out=moved)
     return total / np.log(10), np.diff(first)
 
@@ -386,20 +407,20 @@ def _ask(buckets: int):
 def _reply(asked: pa.Table, counted: pa.Table) -> pa.Table:
     if not counted.num_rows or not asked.num_rows:
         return X.messages([], [], [])
-    known, n = X.unpack(counted["payload"][0].as_py(), U64)
+    known, n = _unpack_counts(counted["payload"][0].as_py())
     out = []
     for b, c, raw in zip(asked["bucket"].to_pylist(), asked["chunk"].to_pylist(), asked["payload"].to_pylist()):
         keys = X.unpack(raw)[0]
         keys = keys[X.member(keys, known)]
         if len(keys):
-            out.append((b, c, X.pack(keys, n[np.searchsorted(known, keys)])))
+            out.append((b, c, _pack_counts(keys, n[np.searchsorted(known, keys)])))
     return X.messages(*zip(*out)) if out else X.messages([], [], [])
 
 
 def _score(block, kept: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         model = block.value
-        got = [X.unpack(p, U64) for p in answers["payload"].to_pylist()]
+        got = [_unpack_counts(p) for p in answers["payload"].to_pylist()]
         known = np.concatenate([np.zeros(0, U64), *(g[0] for g in got)])
         count = np.concatenate([np.zeros(0, U64), *(g[1] for g in got)]).astype(np.float64)
         order = np.argsort(known)
@@ -438,7 +459,7 @@ def train(docs: DataFrame, body: str = "body", doc_id: str = "id", learns=None)
     counted = X.settle(rows.select("body").mapInArrow(_count(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(_total, COUNTED))
     sums = counted.filter("bucket >= 0").agg(F.sum("total").alias("n"), F.sum("kinds").alias("v")).first()
     # Byte trigrams: sixteen rows, bounded by the number of trigrams there are.
-    grams = [X.unpack(r.payload, U64) for r in counted.filter("bucket < 0").select("payload").collect()]
+    grams = [_unpack_counts(r.payload) for r in counted.filter("bucket < 0").select("payload").collect()]
     trees = Trees(np.concatenate([np.zeros(0, np.int64), *(g[0].astype(np.int64) for g in grams)]), np.concatenate([np.zeros(0), *(g[1].astype(float) for g in grams)]))
 
     apart = F.pmod(F.xxhash64(F.lit(40), "id"), F.lit(SHARE)) == 0
