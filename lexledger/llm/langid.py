@@ -140,6 +140,8 @@ def softmax(x: np.ndarray) -> np.ndarray:
 
 def _train(batches):
     rows = [r for b in batches for r in zip(b.column("rank").to_pylist(), b.column("lang").to_pylist(), b.column("vector").to_pylist())]
+    if not rows:
+        return
     rows.sort(key=lambda r: (r[0], r[1], r[2]))
     langs = sorted({r[1] for r in rows})
     code = {x: i for i, x in enumerate(langs)}
@@ -162,8 +164,9 @@ def _train(batches):
     w = weights(z, n).astype(np.float32)
     logits, y = np.array([x @ w[f] for f, x, _ in kept_back]), np.array([e[2] for e in kept_back])
     grid = np.geomspace(0.05, 20, 200)
-    loss = [-np.log(softmax(logits / t)[np.arange(len(y)), y] + 1e-12).mean() + 1e-4 * abs(np.log(t)) for t in grid]
-    yield pa.RecordBatch.from_pydict({"langs": pa.array([langs], pa.list_(pa.string())), "weights": pa.array([w.tobytes()], pa.binary()), "temperature": pa.array([float(grid[int(np.argmin(loss))])])})
+    loss = [0.0 if not len(y) else -np.log(softmax(logits / t)[np.arange(len(y)), y] + 1e-12).mean() + 1e-4 * abs(np.log(t)) for t in grid]
+    best = float(grid[int(np.argmin(loss))]) if len(y) else 1.0
+    yield pa.RecordBatch.from_pydict({"langs": pa.array([langs], pa.list_(pa.string())), "weights": pa.array([w.tobytes()], pa.binary()), "temperature": pa.array([best])})
 
 
 def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str = "text", learns=None) -> dict:
