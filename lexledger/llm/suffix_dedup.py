@@ -1,6 +1,6 @@
 """Suffix-array dedup of bytes by external induced sorting.
 
-Shards. Every window of ``window`` bytes has one *anchor*, the least of its 32-byte hashes (the leftmost, if equal), so
+Shards. Every window of ``window`` bytes has one *anchor*, the least of its 192-byte hashes (the leftmost, if equal), so
 equal windows have equal anchors at equal places. Neighbouring windows of one anchor form a segment. Segments whose
 anchor occurs once only can't repeat and stay home; the others go to the shard of their anchor, each distinct segment
 once from each chunk, with a mark if the chunk has it twice. Equal windows therefore meet in one shard, and a passage
@@ -10,8 +10,8 @@ In a shard the suffixes of all segments are sorted by induction. S*-substrings a
 of names is sorted to the depth that ``window`` bytes need, and bucket queues carry (suffix, common prefix with the
 suffix before) tuples: left to right for L-suffixes, then right to left for S-suffixes. The prefix of an induced suffix
 is one more than the least prefix passed since the last suffix induced into that bucket. The queues keep blocks in
-memory up to a limit and beyond it in a file in the shared folder, so a shard may exceed memory; shards are cut at
-anchors to PART suffixes where anchors allow. Window starts whose common prefix with a neighbouring window start
+memory up to a limit and beyond it in a file in the shared folder, so a shard may exceed memory; shards are sorted in
+parts of PART suffixes where anchors allow. Window starts whose common prefix with a neighbouring window start
 reaches ``window`` repeat; each chunk learns which windows of its segments do.
 
 Defined results: null text is empty; texts shorter than the window lose nothing; repeated rows are separate texts; a
@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 from . import exchange as X
 from .kernel import CHAR_POWERS, U64, _BYTE, flat, mix, runs
 
-GRAM = 32
+GRAM = 192
 PIECE = 1 << 18
-PART = 1 << 21
+PART = 1 << 20
+#: Text bytes of input for each shard.
+SHARD_BYTES = 4 << 20
 #: Queue memory of one shard before blocks go to disk.
 QUEUE_BYTES = 96 << 20
 
@@ -217,19 +219,24 @@ def _sorted_stars(t: np.ndarray, s: np.ndarray, star: np.ndarray, depth: int) ->
     return star[sa]
 
 
-def _common(t: np.ndarray, a: np.ndarray, b: np.ndarray, cap: int) -> np.ndarray:
-    """Common prefix of pairs of suffixes by comparing characters, up to ``cap``."""
-    out, live, n = np.zeros(len(a), np.int16), np.arange(len(a)), len(t)
-    at = 0
-    while len(live) and at < cap:
-        x, y = a[live] + at, b[live] + at
-        same = np.ones(len(live), bool)
-        for j in range(8):
-            same &= (np.maximum(x, y) + j < n) & (t[np.minimum(x + j, n - 1)] == t[np.minimum(y + j, n - 1)])
-            out[live[same]] += 1
-        live = live[same]
-        at += 8
-    return np.minimum(out, cap)
+class Common:
+    """Common prefixes of pairs of suffixes, up to ``cap``: binary search on 64-bit hashes of substrings."""
+
+    def __init__(self, t: np.ndarray, cap: int):
+        self.n, self.cap = len(t), cap
+        up, self.down = CHAR_POWERS.get(self.n + 1)
+        self.total = np.zeros(self.n + 1, U64)
+        np.cumsum(mix(t.astype(U64) + U64(1)) * up[: self.n], out=self.total[1:])
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        low = np.zeros(len(a), np.int64)
+        high = np.minimum(self.cap, self.n - np.maximum(a, b).astype(np.int64))
+        da, db, ta, tb = self.down[a], self.down[b], self.total[a], self.total[b]
+        while (low < high).any():
+            mid = (low + high + 1) >> 1
+            same = (self.total[a + mid] - ta) * da == (self.total[b + mid] - tb) * db
+            low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
+        return low.astype(np.int16)
 
 
 def sort_suffixes(t: np.ndarray, cap: int, folder: str | None = None, limit: int = QUEUE_BYTES):
@@ -240,7 +247,8 @@ def sort_suffixes(t: np.ndarray, cap: int, folder: str | None = None, limit: int
     s = _kinds(t)
     star = np.flatnonzero(s[1:] & ~s[:-1]) + 1
     order = _sorted_stars(t, s, star, cap).astype(np.int32)
-    prefix = np.append(np.zeros(1, np.int16), _common(t, order[:-1], order[1:], cap))[: len(order)]
+    common = Common(t, cap)
+    prefix = np.append(np.zeros(1, np.int16), common(order[:-1], order[1:]))[: len(order)]
     begin = np.searchsorted(t[order], np.arange(top + 1))
 
     def induce(queues: Queues, low: np.ndarray, place: np.ndarray, lcp: np.ndarray, want_s: bool) -> None:
@@ -283,7 +291,7 @@ def sort_suffixes(t: np.ndarray, cap: int, folder: str | None = None, limit: int
         left.append(tuple(np.concatenate(x) for x in zip(*got)) if got else (np.zeros(0, np.int32), np.zeros(0, np.int16)))
         if begin[c + 1] > begin[c]:
             place, lcp = order[begin[c] : begin[c + 1]], prefix[begin[c] : begin[c + 1]].copy()
-            lcp[0] = _common(t, left[c][0][-1:], place[:1], cap)[0] if len(left[c][0]) else 0
+            lcp[0] = common(left[c][0][-1:], place[:1])[0] if len(left[c][0]) else 0
             induce(queues, low, place, lcp, False)
     queues.close()
     queues, low = Queues(top, folder, limit), np.full(top, -1, np.int16)
@@ -299,7 +307,7 @@ def sort_suffixes(t: np.ndarray, cap: int, folder: str | None = None, limit: int
         if got:
             sp, sl = (np.concatenate(x) for x in zip(*got))
             if len(place):
-                seam = int(_common(t, place[-1:], sp[-1:], cap)[0])
+                seam = int(common(place[-1:], sp[-1:])[0])
         else:
             sp, sl = np.zeros(0, np.int32), np.zeros(0, np.int16)
         if len(place):
@@ -430,19 +438,20 @@ def _cut(window: int, kept: int):
 def suffix_dedup(docs: DataFrame, window: int = 400, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns with n_bytes, removed (byte spans, end exclusive), and kept (binary). Every byte covered by a
     string of ``window`` bytes that also starts elsewhere goes, first copy too."""
-    if window < 2 * GRAM:
-        raise ValueError(f"a window has {2 * GRAM} bytes at least")
+    if window <= GRAM:
+        raise ValueError(f"a window has more than {GRAM} bytes")
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     folder = X.checkpoint_dir(docs.sparkSession)
     # Queues spill to the shared folder where Python can open it; elsewhere shards stay in memory, cut to PART.
     folder = folder.removeprefix("file:").replace("///", "/") if folder.startswith(("file:", "/")) else None
     folder = "/" + folder.lstrip("/") if folder else None
-    chunks, buckets = X.counts(X.measure(docs, text))
+    chunks, buckets = X.counts(X.measure(docs, text), bucket_bytes=SHARD_BYTES)
     base = X.chunked(docs, keep, text, chunks)
     chunk = lambda df: df.groupBy("chunk")
     shared = chunk(base).applyInArrow(_anchors(buckets, window), X.MESSAGE).groupBy("bucket").applyInArrow(X.repeated, X.MESSAGE)
     sent = chunk(base).cogroup(chunk(shared)).applyInArrow(_send_segments(buckets, window), X.MESSAGE)
-    found = sent.groupBy("bucket").applyInArrow(_shard(window, folder), X.MESSAGE)
+    # Sorting is heavy for its bytes: one partition for each shard, which the adaptive planner does not merge.
+    found = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shard(window, folder), X.MESSAGE)
     out = chunk(base).cogroup(chunk(found)).applyInArrow(_cut(window, len(keep)), f"{X.kept_schema(docs, keep)}, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary".lstrip(", "))
     return X.renamed(out, keep, ["n_bytes", "removed", "kept"])
 
