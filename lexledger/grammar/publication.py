@@ -31,7 +31,7 @@ CLAUSE = re.compile(rf"(?:[,;.:]\s*(?:y\s+)?|\s+y\s+)(?:[a-zñ]\)\s*)?(?=(?:(?:{
 DURATION = re.compile(r"por\s+(?:un\s+)?(?:plazo|per[ií]odo|tiempo)\s+de\s+([^,.;»]{2,60})", re.IGNORECASE)
 SUCCESSOR = re.compile(r",?\s*como\s+sucesor[a-z]*\s+en\s+la\s+responsabilidad\s+declarad[ao]\s+de\s*(?P<name>[^:]*?)\s*(?=:|,\s*(?:una\b|\d)|\.?\s*$)", I)
 PERSON = re.compile(r"^(?:don|doña|dña|d\.)\s+", re.IGNORECASE)
-COMPANY = re.compile(r"(?:S\.?\s?A\.?U?|S\.?\s?L\.?U?|SGIIC|SGEIC|SGECR|SICAV|SV|AV|EAFI?|Limited|Ltd)\.?\)?$", re.IGNORECASE)
+COMPANY = re.compile(r"(?<!\w)(?:S\.?\s?A\.?U?|S\.?\s?L\.?U?|SGIIC|SGEIC|SGECR|SICAV|SV|AV|EAFI?|Limited|Ltd)\.?\)?$", re.IGNORECASE)
 ROLE = re.compile(r",\s*(?=(?:en\s+su\s+(?:calidad|condici[oó]n)\s+de|como\s+(?:consejer|administrador|director|president|apoderad)|consejer|administrador|director|president|secretari|apoderad|miembros?\b|directiv))", re.IGNORECASE)
 DATE = re.compile(r"(\d{1,2})\s+de\s+(" + "|".join(MONTHS) + r")\s+de\s+(\d{4})", re.IGNORECASE)
 FLAGS = {
@@ -171,6 +171,8 @@ def split_subjects(raw: str) -> list[str]:
         left, right = masked[: m.start()], masked[m.end() :]
         starts = re.match(r"(?:don|doña|dña|d\.)\s|su\s+\w|sus\s+\w|la\s+entidad\s", right, re.IGNORECASE)
         company = COMPANY.search(left.rstrip(" ,").replace("\x01", "").rstrip(" ,")) and re.match(r"[A-ZÁÉÍÓÚÑ]", right) and not COMPANY.fullmatch(re.split(r"[,;]|\sy\s", right)[0].strip())
+        if starts and re.match(r"\s*sus?\s", masked[cuts[-1][1] if cuts else 0 : m.start()], re.IGNORECASE):
+            continue
         again = re.search(r"\sa\s+$", m[0], re.IGNORECASE) and re.match(r"[A-ZÁÉÍÓÚÑ]", right)
         if (starts and not re.match(r"(?:consejer|administrador)", right, re.IGNORECASE)) or company or again:
             cuts.append((m.start(), m.end()))

@@ -198,7 +198,7 @@ def gate(name: str, violations: DataFrame) -> DataFrame:
 
 
 def release_gates(t: dict[str, DataFrame], built_at, fixtures: DataFrame | None = None) -> DataFrame:
-    """The checks of a release over the ledger's tables, as one row for each gate. All are violation queries."""
+    """The checks of a release over the ledger's tables as written, one row for each gate. All are violation queries."""
     docs, cases, inf, san, ev = t["documents"], t["cases"], t["infringements"], t["sanctions"], t["evidence"]
     fine = F.col("sanction_type") == "MONETARY_FINE"
     case_docs = cases.select("case_id", "canonical_boe_id")

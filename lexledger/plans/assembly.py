@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexledger.functions import ids, text
+from lexledger.functions.legal import appeal_status
 from lexledger.grammar.udf import parse_publications
 from lexledger.operators import dataflow as flow
+from lexledger.streaming.incremental import state_dir
 from lexledger.schemas import TABLES
 
 # Instruments (family, aliases, from, to) and rules (id, family, article, conduct) of the index.
@@ -56,6 +58,8 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
     """The ledger's tables. ``observed_at``: when this build saw its sources (naive UTC); ``observations``: (boe_id,
     sha256, notes, status, retrieval, first_observed_at, observed_at) of later notices."""
     spark = parsed.sparkSession
+    state_dir(spark)
+    parsed = parsed.checkpoint()  # parsed once, in the shared folder, for all tables
     at = F.lit(observed_at).cast("timestamp")
     case = F.concat(F.lit("CNMV-"), F.col("boe_id"))
     pubs = parsed.filter((F.col("document_kind") == "SANCTION_PUBLICATION") & (F.size("blocks") > 0) & F.col("boe_id").isNotNull())
@@ -72,8 +76,6 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
     n = lambda df, name: df.groupBy("case_id").agg(F.count(F.lit(1)).cast("int").alias(name))
     people = lines.filter("s.name IS NOT NULL")
     kinds = F.transform(F.coalesce("notes", F.array().cast("array<struct<kind:string,page:int,verbatim:string>>")), lambda x: x["kind"])
-    from lexledger.functions.legal import appeal_status
-
     appeal = seen.select("boe_id", appeal_status(F.col("retrieval"), kinds).alias("appeal"), "retrieval", F.col("sha256").alias("pdf_sha"), "observed_at")
     status = F.coalesce("appeal", F.lit("INCONCLUSIVE"))
     cases = (
@@ -93,7 +95,11 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
     for label, kind in states:
         firm = F.when(F.array_contains(kinds, kind), label).otherwise(firm)
     notes = seen.select(case.alias("case_id"), "observed_at", "sha256", F.explode("notes").alias("n")).select("case_id", "observed_at", "sha256", "n.*")
-    facts_of = lambda df, entity, rows: df.select("boe_id", "raw_sha256", "path", "corpus", F.col(entity).alias("entity_id"), "paragraph", "header", F.explode(F.array(*rows)).alias("f"))
+
+    def facts_of(df, entity, rows):
+        each = df.select("boe_id", "raw_sha256", "path", "paragraph", F.array(*[F.struct(F.col(entity).alias("entity_id"), *[x[c].alias(c) for c in ("kind", "name", "value", "excerpt", "method")]) for x in rows]).alias("fs"))
+        return each.select("boe_id", "raw_sha256", "path", "paragraph", F.explode("fs").alias("f"))
+
     fact = lambda kind, name, value, excerpt, method="DIRECT": F.struct(F.lit(kind).alias("kind"), F.lit(name).alias("name"), value.cast("string").alias("value"), excerpt.alias("excerpt"), F.lit(method).alias("method"))
     lined = lines.select("*", F.col("s.paragraph").alias("paragraph"), F.col("s.text").alias("header"))
     rows = facts_of(own, "infringement_id", [fact("infringement", "severity", F.col("severity"), F.col("header"), "NORMALIZED"), fact("infringement", "article", F.col("article_raw"), F.col("header")), fact("infringement", "conduct", F.col("conduct"), F.col("header"))])
@@ -125,7 +131,7 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
         "infringements": own.select("infringement_id", "case_id", "ordinal", "severity", "statute_raw", "article_raw", F.col("statute").alias("statute_normalized"), F.col("article").alias("article_normalized"), F.col("conduct").alias("conduct_raw"), F.col("conduct_start").cast("date").alias("conduct_start_date"), F.col("conduct_end").cast("date").alias("conduct_end_date"), F.coalesce("conduct_code", F.lit("UNKNOWN")).alias("conduct_code"), "rule_version_id", "rule_resolution_status", F.size("related").alias("n_related_provisions")),
         "related_provisions": own.select("infringement_id", "case_id", F.explode("related").alias("r")).select("infringement_id", "case_id", "r.statute_raw", "r.article_raw", F.col("r.statute").alias("statute_normalized"), F.col("r.article").alias("article_normalized"), F.lit("RELATED").alias("relation")),
         "sanctions": lines.select("sanction_id", "case_id", F.when(F.col("s.name").isNotNull(), F.col("respondent_id")).alias("respondent_id"), "infringement_id", "s.ordinal", F.col("s.type").alias("sanction_type"), "severity", "s.amount", "s.currency", "s.amount_raw", "s.duration_raw"),
-        "evidence": rows.select(F.col("f.kind").alias("fact_type"), "entity_id", F.col("f.name").alias("field_name"), F.col("boe_id").alias("document_id"), F.when(F.col("paragraph").isNotNull(), F.concat(F.lit("texto/p["), "paragraph", F.lit("]"))).alias("locator"), F.substr("f.excerpt", F.lit(1), F.lit(500)).alias("excerpt"), F.col("f.method").alias("extraction_method"), F.col("f.method").alias("confidence_type"), at.alias("observed_at"), F.lit("XML").alias("representation"), F.lit("PARAGRAPH").alias("locator_type"), F.col("raw_sha256").alias("artifact_sha256"), flow.proof_level(F.col("f.excerpt"), F.col("f.value"), F.col("paragraph_text"), F.col("raw_sha256"), F.col("raw_sha256")).alias("proof_level"), F.col("f.value").alias("raw_value")),
+        "evidence": rows.select(F.col("f.kind").alias("fact_type"), F.col("f.entity_id").alias("entity_id"), F.col("f.name").alias("field_name"), F.col("boe_id").alias("document_id"), F.when(F.col("paragraph").isNotNull(), F.concat(F.lit("texto/p["), "paragraph", F.lit("]"))).alias("locator"), F.substr("f.excerpt", F.lit(1), F.lit(500)).alias("excerpt"), F.col("f.method").alias("extraction_method"), F.col("f.method").alias("confidence_type"), at.alias("observed_at"), F.lit("XML").alias("representation"), F.lit("PARAGRAPH").alias("locator_type"), F.col("raw_sha256").alias("artifact_sha256"), flow.proof_level(F.col("f.excerpt"), F.col("f.value"), F.col("paragraph_text"), F.col("raw_sha256"), F.col("raw_sha256")).alias("proof_level"), F.col("f.value").alias("raw_value")),
         "parse_issues": parsed.select("boe_id", F.inline("issues")).unionByName(flow.later_entries(corpus, ["boe_id"], ["corpus", "path"]).select("boe_id", F.lit("DUPLICATE_DOCUMENT").alias("kind"), F.col("path").alias("detail"))),
         "review_items": spark.createDataFrame([], TABLES["review_items"]),
     }

@@ -188,7 +188,7 @@ c AS (SELECT p_partkey AS cand_id, p_brand AS block, lower(p_name || CASE WHEN p
 t AS (SELECT row_id, cand_id, r.k AS rk, c.k AS ck, len(list_intersect(list_distinct(string_split(r.k, ' ')), list_distinct(string_split(c.k, ' ')))) / len(list_distinct(list_concat(string_split(r.k, ' '), string_split(c.k, ' ')))) AS score FROM (SELECT DISTINCT * FROM r) r LEFT JOIN c USING (block)),
 g AS (SELECT *, count(*) FILTER (rk = ck) OVER (PARTITION BY row_id) AS n_exact, row_number() OVER (PARTITION BY row_id ORDER BY score DESC NULLS LAST, cand_id) AS place, lead(score) OVER (PARTITION BY row_id ORDER BY score DESC NULLS LAST, cand_id) AS second FROM t)
 SELECT row_id, CASE WHEN n_exact = 1 OR (score >= 0.85 AND (second IS NULL OR score > second)) THEN cand_id END AS cand_id,
-  CASE WHEN cand_id IS NULL THEN 'NO_DATE' WHEN n_exact = 1 THEN 'EXACT' WHEN score >= 0.85 AND (second IS NULL OR score > second) THEN 'JACCARD' ELSE 'UNRESOLVED' END AS method, round(CASE WHEN n_exact = 1 THEN 1.0 ELSE score END, 6) AS score
+  CASE WHEN cand_id IS NULL THEN 'NO_DATE' WHEN n_exact = 1 THEN 'EXACT' WHEN score >= 0.85 AND (second IS NULL OR score > second) THEN 'JACCARD' ELSE 'UNRESOLVED' END AS method, round(CASE WHEN n_exact = 1 THEN 1.0 WHEN cand_id IS NOT NULL THEN score END, 6) AS score
 FROM g WHERE CASE WHEN n_exact = 1 THEN rk = ck ELSE place = 1 END""")
 def _fuzzy(spark, d):
     parts = star.read(spark, d, "part")
