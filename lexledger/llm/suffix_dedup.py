@@ -89,7 +89,8 @@ def segments(data: np.ndarray, offsets: np.ndarray, window: int):
         head = np.flatnonzero(new)
         start, end = at[head], at[np.append(head[1:], len(at)) - 1] + window
         key = mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
-        yield gram[anchor[head]] >> U64(2), key >> U64(2), start + lo, end + lo
+        # Anchors are least hashes, so they crowd at the low end; mixed again, they spread over all shards.
+        yield mix(gram[anchor[head]] + U64(1)) >> U64(2), key >> U64(2), start + lo, end + lo
 
 
 def _of_chunk(table: pa.Table, window: int):
