@@ -4,15 +4,15 @@ A text is read as its lower-cased words, each ended by a blank, the last one by
 coded as a few binary decisions, by a Huffman tree for the two bytes before it (an escape leads to the order-0 tree),
 so likely bytes take few. Four predictors give each decision a log-odds: the tree's node itself (order 2), and nodes hashed with
 the 4 and 6 bytes before and with the word so far. They are added up with weights that a gate selects (how much the
-6 bytes and the word have seen); within a text the weights are refined adaptively: after each of its blocks, which
-double in length, a damped Newton step moves them for the rest of that text. The log-probabilities of all decisions add to the score,
-total bits by total bytes is bits_per_byte.
+6 bytes, the word and the 4 bytes have seen); within a text they are refined adaptively: after each of its blocks, which
+double in length, a damped Newton step moves the gain and two weights for the rest of that text. The log-probabilities
+of all decisions add to the score; total bits by total bytes is bits_per_byte.
 
 What is learned covers all training texts: token counts, byte trigrams for the trees, decision counts of all contexts
 (tables of fixed size; every task counts its own texts and sends its tables, so what is gathered grows with the
 input), and gate weights, by online gradient descent over a fixed share (1 in SHARE) of the training texts, which the
 decision counts leave out so that weights see unseen texts. Tables are summed in two levels and broadcast at a fixed
-size (about 12 MB). A text's score depends on the model and that text only.
+size (about 20 MB). A text's score depends on the model and that text only.
 
 Base score: unigrams with add-one over training tokens. Chunks ask the buckets for the counts of their distinct words.
 
@@ -38,15 +38,17 @@ from .quality import remainder
 U32 = np.uint32
 BLANK, END = 0x20, 0x0A
 #: The hashed contexts: so many bytes before, then the word so far; slots of their tables as powers of two.
-ORDERS, BITS = (4, 6), (19, 21, 21)
-INPUTS, GATES = 5, 16
+ORDERS, BITS = (4, 6), (20, 22, 22)
+INPUTS, GATES = 5, 64
 CONTEXTS = 2048
 SHARE = 40
 SLICE = 1 << 16
-PIECE = 1 << 18
+PIECE = 1 << 17
 ESCAPE = 256
 END_KEY = int(mix(np.array([0xE0D], U64))[0] >> U64(4))
-DAMP = 300.0
+DAMP = 150.0
+#: Decisions in a step of the gate weights' descent.
+STEP = 1000
 
 
 def stream(data: np.ndarray, offsets: np.ndarray):
@@ -104,6 +106,7 @@ class Trees:
         for m, seen in sorted(by.items()):
             self._grow(m, seen | {ESCAPE: 0.5})
         self.steps_array = np.array(self.steps, np.int32)
+        self.steps, self.begin, self.length, self.number = [], self.begin.astype(np.int32), self.length.astype(np.int16), self.number.astype(np.int16)
 
     def _grow(self, number: int, weight: dict[int, float]) -> None:
         heap = [(w, s, s) for s, w in weight.items()]
@@ -127,9 +130,10 @@ class Trees:
 
     def events(self, s: np.ndarray, p1: np.ndarray, p2: np.ndarray):
         """(decisions as node << 1 | bit, byte of each decision)."""
-        number = self.number[p2.astype(np.int64) << 8 | p1]
+        number = self.number.take(p2.astype(np.int64) << 8 | p1).astype(np.int64)
         code = number * 257 + s
-        unseen = (self.length[code] == 0) & (number > 0)
+        n = self.length.take(code)
+        unseen = (n == 0) & (number > 0)
         at = np.arange(len(s))
         if unseen.any():
             count = 1 + unseen
@@ -138,10 +142,10 @@ class Trees:
             head = np.cumsum(count)[unseen] - 2
             code[head] = number[unseen] * 257 + ESCAPE
             code[head + 1] = s[unseen]
-        n = self.length[code]
-        total = int(n.sum())
-        shift = np.repeat(self.begin[code] - np.concatenate(([0], np.cumsum(n)[:-1])) if len(n) else n, n)
-        return self.steps_array[np.arange(total) + shift], np.repeat(at, n)
+            n = self.length.take(code)
+        end = np.cumsum(n, dtype=np.int64)
+        shift = np.repeat(self.begin.take(code) - end + n, n)
+        return self.steps_array.take(np.arange(len(shift)) + shift), np.repeat(at, n)
 
 
 def hashes(back: list[np.ndarray]) -> list[np.ndarray]:
@@ -304,7 +308,7 @@ def _inputs(model: dict, step: np.ndarray, where: list[np.ndarray]):
     table, begin = model["table"], model["begin"]
     codes = [table.take(step >> 1), *(table[begin[t] : begin[t + 1]].take(x) for t, x in enumerate(where, 1))]
     x = [(c >> 2).astype(np.float32) * np.float32(1 / 256) for c in codes]
-    gate = ((codes[2] & 3) << 2 | (codes[3] & 3)).astype(np.int64)
+    gate = ((codes[2] & 3) << 4 | (codes[3] & 3) << 2 | (codes[1] & 3)).astype(np.int64)
     return x, gate
 
 
@@ -323,16 +327,16 @@ def _fit(block):
                 x, gate = _inputs(model, step, where)
                 x.append(np.full(len(step), 0.3, np.float32))
                 bit = (step & 1).astype(np.float64)
-                for i in range(0, len(step), 4000):
-                    g, y = gate[i : i + 4000], bit[i : i + 4000]
-                    own = np.stack([v[i : i + 4000] for v in x], 1)
+                for i in range(0, len(step), STEP):
+                    g, y = gate[i : i + STEP], bit[i : i + STEP]
+                    own = np.stack([v[i : i + STEP] for v in x], 1)
                     p = 1 / (1 + np.exp(-np.clip((w[g] * own).sum(1), -20, 20)))
                     err = (y - p)[:, None] * own
                     n = np.bincount(g, minlength=GATES)
                     d = np.stack([np.bincount(g, err[:, k], GATES) for k in range(INPUTS)], 1) / np.maximum(1, n)[:, None]
                     live = n > 0
                     grad2[live] += d[live] ** 2
-                    w[live] += 0.05 * d[live] / np.sqrt(grad2[live])
+                    w[live] += 0.1 * d[live] / np.sqrt(grad2[live])
                     seen += n
         yield pa.RecordBatch.from_pydict({"w": pa.array([(w * seen[:, None]).tobytes()], pa.binary()), "n": pa.array([seen.tobytes()], pa.binary()), "part": pa.array([TaskContext.get().partitionId()], pa.int32())})
 
@@ -364,9 +368,9 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
     sign = (step & 1).astype(np.float32)
     doc = doc_of_byte[at]
     cut = np.searchsorted(block[at], np.arange(int(block[-1]) + 2))
-    # What adapts: the gain of the mixed log-odds, and the weight of the longest context.
-    moving = [base, x[2]]
-    total, moved, curve = np.zeros(n), np.zeros((2, n), np.float32), np.full((2, n), DAMP, np.float32)
+    # What adapts: the gain of the mixed log-odds, and the weights of the longest context and the word.
+    moving = [base, x[2], x[3]]
+    total, moved, curve = np.zeros(n), np.zeros((3, n), np.float32), np.full((3, n), DAMP, np.float32)
     for b, (lo, hi) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
         if hi == lo:
             continue
@@ -376,7 +380,7 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
         z = base[lo:hi].copy()
         if b:
             size = np.diff(np.append(head, hi - lo))
-            for k in range(2):
+            for k in range(3):
                 z += np.repeat(moved[k, own], size) * moving[k][lo:hi]
         np.clip(z, -16, 16, out=z)
         y = sign[lo:hi]
@@ -385,7 +389,7 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
         total[own] += np.add.reduceat(np.log(1 - np.abs(err) + np.float32(1e-9)), head, dtype=np.float64)
         if b + 2 < len(cut):
             bend = p * (1 - p)
-            for k in range(2):
+            for k in range(3):
                 v = moving[k][lo:hi]
                 curve[k, own] += np.add.reduceat(bend * v * v, head)
                 moved[k, own] += np.add.reduceat(err * v, head) / curve[k, own]
