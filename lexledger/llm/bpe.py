@@ -294,6 +294,7 @@ def _assemble(name: str, kept: int):
 def bpe(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", text: str = "text", keep: list[str] | None = None, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """The kept columns with ids (array of int) and decoded (the bytes that the ids stand for)."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
+    X.small_batches(docs.sparkSession)
     docs = X.stable(docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("body")))
     kept = len(keep)
     cols = "".join(f"k{i} {docs.schema[f'k{i}'].dataType.simpleString()}, " for i in range(kept))

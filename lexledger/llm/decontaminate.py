@@ -194,6 +194,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 13, text:
     (words of the longest verbatim match) and n_hit."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     spark = docs.sparkSession
+    X.small_batches(spark)
     bench = benchmark.select(F.col(f"`{item_id}`").cast("string").alias("i"), F.col(f"`{item_text}`").cast("string").alias("t"))
     blocks = max(1, math.ceil(X.measure(bench, "t") / BLOCK_BYTES))
     out = docs.select(

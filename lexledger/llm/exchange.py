@@ -94,6 +94,13 @@ def member(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
     return among[at] == keys
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of texts of at most 2,000 rows and 16 MB, unless the session asks for others."""
+    for key, value in (("maxRecordsPerBatch", "2000"), ("maxBytesPerBatch", "16777216")):
+        if spark.conf.get(f"spark.sql.execution.arrow.{key}", None) is None:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", value)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder that the cluster names; a folder of our own only where none is set (tests)."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:

@@ -218,6 +218,7 @@ def _predict(block, kept: int):
 def predict(docs: DataFrame, model: dict, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns with lang_pred and score, its calibrated probability."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
+    X.small_batches(docs.sparkSession)
     block = docs.sparkSession.sparkContext.broadcast(model)
     base = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("body"))
     cols = "".join(f"k{i} {base.schema[f'k{i}'].dataType.simpleString()}, " for i in range(len(keep)))

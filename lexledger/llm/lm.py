@@ -455,6 +455,7 @@ def _score(block, kept: int):
 def train(docs: DataFrame, body: str = "body", doc_id: str = "id", learns=None) -> tuple[dict, DataFrame, int]:
     """(model, table of token counts, its buckets)."""
     spark = docs.sparkSession
+    X.small_batches(spark)
     rows = docs.filter(F.col(doc_id).isNotNull())
     if learns is not None:
         rows = rows.filter(learns(F.col(doc_id)))

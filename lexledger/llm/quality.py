@@ -140,6 +140,7 @@ def _score(block, kept: int):
 def score(docs: DataFrame, weights: np.ndarray, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """The kept columns with score, the probability of label 1."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
+    X.small_batches(docs.sparkSession)
     block = docs.sparkSession.sparkContext.broadcast(weights)
     base = docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("body"))
     return X.renamed(base.mapInArrow(_score(block, len(keep)), "".join(f"k{i} {base.schema[f'k{i}'].dataType.simpleString()}, " for i in range(len(keep))) + "score double"), keep, ["score"])
