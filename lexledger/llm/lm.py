@@ -5,7 +5,7 @@ coded as a few binary decisions, by a Huffman tree for the two bytes before it (
 so likely bytes take few. Four predictors give each decision a log-odds: the tree's node itself (order 2), and nodes hashed with
 the 4 and 6 bytes before and with the word so far. They are added up with weights that a gate selects (how much the
 6 bytes, the word and the 4 bytes have seen); within a text they are refined adaptively: after each of its blocks, which
-double in length, a damped Newton step moves the gain and two weights for the rest of that text. The log-probabilities
+double in length, a damped Newton step moves the gain and a weight for the rest of that text. The log-probabilities
 of all decisions add to the score; total bits by total bytes is bits_per_byte.
 
 What is learned covers all training texts: token counts, byte trigrams for the trees, decision counts of all contexts
@@ -41,7 +41,7 @@ BLANK, END = 0x20, 0x0A
 ORDERS, BITS = (4, 6), (20, 22, 22)
 INPUTS, GATES = 5, 64
 CONTEXTS = 2048
-SHARE = 40
+SHARE = 64
 SLICE = 1 << 16
 PIECE = 1 << 17
 ESCAPE = 256
@@ -368,9 +368,9 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
     sign = (step & 1).astype(np.float32)
     doc = doc_of_byte[at]
     cut = np.searchsorted(block[at], np.arange(int(block[-1]) + 2))
-    # What adapts: the gain of the mixed log-odds, and the weights of the longest context and the word.
-    moving = [base, x[2], x[3]]
-    total, moved, curve = np.zeros(n), np.zeros((3, n), np.float32), np.full((3, n), DAMP, np.float32)
+    # What adapts: the gain of the mixed log-odds, and the weight of the longest context.
+    moving = [base, x[2]]
+    total, moved, curve = np.zeros(n), np.zeros((2, n), np.float32), np.full((2, n), DAMP, np.float32)
     for b, (lo, hi) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
         if hi == lo:
             continue
@@ -380,7 +380,7 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
         z = base[lo:hi].copy()
         if b:
             size = np.diff(np.append(head, hi - lo))
-            for k in range(3):
+            for k in range(2):
                 z += np.repeat(moved[k, own], size) * moving[k][lo:hi]
         np.clip(z, -16, 16, out=z)
         y = sign[lo:hi]
@@ -389,7 +389,7 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
         total[own] += np.add.reduceat(np.log(1 - np.abs(err) + np.float32(1e-9)), head, dtype=np.float64)
         if b + 2 < len(cut):
             bend = p * (1 - p)
-            for k in range(3):
+            for k in range(2):
                 v = moving[k][lo:hi]
                 curve[k, own] += np.add.reduceat(bend * v * v, head)
                 moved[k, own] += np.add.reduceat(err * v, head) / curve[k, own]
