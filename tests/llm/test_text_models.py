@@ -95,23 +95,29 @@ def test_lm(docs, rows):
 
 @pytest.mark.parametrize("before", [10, 5])
 def test_lm_byte_probabilities(before):
-    """The 256 next bytes: together one without a tree for the bytes before; at most one with a tree, whose escape
-    also leads to bytes that the tree has itself."""
+    """The 256 next bytes have probability one together: without a tree for the bytes before directly, with a tree
+    after adding what its escape spends on bytes that the tree has itself."""
     keys = np.array([(10 << 16) | (10 << 8) | b for b in b"abc"], np.int64)
     trees = lm.Trees(keys, np.array([5.0, 3.0, 1.0]))
     begin = np.concatenate(([0], np.cumsum(lm._table_sizes(trees))))
     rng = np.random.default_rng(0)
     table = (rng.integers(-900, 900, begin[-1]) * 4 + rng.integers(0, 4, begin[-1])).astype(np.int16)
     model = {"trees": trees, "table": table, "begin": begin}
-    total = 0.0
-    for b in range(256):
-        out, back = np.array([b], np.uint8), [np.array([before], np.uint8)] * 6
-        h = [*lm.hashes(back), np.zeros(1, np.uint32)]
-        step, at = trees.events(out, back[0], back[1])
-        x, _ = lm._inputs(model, step, lm.slots(h, at, step >> 1))
+    back = [np.array([before], np.uint8)] * 6
+    h = [*lm.hashes(back), np.zeros(1, np.uint32)]
+
+    def probability(step):
+        x, _ = lm._inputs(model, step, lm.slots(h, np.zeros(len(step), np.int64), step >> 1))
         z = sum(0.3 * v.astype(float) for v in x)
-        total += float(np.prod(np.where(step & 1, 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(z)))))
-    assert total == pytest.approx(1.0, abs=1e-9) if before == 5 else 0.5 < total <= 1
+        return float(np.prod(np.where(step & 1, 1 / (1 + np.exp(-z)), 1 / (1 + np.exp(z)))))
+
+    path = lambda code: trees.steps_array[trees.begin[code] : trees.begin[code] + trees.length[code]]
+    total = sum(probability(trees.events(np.array([b], np.uint8), back[0], back[1])[0]) for b in range(256))
+    if before == 10:
+        wasted = sum(probability(np.concatenate([path(257 + lm.ESCAPE), path(b)])) for b in b"abc")
+        assert 0 < wasted < 1
+        total += wasted
+    assert total == pytest.approx(1.0, abs=1e-9)
 
 
 def test_lm_score_depends_on_its_text_only():
