@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from . import exchange as X
 from .kernel import U64, flat, pieces, word_hashes
 
-CHUNK_BYTES = 14 << 20
+CHUNK_BYTES = 10 << 20
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from . import exchange as X
 from .kernel import LOWER, U64, cover, flat, runs, spans, word_hashes
 
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 5 << 20
 BLOCK_BYTES = 32 << 20
 
 # A word is a run of digits, lower-case letters (after lower-casing A-Z) and bytes of characters beyond ASCII.
