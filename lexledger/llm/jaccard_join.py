@@ -257,7 +257,7 @@ def _sets(words: int):
         for batch in batches:
             sent, rows, raw = set(), [], []
             for i, items in enumerate(shingle_sets(*flat(pa.chunked_array([batch.column("body")])), words)):
-                key = batch.column("a")[i].as_py()
+                key = batch.column("a")[i].as_py(), batch.column("task")[i].as_py()
                 if key not in sent:
                     sent.add(key)
                     rows.append(i)
@@ -342,11 +342,13 @@ def jaccard_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, doc_id
     tasks = spread.select("a", "t", "root", "block", "blocks", other).select(
         "a", F.col("t").alias("t2"), task.alias("task"), F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side")
     )
+    # A pair of blocks is a group of its own, so a large component's many tasks are never held together.
     groups = max(6, total // 4096)
+    bucket = F.when(F.col("side") == 2, F.pmod("task", F.lit(groups))).otherwise(F.col("task"))
     found = (
         keyed.select("t", "body").join(tasks, F.col("t") == F.col("t2")).select("a", "task", "side", "body")
         .mapInArrow(_sets(words), "a bigint, task bigint, side int, items binary")
-        .withColumn("bucket", F.pmod("task", F.lit(groups))).groupBy("bucket").applyInArrow(_verify(threshold), "u bigint, v bigint, n bigint")
+        .withColumn("bucket", bucket).groupBy("bucket").applyInArrow(_verify(threshold), "u bigint, v bigint, n bigint")
     )
     found = X.settle(found)
     label = components(found.select("u", "v"))

@@ -126,6 +126,26 @@ def test_jaccard_large_group(spark, tmp_path):
     assert [r.n_links for r in got] == degree
 
 
+@pytest.mark.parametrize("limit", ["BLOCK_SETS", "BLOCK_ITEMS"])
+def test_jaccard_several_blocks(spark, tmp_path, monkeypatch, limit):
+    """Every pair of a component of several blocks is compared, whatever block pair comes first in a batch."""
+    monkeypatch.setattr(jaccard_join, limit, {"BLOCK_SETS": 16, "BLOCK_ITEMS": 2000}[limit])
+    rng = np.random.default_rng(4)
+    data = []
+    for i in range(120):
+        w = [f"w{k}" for k in range(120)]
+        w[int(rng.integers(0, 120))] = f"u{i}"
+        data.append((i, " ".join(w)))
+    data += [(120 + i, data[i][1]) for i in range(3)]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(data, "doc_id bigint, text string").repartition(2).write.parquet(path)
+    sets = [s for _, s in sets_of(data)]
+    degree = [sum(len(a & b) >= 0.8 * len(a | b) - 1e-12 for b in set(sets) - {a}) for a in sets]
+    got = sorted(jaccard_join.jaccard_join(spark.read.parquet(path)).collect(), key=lambda r: r.id)
+    assert {r.class_id for r in got} == {0}
+    assert [r.n_links for r in got] == degree
+
+
 def test_empty(empty):
     assert substring_dedup.substring_dedup(empty, 35, keep=["doc_id"]).collect() == []
     assert suffix_dedup.suffix_dedup(empty, keep=["doc_id"]).collect() == []
