@@ -61,7 +61,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, window: int):
     for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
         while b - a >= window:
             e = min(b, a + PIECE + window - 1)
-            if bounds and bounds[-1][-1][1] - bounds[-1][0][0] + e - a <= PIECE + window:
+            if bounds and e - bounds[-1][0][0] <= PIECE + window:  # skipped short texts between count too
                 bounds[-1].append((a, e))
             else:
                 bounds.append([(a, e)])
@@ -72,6 +72,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, window: int):
         lo, hi = group[0][0], group[-1][1]
         part = data[lo:hi]
         n = len(part)
+        assert n < 1 << 20, "places have 20 bits"
         up, down = CHAR_POWERS.get(n + 1)
         total = np.zeros(n + 1, U64)
         np.cumsum(_BYTE[part] * up[:n], out=total[1:])

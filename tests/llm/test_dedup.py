@@ -49,6 +49,33 @@ def test_suffix(docs, rows, window):
     assert Counter((r.doc_id, r.n_bytes, sum(s.end - s.start for s in r.removed), bytes(r.kept)) for r in got) == want
 
 
+def suffix_by_hand(texts, window):
+    counts = Counter(t[i : i + window] for t in texts for i in range(len(t) - window + 1))
+    out = []
+    for t in texts:
+        gone = np.zeros(len(t) + 1, int)
+        for k in range(len(t) - window + 1):
+            if counts[t[k : k + window]] > 1:
+                gone[k] += 1
+                gone[k + window] -= 1
+        out.append(bytes(np.frombuffer(t, np.uint8)[~(np.cumsum(gone)[: len(t)] > 0)]))
+    return out
+
+
+def test_suffix_after_many_short_texts(spark, tmp_path, monkeypatch):
+    """A long text after 1.5 MB of texts shorter than the window meets its copy before them."""
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage = word(3000)
+    texts = [word(500) + passage, *(word(300) for _ in range(5000)), word(900) + passage + word(200)]
+    monkeypatch.setattr(suffix_dedup.X, "counts", lambda *a, **k: (1, 1))
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1).sortWithinPartitions("doc_id").write.parquet(path)
+    got = {r.doc_id: bytes(r.kept) for r in suffix_dedup.suffix_dedup(spark.read.parquet(path)).collect()}
+    assert [got[i] for i in range(len(texts))] == suffix_by_hand([t.encode() for t in texts], 400)
+    assert len(got[0]) == 500
+
+
 @pytest.mark.parametrize("limit", [1 << 30, 64])
 def test_induced_sorting(limit, tmp_path):
     rng = np.random.default_rng(1)
