@@ -4,14 +4,16 @@ Shards. Every window of ``window`` bytes has one *anchor*, the least of its 192-
 equal windows have equal anchors at equal places. Neighbouring windows of one anchor form a segment. Segments whose
 anchor occurs once only can't repeat and stay home; the others go to the shard of their anchor, each distinct segment
 once from each chunk, with a mark if the chunk has it twice. Equal windows therefore meet in one shard, and a passage
-that a third of the corpus shares arrives once from each chunk.
+that a third of the corpus shares arrives once from each chunk. An anchor whose segments have more than PART bytes
+together is *hot* (a shared passage amid ever different surroundings): its segments are not sorted, but the 62-bit hash
+of each of their windows goes, once from each chunk, to one of all buckets, so a hot anchor spreads over all of them.
 
 In a shard the suffixes of all segments are sorted by induction. S*-substrings are named by sorting, the reduced string
 of names is sorted to the depth that ``window`` bytes need, and bucket queues carry (suffix, common prefix with the
 suffix before) tuples: left to right for L-suffixes, then right to left for S-suffixes. The prefix of an induced suffix
-is one more than the least prefix passed since the last suffix induced into that bucket. The queues keep blocks in
-memory up to a limit and beyond it in a file in the shared folder, so a shard may exceed memory; shards are sorted in
-parts of PART suffixes where anchors allow. Window starts whose common prefix with a neighbouring window start
+is one more than the least prefix passed since the last suffix induced into that bucket. Prefixes of S*-suffixes come
+from binary search on 64-bit hashes, not from recursion. A shard is sorted in parts of at most PART suffixes, each
+in memory; the queues would go on to a file in the shared folder beyond QUEUE_BYTES, which such parts never reach. Window starts whose common prefix with a neighbouring window start
 reaches ``window`` repeat; each chunk learns which windows of its segments do.
 
 Defined results: null text is empty; texts shorter than the window lose nothing; repeated rows are separate texts; a
@@ -29,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange as X
-from .kernel import CHAR_POWERS, U64, _BYTE, flat, mix, runs
+from .kernel import CHAR_POWERS, U64, _BYTE, flat, mix, pieces, runs
 
 GRAM = 192
 PIECE = 1 << 18
@@ -103,17 +105,52 @@ def _of_chunk(table: pa.Table, window: int):
 
 def _anchors(buckets: int, window: int):
     def run(table: pa.Table) -> pa.Table:
-        keys, flags = X.distinct(_of_chunk(table, window)[2] << U64(1) | U64(1))
-        return X.send(table["chunk"][0].as_py(), buckets, 62, keys, flags)
+        _, _, anchor, key, start, end = _of_chunk(table, window)
+        keys, flags = X.distinct(anchor << U64(1) | U64(1))
+        first = np.unique(key, return_index=True)[1]
+        size = np.bincount(np.searchsorted(keys, anchor[first]), (end - start)[first], len(keys)).astype(U64)
+        return X.send(table["chunk"][0].as_py(), buckets, 62, keys, flags, size)
 
     return run
 
 
+def _shared_anchors(table: pa.Table) -> pa.Table:
+    """A bucket's reply: the anchors that occur twice at least, each with whether it is hot."""
+    got = [X.unpack(p, np.uint8, U64) for p in table["payload"].to_pylist()]
+    keys, at, times = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True, return_counts=True)
+    flags, size = (np.concatenate([g[i] for g in got]) for i in (1, 2))
+    shared = (times > 1) | (np.bincount(at, flags & 2) > 0)
+    hot = np.bincount(at, size.astype(np.float64)) > PART
+    out = []
+    for b, c, k in zip(table["bucket"].to_pylist(), table["chunk"].to_pylist(), (g[0] for g in got)):
+        place = np.searchsorted(keys, k)
+        own = shared[place]
+        if own.any():
+            out.append((b, c, X.pack(k[own], hot[place[own]].astype(np.uint8))))
+    return X.messages(*zip(*out)) if out else X.messages([], [], [])
+
+
+def _windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """(62-bit keys of all windows of the segments, their places in ``data``)."""
+    keys, places = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
+    for a, b in pieces(np.concatenate(([0], np.cumsum(end - start)))):
+        size = (end - start)[a:b]
+        off = np.concatenate(([0], np.cumsum(size)))
+        place = np.arange(off[-1]) + np.repeat(start[a:b] - off[:-1], size)
+        up, down = CHAR_POWERS.get(len(place) + 1)
+        total = np.concatenate((np.zeros(1, U64), np.cumsum(_BYTE[data[place]] * up[: len(place)])))
+        at = np.flatnonzero(np.arange(len(place)) + window <= np.repeat(off[1:], size))
+        keys.append(mix((total[at + window] - total[at]) * down[at] + U64(window)) >> U64(2))
+        places.append(place[at])
+    return np.concatenate(keys), np.concatenate(places)
+
+
 def _send_segments(buckets: int, window: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        shared = X.keys_of(answers)
-        if not len(shared) or not table.num_rows:
+        got = [X.unpack(p, np.uint8) for p in answers["payload"].to_pylist()]
+        if not got or not table.num_rows:
             return X.messages([], [], [])
+        shared, hot = (np.sort(np.concatenate([k[h == i] for k, h in got])) for i in (0, 1))
         data, _, anchor, key, start, end = _of_chunk(table, window)
         keep = np.flatnonzero(X.member(anchor, shared))
         _, first, count = np.unique(key[keep], return_index=True, return_counts=True)
@@ -122,6 +159,12 @@ def _send_segments(buckets: int, window: int):
         own, many = own[order], (count[order] > 1).astype(np.uint8)
         cut = np.searchsorted(X.bucket_of(anchor[own], 62, buckets), np.arange(buckets + 1)).tolist()
         chunk, out = answers["chunk"][0].as_py(), []
+        if len(hot):
+            i = np.flatnonzero(X.member(anchor, hot))
+            keys, flags = X.distinct(_windows(data, start[i], end[i], window)[0] << U64(1) | U64(1))
+            asked = X.send(chunk, buckets, 62, keys, flags)
+            out += [(-1 - b, p) for b, p in zip(asked["bucket"].to_pylist(), asked["payload"].to_pylist())]
+            out.append((-1 - buckets - chunk, X.pack(hot)))
         for b, (x, y) in enumerate(zip(cut, cut[1:])):
             if y > x:
                 i = own[x:y]
@@ -354,8 +397,10 @@ def _repeated_windows(texts: list[bytes], window: int, folder: str | None) -> li
     return [again[b : b + n - window + 1] for b, n in zip(begin.tolist(), size.tolist())]
 
 
-def _shard(window: int, folder: str | None):
+def _shard(buckets: int, window: int, folder: str | None):
     def run(table: pa.Table) -> pa.Table:
+        if (bucket := table["bucket"][0].as_py()) < 0:  # windows of hot anchors, or a chunk's note to itself of which they are
+            return X.repeated(table) if bucket >= -buckets else table.select(["bucket", "chunk", "payload"])
         anchor, key, size, many, text, who = [], [], [], [], [], []
         for j, p in enumerate(table["payload"].to_pylist()):
             n = int(np.frombuffer(p, np.int64, 1)[0])
@@ -373,7 +418,7 @@ def _shard(window: int, folder: str | None):
         twice = (np.bincount(at) > 1) | (np.bincount(at, many) > 0)
         order = np.argsort(anchor[first], kind="stable")
         a, n = anchor[first][order], size[first][order]
-        # Parts: whole anchors up to PART suffixes; anchors of one segment can't repeat inside the shard.
+        # Parts: whole anchors up to PART suffixes (hot ones don't come here); anchors of one segment can't repeat inside the shard.
         head = np.flatnonzero(np.append(True, a[1:] != a[:-1]))
         alone = np.diff(np.append(head, len(a))) == 1
         windows: dict[int, np.ndarray] = {}
@@ -395,24 +440,31 @@ def _shard(window: int, folder: str | None):
             total += m
         if part:
             close()
-        buckets, chunks, out = table["bucket"].to_pylist(), table["chunk"].to_pylist(), []
+        own, chunks, out = table["bucket"].to_pylist(), table["chunk"].to_pylist(), []
         for j in range(table.num_rows):
             rows = np.flatnonzero(who == j)
             hit = [(int(key[r]), runs(windows[int(at[r])])) for r in rows.tolist()]
             hit = sorted((k, s, e) for k, (s, e) in hit if len(s))
             if hit:
                 counts = np.array([len(s) for _, s, _ in hit], np.int64)
-                out.append((buckets[j], chunks[j], b"".join([np.array([len(hit)], np.int64).tobytes(), np.array([k for k, _, _ in hit], U64).tobytes(), counts.tobytes(), np.concatenate([s for _, s, _ in hit]).astype(np.int64).tobytes(), np.concatenate([e for _, _, e in hit]).astype(np.int64).tobytes()])))
+                out.append((own[j], chunks[j], b"".join([np.array([len(hit)], np.int64).tobytes(), np.array([k for k, _, _ in hit], U64).tobytes(), counts.tobytes(), np.concatenate([s for _, s, _ in hit]).astype(np.int64).tobytes(), np.concatenate([e for _, _, e in hit]).astype(np.int64).tobytes()])))
         return X.messages(*zip(*out)) if out else X.messages([], [], [])
 
     return run
 
 
-def _cut(window: int, kept: int):
+def _cut(buckets: int, window: int, kept: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        data, offsets, _, key, start, _ = _of_chunk(table, window)
+        data, offsets, anchor, key, start, end = _of_chunk(table, window)
         edge = np.zeros(len(data) + 1, np.int32)
-        for p in answers["payload"].to_pylist():
+        bucket = answers["bucket"].to_numpy()
+        if len(hot := X.keys_of(answers.filter(pa.array(bucket < -buckets)))):
+            i = np.flatnonzero(X.member(anchor, hot))
+            keys, places = _windows(data, start[i], end[i], window)
+            again = places[X.member(keys, X.keys_of(answers.filter(pa.array((bucket < 0) & (bucket >= -buckets)))))]
+            np.add.at(edge, again, 1)
+            np.add.at(edge, again + window, -1)
+        for p in answers.filter(pa.array(bucket >= 0))["payload"].to_pylist():
             n = int(np.frombuffer(p, np.int64, 1)[0])
             keys, count = np.frombuffer(p, U64, n, 8), np.frombuffer(p, np.int64, n, 8 + 8 * n)
             m = int(count.sum())
@@ -450,11 +502,11 @@ def suffix_dedup(docs: DataFrame, window: int = 400, text: str = "text", keep: l
     chunks, buckets = X.counts(X.measure(docs, text), bucket_bytes=SHARD_BYTES)
     base = X.chunked(docs, keep, text, chunks)
     chunk = lambda df: df.groupBy("chunk")
-    shared = chunk(base).applyInArrow(_anchors(buckets, window), X.MESSAGE).groupBy("bucket").applyInArrow(X.repeated, X.MESSAGE)
+    shared = chunk(base).applyInArrow(_anchors(buckets, window), X.MESSAGE).groupBy("bucket").applyInArrow(_shared_anchors, X.MESSAGE)
     sent = chunk(base).cogroup(chunk(shared)).applyInArrow(_send_segments(buckets, window), X.MESSAGE)
     # Sorting is heavy for its bytes: one partition for each shard, which the adaptive planner does not merge.
-    found = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shard(window, folder), X.MESSAGE)
-    out = chunk(base).cogroup(chunk(found)).applyInArrow(_cut(window, len(keep)), f"{X.kept_schema(docs, keep)}, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary".lstrip(", "))
+    found = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shard(buckets, window, folder), X.MESSAGE)
+    out = chunk(base).cogroup(chunk(found)).applyInArrow(_cut(buckets, window, len(keep)), f"{X.kept_schema(docs, keep)}, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary".lstrip(", "))
     return X.renamed(out, keep, ["n_bytes", "removed", "kept"])
 
 

@@ -76,6 +76,38 @@ def test_suffix_after_many_short_texts(spark, tmp_path, monkeypatch):
     assert len(got[0]) == 500
 
 
+def test_suffix_hot_anchor(spark, tmp_path, monkeypatch):
+    """A passage that all rows share amid different surroundings is not gathered in one part, and results are whole."""
+    rng = np.random.default_rng(7)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage, other = word(450), word(700)
+    texts = [word(int(rng.integers(100, 400))) + passage + word(int(rng.integers(100, 400))) for _ in range(60)]
+    texts += [word(300) + other, other + word(200), texts[0], texts[1] + word(50), passage[:420] + word(90), word(1000)]
+    monkeypatch.setattr(suffix_dedup, "PART", 5000)
+    held, real = [], suffix_dedup._repeated_windows
+    monkeypatch.setattr(suffix_dedup, "_repeated_windows", lambda t, *a: (held.append(sum(map(len, t))), real(t, *a))[1])
+    table = lambda chunk, some: suffix_dedup.pa.table({"k0": [0] * len(some), "body": some, "chunk": [chunk] * len(some)})
+    both = [table(c, texts[c::4]) for c in range(4)]
+
+    def grouped(tables, by, f):
+        rows = suffix_dedup.pa.concat_tables(tables)
+        keys = sorted(set(rows[by].to_pylist()))
+        return [f(rows.filter(suffix_dedup.pa.array([x == k for x in rows[by].to_pylist()]))) for k in keys]
+
+    def of(tables, c):
+        rows = suffix_dedup.pa.concat_tables(tables)
+        return rows.filter(suffix_dedup.pa.array([x == c for x in rows["chunk"].to_pylist()], suffix_dedup.pa.bool_()))
+
+    shared = grouped([suffix_dedup._anchors(6, 400)(t) for t in both], "bucket", suffix_dedup._shared_anchors)
+    sent = [suffix_dedup._send_segments(6, 400)(t, of(shared, c)) for c, t in enumerate(both)]
+    found = grouped(sent, "bucket", suffix_dedup._shard(6, 400, None))
+    kept = [suffix_dedup._cut(6, 400, 1)(t, of(found, c))["kept"].to_pylist() for c, t in enumerate(both)]
+    want = suffix_by_hand([t.encode() for t in texts], 400)
+    assert kept == [want[c::4] for c in range(4)]
+    assert max(held) <= 5000
+    assert any(b < 0 for t in sent for b in t["bucket"].to_pylist())
+
+
 @pytest.mark.parametrize("limit", [1 << 30, 64])
 def test_induced_sorting(limit, tmp_path):
     rng = np.random.default_rng(1)
