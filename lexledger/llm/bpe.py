@@ -108,24 +108,31 @@ def pretokens(data: np.ndarray, offsets: np.ndarray):
 
 
 def _words(table: pa.Table):
-    """Distinct words of a chunk in the order of their hashes: (hashes, bytes of each, number of each pre-token,
-    first pre-token of each row)."""
+    """Distinct words of a chunk in the order of their hashes: (hashes, bytes of the texts, start and size of each word
+    there, number of each pre-token, first pre-token of each row). Pieces are made distinct before they meet."""
     data, offsets = flat(table["body"])
-    hashes, starts, ends, first = [], [], [], [np.zeros(1, np.int64)]
+    keys, starts, sizes, numbers, first = [np.zeros(0, U64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [], [np.zeros(1, np.int64)]
     for a, b in pieces(offsets):
         lo = int(offsets[a])
         part = data[lo : offsets[b]]
         s, e, f = pretokens(part, offsets[a : b + 1] - lo)
-        hashes.append(word_hashes(part, s, e))
-        starts.append((s + lo).astype(np.int32 if offsets[-1] < 1 << 31 else np.int64))
-        ends.append((e + lo).astype(np.int32 if offsets[-1] < 1 << 31 else np.int64))
+        own, at, number = np.unique(word_hashes(part, s, e), return_index=True, return_inverse=True)
+        keys.append(own)
+        starts.append(s[at] + lo)
+        sizes.append(e[at] - s[at])
+        numbers.append(number.astype(np.int32))
         first.append(f[1:] + first[-1][-1])
-    if not hashes:
-        return np.zeros(0, U64), [], np.zeros(0, np.int64), np.zeros(1, np.int64)
-    starts, ends = np.concatenate(starts), np.concatenate(ends)
-    keys, at, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-    raw = data.tobytes()
-    return keys, [raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())], number, np.concatenate(first)
+    every, at, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    cut = np.cumsum([len(k) for k in keys])
+    place = place.astype(np.int32)
+    number = [place[x:y][n] for x, y, n in zip(cut, cut[1:], numbers)]
+    return every, data, np.concatenate(starts)[at], np.concatenate(sizes)[at], np.concatenate([np.zeros(0, np.int32), *number]), np.concatenate(first)
+
+
+def _gather(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> bytes:
+    """The spans of ``data``, one after another."""
+    end = np.cumsum(sizes)
+    return data[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(starts - end + sizes, sizes)].tobytes()
 
 
 def _chunk_tables(batches, limit: int):
@@ -143,14 +150,15 @@ ANSWERS = "bucket int, chunk bigint, digest bigint, lengths binary, ids binary"
 
 
 def _send_words(buckets: int, limit: int):
+    @X.tidy
     def run(batches):
         for chunk, table in _chunk_tables(batches, limit):
-            keys, words, _, _ = _words(table)
+            keys, data, starts, sizes, _, _ = _words(table)
+            digest = _digest(keys)
             cut = np.searchsorted(X.bucket_of(keys, 64, buckets), np.arange(buckets + 1)).tolist()
             for b, (x, y) in enumerate(zip(cut, cut[1:])):
                 if y > x:
-                    own = words[x:y]
-                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "digest": pa.array([_digest(keys)], pa.int64()), "lengths": pa.array([_pack_sizes(list(map(len, own)))], pa.binary()), "words": pa.array([b"".join(own)], pa.binary())})
+                    yield pa.RecordBatch.from_pydict({"bucket": pa.array([b], pa.int32()), "chunk": pa.array([chunk], pa.int64()), "digest": pa.array([digest], pa.int64()), "lengths": pa.array([_pack_sizes(sizes[x:y])], pa.binary()), "words": pa.array([_gather(data, starts[x:y], sizes[x:y])], pa.binary())})
 
     return run
 
@@ -184,15 +192,16 @@ def _unpack_numbers(raw: bytes) -> np.ndarray:
 
 def _ranked(number: np.ndarray, n: int) -> np.ndarray:
     """Frequency rank of each word number; ties by number."""
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[np.argsort(-np.bincount(number, minlength=n), kind="stable")] = np.arange(n)
     return rank
 
 
 def _send_docs(kept: int, limit: int):
+    @X.tidy
     def run(batches):
         for chunk, table in _chunk_tables(batches, limit):
-            keys, _, number, first = _words(table)
+            keys, _, _, _, number, first = _words(table)
             rank = _ranked(number, len(keys))
             x = rank[number]
             order = np.argsort(rank, kind="stable").astype(np.uint32)
@@ -232,6 +241,7 @@ def _token_bytes(name: str) -> list[bytes]:
 
 
 def _encode_bucket(name: str):
+    @X.tidy
     def run(table: pa.Table) -> pa.Table:
         encode = _encoding(name)._encode_single_piece
         sizes = [_unpack_sizes(x) for x in table["lengths"].to_pylist()]
@@ -258,6 +268,7 @@ def _encode_bucket(name: str):
 
 
 def _assemble(name: str, kept: int):
+    @X.tidy
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         tokens = _token_bytes(name)
         kind = np.uint16 if len(tokens) <= 65536 else np.uint32
@@ -298,10 +309,10 @@ def bpe(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", text: str =
     docs = X.stable(docs.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.col(f"`{text}`").cast("string").alias("body")))
     kept = len(keep)
     cols = "".join(f"k{i} {docs.schema[f'k{i}'].dataType.simpleString()}, " for i in range(kept))
-    buckets = X.counts(X.measure(docs, "body"))[1]
-    answers = docs.mapInArrow(_send_words(buckets, chunk_bytes), WORDS).groupBy("bucket").applyInArrow(_encode_bucket(vocabulary), ANSWERS)
+    chunks, buckets = X.counts(X.measure(docs, "body"), chunk_bytes)
+    answers = X.spread(docs.mapInArrow(_send_words(buckets, chunk_bytes), WORDS), buckets, "bucket").applyInArrow(_encode_bucket(vocabulary), ANSWERS)
     rows = docs.mapInArrow(_send_docs(kept, chunk_bytes), f"{cols}chunk bigint, digest bigint, head boolean, body binary")
-    out = rows.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(vocabulary, kept), f"{cols}ids array<int>, decoded binary")
+    out = X.spread(rows, chunks, "chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_assemble(vocabulary, kept), f"{cols}ids array<int>, decoded binary")
     return X.renamed(out, keep, ["ids", "decoded"])
 
 

@@ -148,6 +148,7 @@ SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 
 
 def _scan(block, kept: int):
+    @X.tidy
     def run(batches):
         q = block.value
         for table in X.gathered(batches, SHARD_BYTES):

@@ -4,11 +4,15 @@ Texts are dealt into *chunks* of bounded size by a hash of the row, so a hot sou
 A chunk is processed with numpy in one Python call. It sends each distinct key once, packed by *bucket* (a range of
 key space), so a key that fills a third of all rows arrives at most once from each chunk: the pre-aggregation that
 keeps hot keys harmless. Buckets answer each chunk with packed keys, and the chunk is cogrouped with the answers.
-Chunk and bucket counts grow in proportion to the input, so memory for one Python call stays the same at any size.
+Chunk and bucket counts grow in proportion to the input, so memory for one Python call stays the same at any size up to
+GROWS bytes; from there units grow with the square root of the input, eightfold at most, since a chunk's keys for one
+bucket would else get too few to pack. A task takes several chunks or buckets, one after another, beyond MAX_PARTS.
 """
 
 from __future__ import annotations
 
+import ctypes
+import inspect
 import math
 import re
 import tempfile
@@ -22,6 +26,7 @@ from .kernel import U64, flat
 
 #: Text bytes aimed at in a chunk, and text bytes of input for each bucket of keys.
 CHUNK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+GROWS, MAX_PARTS = 64 << 30, 1 << 16
 MESSAGE = "bucket int, chunk int, payload binary"
 
 
@@ -31,17 +36,62 @@ def measure(docs: DataFrame, text: str = "text") -> int:
 
 
 def counts(total: int, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> tuple[int, int]:
-    return max(6, math.ceil(total / chunk_bytes)), max(6, math.ceil(total / bucket_bytes))
+    grown = min(8.0, max(1.0, math.sqrt(total / GROWS)))
+    return max(6, math.ceil(total / chunk_bytes / grown)), max(6, math.ceil(total / bucket_bytes / grown))
 
 
-def chunked(docs: DataFrame, keep: list[str], text: str, chunks: int) -> DataFrame:
-    """(k0, k1, ..., body, chunk), dealt out so that each chunk is whole in one partition.
+def spread(df: DataFrame, n: int, by: str):
+    """The groups of ``by``, of which there are about n: one for each partition, up to MAX_PARTS partitions."""
+    return df.repartition(min(n, MAX_PARTS), by).groupBy(by)
+
+
+def _release() -> None:
+    """Memory that numpy and Arrow have freed goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run):
+    """A function for mapInArrow or applyInArrow that leaves no freed memory with its worker: workers live on through
+    all stages of an application, and what one stage needed at its peak would else add to the next one's."""
+    if inspect.isgeneratorfunction(run):
+
+        def call(batches):
+            try:
+                yield from run(batches)
+            finally:
+                _release()
+
+    elif run.__code__.co_argcount == 1:
+
+        def call(table):
+            try:
+                return run(table)
+            finally:
+                _release()
+
+    else:
+
+        def call(table, other):
+            try:
+                return run(table, other)
+            finally:
+                _release()
+
+    return call
+
+
+def chunked(docs: DataFrame, keep: list[str], text: str, chunks: int, **more) -> DataFrame:
+    """(k0, k1, ..., body, chunk, more columns), dealt out so that each chunk is whole in one partition.
 
     The kept columns get plain names here, so names that clash with the operators' own do no harm."""
     cols = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
     spread = [F.col(f"`{c}`") for c in keep if dict(docs.dtypes)[c] in ("bigint", "int", "string")]
     at = F.pmod(F.xxhash64(*spread, F.col(f"`{text}`")), F.lit(chunks)).cast("int")
-    return docs.select(*cols, F.col(f"`{text}`").cast("string").alias("body"), at.alias("chunk")).repartition(chunks, "chunk")
+    return docs.select(*cols, F.col(f"`{text}`").cast("string").alias("body"), at.alias("chunk"), *[v.alias(k) for k, v in more.items()]).repartition(min(chunks, MAX_PARTS), "chunk")
 
 
 def kept_schema(docs: DataFrame, keep: list[str]) -> str:
@@ -102,8 +152,10 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder that the cluster names; a folder of our own only where none is set (tests)."""
+    """The shared folder that the cluster names; a folder of our own only in local mode, where none is set (tests)."""
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+        if not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexledger-"))
     return spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
 
@@ -152,6 +204,7 @@ def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return k[last], (v[last] & U64(1)).astype(np.uint8) | many.astype(np.uint8) << 1
 
 
+@tidy
 def repeated(table: pa.Table) -> pa.Table:
     """A bucket's reply: keys that are wanted and occur twice at least, told to every chunk that has them."""
     got = [unpack(p, np.uint8) for p in table["payload"].to_pylist()]

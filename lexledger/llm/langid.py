@@ -80,6 +80,7 @@ def _texts(column):
         yield a, b, [raw[offsets[i] : offsets[i + 1]].decode("utf-8") for i in range(a, b)]
 
 
+@X.tidy
 def _frequencies(batches):
     """Documents that have each gram, summed over the task; and the number of documents."""
     df, docs = np.zeros(BUCKETS, np.int64), 0
@@ -101,6 +102,7 @@ def _frequencies(batches):
 VECTOR = "slice int, part int, docs bigint, vector binary"
 
 
+@X.tidy
 def _sum(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(x, np.int64) for x in table["vector"].to_pylist())
     return pa.table({"slice": table["slice"][:1], "part": table["part"][:1], "docs": pa.array([sum(table["docs"].to_pylist())], pa.int64()), "vector": pa.array([total.tobytes()], pa.binary())})
@@ -118,6 +120,7 @@ def idf(docs: DataFrame) -> np.ndarray:
 
 
 def _vectors(block):
+    @X.tidy
     def run(batches):
         weight = block.value
         for batch in batches:
@@ -138,6 +141,7 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(-1, keepdims=True)
 
 
+@X.tidy
 def _train(batches):
     rows = [r for b in batches for r in zip(b.column("rank").to_pylist(), b.column("lang").to_pylist(), b.column("vector").to_pylist())]
     if not rows:
@@ -192,6 +196,7 @@ def train(docs: DataFrame, lang: str = "lang", doc_id: str = "doc_id", text: str
 
 
 def _predict(block, kept: int):
+    @X.tidy
     def run(batches):
         m = block.value
         for batch in batches:

@@ -8,7 +8,7 @@ Scoring is one narrow pass over the whole texts, a sparse dot product for each d
 
 Labels come only from rows with crc32(doc_id as text) mod 4 other than 2. Only the text enters a score.
 
-Defined results: null or empty text scores by the intercept alone; labels that are null don't count, and a doc_id with
+Defined results: null or empty text scores by the intercept alone; labels other than 0 and 1 don't count, and a doc_id with
 several labels takes their least; documents without a doc_id never train and are not held out (the remainder is
 null: held_out false); repeated rows each get their row; without any usable label every score is 0.5.
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -63,6 +64,7 @@ def grams(data: np.ndarray, offsets: np.ndarray):
     return np.concatenate([(h >> shift), (pair >> shift)[same]]).astype(np.int64), np.concatenate([doc, doc[:-1][same]])
 
 
+@X.tidy
 def _vectors(batches):
     for batch in batches:
         data, offsets = flat(pa.chunked_array([batch.column("body")]))
@@ -96,20 +98,31 @@ def ftrl(examples, epochs: int = EPOCHS, size: int = BUCKETS + 1):
 SCALE = 80.0
 
 
+class Examples:
+    """(features, values, label) of each training vector in the order of ranks, unpacked anew at each pass."""
+
+    def __init__(self, table: pa.Table):
+        table = table.take(pc.sort_indices(table, sort_keys=[("rank", "ascending"), ("vector", "ascending")]))
+        self.labels = table["label"].to_pylist()
+        self.raw, self.offsets = flat(table["vector"])
+
+    def __iter__(self):
+        for y, a, b in zip(self.labels, self.offsets[:-1].tolist(), self.offsets[1:].tolist()):
+            raw, k = self.raw[a:b].tobytes(), (b - a) // 8
+            f = np.append(np.frombuffer(raw, np.uint32, k).astype(np.int64), BUCKETS)
+            yield f, np.append(np.frombuffer(raw, np.float32, k, 4 * k) * SCALE, 1.0), float(y)
+
+
+@X.tidy
 def _train(batches):
-    rows = [r for b in batches for r in zip(b.column("rank").to_pylist(), b.column("label").to_pylist(), b.column("vector").to_pylist())]
-    rows.sort(key=lambda r: (r[0], r[2]))
-    examples = []
-    for _, y, raw in rows:
-        k = len(raw) // 8
-        f = np.append(np.frombuffer(raw, np.uint32, k).astype(np.int64), BUCKETS)
-        examples.append((f, np.append(np.frombuffer(raw, np.float32, k, 4 * k) * SCALE, 1.0), float(y)))
-    yield pa.RecordBatch.from_pydict({"weights": pa.array([ftrl(examples).tobytes()], pa.binary())})
+    held = list(batches)
+    if held:
+        yield pa.RecordBatch.from_pydict({"weights": pa.array([ftrl(Examples(pa.Table.from_batches(held))).tobytes()], pa.binary())})
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", learns=None, max_train: int = MAX_TRAIN) -> np.ndarray:
     """The weights. ``learns``: condition on doc_id for labels that may be learned from."""
-    own = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).filter("id IS NOT NULL AND label IS NOT NULL")
+    own = labels.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{label}`").cast("int").alias("label")).filter("id IS NOT NULL AND label IN (0, 1)")
     if learns is not None:
         own = own.filter(learns(F.col("id")))
     own = own.groupBy("id").agg(F.min("label").alias("label"))
@@ -122,6 +135,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: st
 
 
 def _score(block, kept: int):
+    @X.tidy
     def run(batches):
         w = block.value
         for batch in batches:

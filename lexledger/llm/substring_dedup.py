@@ -34,6 +34,7 @@ def _texts(table):
 
 
 def _probes(buckets: int, block: int, bits: int):
+    @X.tidy
     def run(table: pa.Table) -> pa.Table:
         keys = []
         for _, _, words, first in _texts(table):
@@ -47,6 +48,7 @@ def _probes(buckets: int, block: int, bits: int):
 
 
 def _candidates(buckets: int, window: int, block: int, bits: int):
+    @X.tidy
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         first_keys, second = [np.zeros(0, U64)], [np.zeros(0, np.uint32)]
         anchors = X.keys_of(answers)
@@ -67,6 +69,7 @@ def _candidates(buckets: int, window: int, block: int, bits: int):
     return run
 
 
+@X.tidy
 def _repeats(table: pa.Table) -> pa.Table:
     """Windows that start in two places at least, told to every chunk that has them."""
     got = [X.unpack(p, np.uint32, np.uint8) for p in table["payload"].to_pylist()]
@@ -83,6 +86,7 @@ def _repeats(table: pa.Table) -> pa.Table:
 
 
 def _cut(window: int, kept: int):
+    @X.tidy
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         again = X.keys_of(answers)
         n_words, n_removed, spans_out, texts = [], [], [], []
