@@ -24,3 +24,19 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if new.filter("moved").limit(1).count() == 0:
             return labels
     raise RuntimeError(f"components not found in {rounds} rounds")
+
+
+def joined(labels: DataFrame, edges: DataFrame) -> tuple[DataFrame, int]:
+    """Labels (id, root) after more edges (u, v), and how many components or new ids these have tied to others.
+
+    Only edges between components are worked on."""
+    own = labels.select(F.col("id").alias("u"), F.col("root").alias("a")), labels.select(F.col("id").alias("v"), F.col("root").alias("b"))
+    between = edges.join(own[0], "u", "left").join(own[1], "v", "left").select(F.coalesce("a", "u").alias("u"), F.coalesce("b", "v").alias("v")).filter("u <> v").distinct()
+    between = settle(between)
+    if not between.limit(1).count():
+        return labels, 0
+    more = components(between)
+    gained = more.filter("id <> root").count()
+    fresh = more.join(labels, "id", "left_anti").select("id", F.col("id").alias("root"))
+    up = more.select(F.col("id").alias("root"), F.col("root").alias("up"))
+    return settle(labels.union(fresh).join(up, "root", "left").select("id", F.coalesce("up", "root").alias("root"))), gained

@@ -4,7 +4,9 @@ Documents are sets of word shingles. Equal sets collapse first (128-bit keys), s
 a MinHash sketch of 64 places. A run of the chosen-path join splits all sets recursively: at a node, each place is
 chosen with probability 1 / (threshold * 64), independent of the data; sets that share the MinHash token of a chosen
 place go down together. Small buckets are compared by brute force. A pair at the threshold survives one level with
-probability 1 - 1/e; RUNS independent runs leave a pair in small buckets unfound with a chance below 1e-6.
+probability 1 - 1/e. Rounds of RUNS independent runs repeat until a round ties together no more than 1 - TARGET of all
+sets tied so far: if a round finds a share p of the ties that there are, of one half at least, fewer than it has just
+added are still missing. So the recall is TARGET at least, as estimated from the data themselves.
 
 Level one is a shuffle: nodes with one set only are found by the packed key exchange and never carry sketches. Deeper
 levels happen inside the bucket of their level-one node. In a node that is crowded within one chunk, sets that agree
@@ -27,13 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange as X
-from .graph import components
+from .graph import components, joined
 from .kernel import U64, flat, mix, pieces, rolling, spans, word_hashes
 
-PLACES, RUNS, SMALL, DEPTH = 64, 16, 128, 6
+PLACES, RUNS, SMALL, DEPTH = 64, 8, 128, 6
+TARGET, ROUNDS = 0.95, 12
 #: Places that must agree to propose a pair (0.6 of them), and to follow a leader (0.9).
 NEAR, FOLLOW = 38, 58
-BLOCK_SETS, BLOCK_ITEMS = 512, 1 << 20
+BLOCK_SETS, BLOCK_ITEMS = 1024, 1 << 20
 
 _rng = np.random.Generator(np.random.PCG64(71))
 _MULTIPLY = _rng.integers(0, 2**63, PLACES, dtype=np.uint64)[:, None] * U64(2) + U64(1)
@@ -76,6 +79,7 @@ SET = "n bigint, a bigint, b bigint, sketch binary"
 
 
 def _describe(words: int):
+    @X.tidy
     def run(batches):
         for batch in batches:
             n, a, b, s = [], [], [], []
@@ -95,10 +99,10 @@ def _chosen(path: np.uint64, threshold: float) -> np.ndarray:
     return np.flatnonzero(mix(path + _PLACE_SALT) < U64(int(2**64 / (threshold * PLACES))))
 
 
-def _level_one(sketches: np.ndarray, threshold: float) -> np.ndarray:
-    """Node keys of each set under the roots of all runs, 63 bits."""
+def _level_one(sketches: np.ndarray, threshold: float, turn: int) -> np.ndarray:
+    """Node keys of each set under the roots of all runs of a round, 63 bits."""
     out = []
-    for root in mix(np.arange(1000, 1000 + RUNS, dtype=np.uint64)):
+    for root in mix(np.arange(1000 + turn * RUNS, 1000 + (turn + 1) * RUNS, dtype=np.uint64)):
         for i in _chosen(root, threshold):
             out.append(mix(sketches[:, i].astype(U64) * U64(0x9E3779B97F4A7C15) + (root ^ _PLACE_SALT[i])) >> U64(1))
     return np.stack(out, 1)
@@ -108,9 +112,10 @@ def _sketches(table: pa.Table) -> np.ndarray:
     return np.frombuffer(flat(table["sketch"])[0].tobytes(), np.uint32).reshape(-1, PLACES)
 
 
-def _node_keys(buckets: int, threshold: float):
+def _node_keys(buckets: int, threshold: float, turn: int):
+    @X.tidy
     def run(table: pa.Table) -> pa.Table:
-        keys, flags = X.distinct(_level_one(_sketches(table), threshold).ravel() << U64(1) | U64(1))
+        keys, flags = X.distinct(_level_one(_sketches(table), threshold, turn).ravel() << U64(1) | U64(1))
         return X.send(table["chunk"][0].as_py(), buckets, 63, keys, flags)
 
     return run
@@ -140,14 +145,15 @@ def _records(keys, ids, s16) -> bytes:
     return b"".join([np.array([len(keys)], U64).tobytes(), keys.tobytes(), ids.tobytes(), np.ascontiguousarray(s16).tobytes()])
 
 
-def _members(buckets: int, threshold: float, crowd: int = 32):
+def _members(buckets: int, threshold: float, turn: int, crowd: int = 32):
+    @X.tidy
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         shared = X.keys_of(answers)
         if not len(shared) or not table.num_rows:
             return X.messages([], [], [])
         chunk, full = answers["chunk"][0].as_py(), _sketches(table)
         ids, s = table["a"].to_numpy(), full.astype(np.uint16)
-        keys = _level_one(full, threshold)
+        keys = _level_one(full, threshold, turn)
         row, col = np.nonzero(X.member(keys.ravel(), shared).reshape(keys.shape))
         key = keys[row, col]
         order = np.argsort(key, kind="stable")
@@ -209,6 +215,7 @@ def _edges(pairs) -> pa.Table:
 
 
 def _search(threshold: float):
+    @X.tidy
     def run(table: pa.Table) -> pa.Table:
         if table["bucket"][0].as_py() < 0:
             return _edges([np.frombuffer(p, np.int64).reshape(-1, 2) for p in table["payload"].to_pylist()])
@@ -253,6 +260,7 @@ def _search(threshold: float):
 
 
 def _sets(words: int):
+    @X.tidy
     def run(batches):
         for batch in batches:
             sent, rows, raw = set(), [], []
@@ -291,6 +299,7 @@ def _verify(threshold: float):
             out &= cross[:, None] != cross[None, :]
         return out
 
+    @X.tidy
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by("task")
         task, a = table["task"].to_numpy(), table["a"].to_numpy()
@@ -328,9 +337,19 @@ def jaccard_join(docs: DataFrame, words: int = 5, threshold: float = 0.8, doc_id
     chunks, buckets = max(6, total // 8192 + 1), max(6, total // 16384 + 1)
     base = sets.select("a", "sketch", F.pmod(F.col("b"), F.lit(chunks)).cast("int").alias("chunk")).repartition(chunks, "chunk")
     chunk = lambda df: df.groupBy("chunk")
-    shared = chunk(base).applyInArrow(_node_keys(buckets, threshold), X.MESSAGE).groupBy("bucket").applyInArrow(X.repeated, X.MESSAGE)
-    near = chunk(base).cogroup(chunk(shared)).applyInArrow(_members(buckets, threshold), X.MESSAGE)
-    proposed = components(near.groupBy("bucket").applyInArrow(_search(threshold), "u bigint, v bigint"))
+
+    def proposals(turn: int) -> DataFrame:
+        shared = X.spread(chunk(base).applyInArrow(_node_keys(buckets, threshold, turn), X.MESSAGE), buckets, "bucket").applyInArrow(X.repeated, X.MESSAGE)
+        near = chunk(base).cogroup(chunk(shared)).applyInArrow(_members(buckets, threshold, turn), X.MESSAGE)
+        return X.spread(near, buckets, "bucket").applyInArrow(_search(threshold), "u bigint, v bigint")
+
+    proposed = components(proposals(0))
+    tied = proposed.filter("id <> root").count()
+    for turn in range(1, ROUNDS):
+        proposed, gained = joined(proposed, proposals(turn))
+        tied += gained
+        if gained <= (1 - TARGET) * tied:
+            break
 
     # Tasks: pairs of a component's blocks; a component within one block is one task (side 2: compare all with all).
     own = proposed.join(sets, proposed["id"] == sets["a"]).select("a", "t", "n", "root")
