@@ -8,6 +8,10 @@ that a third of the corpus shares arrives once from each chunk. An anchor whose
 together is *hot* (a shared passage amid ever different surroundings): its segments are not sorted, but the 62-bit hash
 of each of their windows goes, once from each chunk, to one of all buckets, so a hot anchor spreads over all of them.
 
+Passages. A repeat shorter than ``window`` isn't removed, but reported: n_shared counts a text's bytes inside strings of
+PASSAGE_GRAM bytes that occur elsewhere too, out of a sample that has one of every PASSAGE - PASSAGE_GRAM + 1 neighbouring
+ones, the least by hash. A passage of PASSAGE bytes that repeats is therefore always seen, whatever surrounds it.
+
 In a shard the suffixes of all segments are sorted by induction. S*-substrings are named by sorting, the reduced string
 of names is sorted to the depth that ``window`` bytes need, and bucket queues carry (suffix, common prefix with the
 suffix before) tuples: left to right for L-suffixes, then right to left for S-suffixes. The prefix of an induced suffix
@@ -27,13 +31,16 @@ import tempfile
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange as X
-from .kernel import CHAR_POWERS, U64, _BYTE, flat, mix, pieces, runs
+from .kernel import CHAR_POWERS, U64, _BYTE, cover, flat, mix, pieces, runs
 
 GRAM = 192
+#: Bytes of a shared passage that is always seen, and of the sampled strings in it. Over 50 words have 300 bytes or more.
+PASSAGE, PASSAGE_GRAM = 300, 240
 PIECE = 1 << 18
 PART = 1 << 20
 #: Text bytes of input for each shard.
@@ -55,8 +62,8 @@ def _slide_min(x: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(tail[:n], head[size - 1 : size - 1 + n])
 
 
-def segments(data: np.ndarray, offsets: np.ndarray, window: int):
-    """Over pieces: (anchor keys, segment keys, starts, ends) of all segments, as places in ``data``.
+def segments(data: np.ndarray, offsets: np.ndarray, window: int, gram_bytes: int = GRAM):
+    """Over pieces: (anchor keys, segment keys, starts, ends, places of the anchors) of all segments, as places in ``data``.
 
     A segment [start, end) holds the windows that start in [start, end - window]."""
     bounds = []
@@ -78,9 +85,9 @@ def segments(data: np.ndarray, offsets: np.ndarray, window: int):
         up, down = CHAR_POWERS.get(n + 1)
         total = np.zeros(n + 1, U64)
         np.cumsum(_BYTE[part] * up[:n], out=total[1:])
-        gram = mix((total[GRAM:] - total[:-GRAM]) * down[: n - GRAM + 1])
+        gram = mix((total[gram_bytes:] - total[:-gram_bytes]) * down[: n - gram_bytes + 1])
         mask = U64((1 << 20) - 1)
-        least = _slide_min((gram & ~mask) | np.arange(len(gram), dtype=U64), window - GRAM + 1)
+        least = _slide_min((gram & ~mask) | np.arange(len(gram), dtype=U64), window - gram_bytes + 1)
         valid = np.zeros(n - window + 2, bool)
         for a, e in group:
             valid[a - lo : e - lo - window + 1] = True
@@ -93,41 +100,57 @@ def segments(data: np.ndarray, offsets: np.ndarray, window: int):
         start, end = at[head], at[np.append(head[1:], len(at)) - 1] + window
         key = mix((total[end] - total[start]) * down[start] + (end - start).astype(U64))
         # Anchors are least hashes, so they crowd at the low end; mixed again, they spread over all shards.
-        yield mix(gram[anchor[head]] + U64(1)) >> U64(2), key >> U64(2), start + lo, end + lo
+        yield mix(gram[anchor[head]] + U64(1)) >> U64(2), key >> U64(2), start + lo, end + lo, anchor[head] + lo
 
 
-def _of_chunk(table: pa.Table, window: int):
+def _of_chunk(table: pa.Table, window: int, gram_bytes: int = GRAM):
     data, offsets = flat(table["body"])
-    got = list(segments(data, offsets, window))
-    cols = [np.concatenate([g[i] for g in got]) if got else np.zeros(0, U64 if i < 2 else np.int64) for i in range(4)]
+    got = list(segments(data, offsets, window, gram_bytes))
+    cols = [np.concatenate([g[i] for g in got]) if got else np.zeros(0, U64 if i < 2 else np.int64) for i in range(5)]
     return data, offsets, *cols
 
 
+def _passages(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, places) of the sampled strings of PASSAGE_GRAM bytes."""
+    _, _, key, _, _, _, place = _of_chunk(table, PASSAGE, PASSAGE_GRAM)
+    return key, place
+
+
 def _anchors(buckets: int, window: int):
+    @X.tidy
     def run(table: pa.Table) -> pa.Table:
-        _, _, anchor, key, start, end = _of_chunk(table, window)
+        chunk = table["chunk"][0].as_py()
+        _, _, anchor, key, start, end, _ = _of_chunk(table, window)
         keys, flags = X.distinct(anchor << U64(1) | U64(1))
         first = np.unique(key, return_index=True)[1]
         size = np.bincount(np.searchsorted(keys, anchor[first]), (end - start)[first], len(keys)).astype(U64)
-        return X.send(table["chunk"][0].as_py(), buckets, 62, keys, flags, size)
+        sampled = X.send(chunk, buckets, 62, *X.distinct(_passages(table)[0] << U64(1) | U64(1)))
+        sampled = sampled.set_column(0, "bucket", pc.add(sampled["bucket"], pa.scalar(buckets, pa.int32())))
+        return pa.concat_tables([X.send(chunk, buckets, 62, keys, flags, size), sampled])
 
     return run
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """A bucket's reply: the anchors that occur twice at least, each with whether it is hot."""
-    got = [X.unpack(p, np.uint8, U64) for p in table["payload"].to_pylist()]
-    keys, at, times = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True, return_counts=True)
-    flags, size = (np.concatenate([g[i] for g in got]) for i in (1, 2))
-    shared = (times > 1) | (np.bincount(at, flags & 2) > 0)
-    hot = np.bincount(at, size.astype(np.float64)) > PART
-    out = []
-    for b, c, k in zip(table["bucket"].to_pylist(), table["chunk"].to_pylist(), (g[0] for g in got)):
-        place = np.searchsorted(keys, k)
-        own = shared[place]
-        if own.any():
-            out.append((b, c, X.pack(k[own], hot[place[own]].astype(np.uint8))))
-    return X.messages(*zip(*out)) if out else X.messages([], [], [])
+def _shared_anchors(buckets: int):
+    @X.tidy
+    def run(table: pa.Table) -> pa.Table:
+        """A bucket's reply: the anchors that occur twice at least, each with whether it is hot; or sampled strings."""
+        if table["bucket"][0].as_py() >= buckets:
+            return X.repeated(table)
+        got = [X.unpack(p, np.uint8, U64) for p in table["payload"].to_pylist()]
+        keys, at, times = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True, return_counts=True)
+        flags, size = (np.concatenate([g[i] for g in got]) for i in (1, 2))
+        shared = (times > 1) | (np.bincount(at, flags & 2) > 0)
+        hot = np.bincount(at, size.astype(np.float64)) > PART
+        out = []
+        for b, c, k in zip(table["bucket"].to_pylist(), table["chunk"].to_pylist(), (g[0] for g in got)):
+            place = np.searchsorted(keys, k)
+            own = shared[place]
+            if own.any():
+                out.append((b, c, X.pack(k[own], hot[place[own]].astype(np.uint8))))
+        return X.messages(*zip(*out)) if out else X.messages([], [], [])
+
+    return run
 
 
 def _windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,12 +169,14 @@ def _windows(data: np.ndarray, start: np.ndarray, end: np.ndarray, window: int)
 
 
 def _send_segments(buckets: int, window: int):
+    @X.tidy
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        got = [X.unpack(p, np.uint8) for p in answers["payload"].to_pylist()]
-        if not got or not table.num_rows:
+        if not answers.num_rows or not table.num_rows:
             return X.messages([], [], [])
+        passages = X.keys_of(answers.filter(pc.greater_equal(answers["bucket"], buckets)))
+        got = [(np.zeros(0, U64), np.zeros(0, np.uint8))] + [X.unpack(p, np.uint8) for p in answers.filter(pc.less(answers["bucket"], buckets))["payload"].to_pylist()]
         shared, hot = (np.sort(np.concatenate([k[h == i] for k, h in got])) for i in (0, 1))
-        data, _, anchor, key, start, end = _of_chunk(table, window)
+        data, _, anchor, key, start, end, _ = _of_chunk(table, window)
         keep = np.flatnonzero(X.member(anchor, shared))
         _, first, count = np.unique(key[keep], return_index=True, return_counts=True)
         own = keep[first]
@@ -164,7 +189,9 @@ def _send_segments(buckets: int, window: int):
             keys, flags = X.distinct(_windows(data, start[i], end[i], window)[0] << U64(1) | U64(1))
             asked = X.send(chunk, buckets, 62, keys, flags)
             out += [(-1 - b, p) for b, p in zip(asked["bucket"].to_pylist(), asked["payload"].to_pylist())]
-            out.append((-1 - buckets - chunk, X.pack(hot)))
+        if len(hot) or len(passages):  # the chunk's note to itself
+            note = X.pack(hot)
+            out.append((-1 - buckets - chunk, len(note).to_bytes(8, "little") + note + X.pack(passages)))
         for b, (x, y) in enumerate(zip(cut, cut[1:])):
             if y > x:
                 i = own[x:y]
@@ -398,8 +425,9 @@ def _repeated_windows(texts: list[bytes], window: int, folder: str | None) -> li
 
 
 def _shard(buckets: int, window: int, folder: str | None):
+    @X.tidy
     def run(table: pa.Table) -> pa.Table:
-        if (bucket := table["bucket"][0].as_py()) < 0:  # windows of hot anchors, or a chunk's note to itself of which they are
+        if (bucket := table["bucket"][0].as_py()) < 0:  # windows of hot anchors, or a chunk's note to itself
             return X.repeated(table) if bucket >= -buckets else table.select(["bucket", "chunk", "payload"])
         anchor, key, size, many, text, who = [], [], [], [], [], []
         for j, p in enumerate(table["payload"].to_pylist()):
@@ -454,11 +482,19 @@ def _shard(buckets: int, window: int, folder: str | None):
 
 
 def _cut(buckets: int, window: int, kept: int):
+    @X.tidy
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
-        data, offsets, anchor, key, start, end = _of_chunk(table, window)
+        data, offsets, anchor, key, start, end, _ = _of_chunk(table, window)
         edge = np.zeros(len(data) + 1, np.int32)
         bucket = answers["bucket"].to_numpy()
-        if len(hot := X.keys_of(answers.filter(pa.array(bucket < -buckets)))):
+        shared, hot = np.zeros(len(data), bool), np.zeros(0, U64)
+        for raw in answers.filter(pa.array(bucket < -buckets))["payload"].to_pylist():  # one note at most
+            cut = 8 + int.from_bytes(raw[:8], "little")
+            hot = X.unpack(raw[8:cut])[0]
+            sampled, places = _passages(table)
+            shared = cover(places[X.member(sampled, X.unpack(raw[cut:])[0])], PASSAGE_GRAM, len(data))
+        before = np.concatenate((np.zeros(1, np.int64), np.cumsum(shared)))
+        if len(hot):
             i = np.flatnonzero(X.member(anchor, hot))
             keys, places = _windows(data, start[i], end[i], window)
             again = places[X.member(keys, X.keys_of(answers.filter(pa.array((bucket < 0) & (bucket >= -buckets)))))]
@@ -484,14 +520,15 @@ def _cut(buckets: int, window: int, kept: int):
             s, e = runs(mask)
             removed.append([{"start": int(x), "end": int(y)} for x, y in zip(s, e)])
             texts.append(data[a:b][~mask].tobytes() if len(s) else data[a:b].tobytes())
-        return pa.table({f"k{i}": table[f"k{i}"] for i in range(kept)} | {"n_bytes": pa.array(np.diff(offsets), pa.int64()), "removed": pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(texts, pa.binary())})
+        return pa.table({f"k{i}": table[f"k{i}"] for i in range(kept)} | {"n_bytes": pa.array(np.diff(offsets), pa.int64()), "n_shared": pa.array(np.diff(before[offsets]), pa.int64()), "removed": pa.array(removed, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), "kept": pa.array(texts, pa.binary())})
 
     return run
 
 
 def suffix_dedup(docs: DataFrame, window: int = 400, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns with n_bytes, removed (byte spans, end exclusive), and kept (binary). Every byte covered by a
-    string of ``window`` bytes that also starts elsewhere goes, first copy too."""
+    """The kept columns with n_bytes, n_shared (bytes in shared passages, removed or not), removed (byte spans, end
+    exclusive), and kept (binary). Every byte covered by a string of ``window`` bytes that also starts elsewhere goes,
+    first copy too."""
     if window <= GRAM:
         raise ValueError(f"a window has more than {GRAM} bytes")
     keep = [c for c in docs.columns if c != text] if keep is None else keep
@@ -502,15 +539,16 @@ def suffix_dedup(docs: DataFrame, window: int = 400, text: str = "text", keep: l
     chunks, buckets = X.counts(X.measure(docs, text), bucket_bytes=SHARD_BYTES)
     base = X.chunked(docs, keep, text, chunks)
     chunk = lambda df: df.groupBy("chunk")
-    shared = chunk(base).applyInArrow(_anchors(buckets, window), X.MESSAGE).groupBy("bucket").applyInArrow(_shared_anchors, X.MESSAGE)
+    shared = chunk(base).applyInArrow(_anchors(buckets, window), X.MESSAGE)
+    shared = X.spread(shared, 2 * buckets, "bucket").applyInArrow(_shared_anchors(buckets), X.MESSAGE)
     sent = chunk(base).cogroup(chunk(shared)).applyInArrow(_send_segments(buckets, window), X.MESSAGE)
     # Sorting is heavy for its bytes: one partition for each shard, which the adaptive planner does not merge.
-    found = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_shard(buckets, window, folder), X.MESSAGE)
-    out = chunk(base).cogroup(chunk(found)).applyInArrow(_cut(buckets, window, len(keep)), f"{X.kept_schema(docs, keep)}, n_bytes bigint, removed array<struct<start: bigint, end: bigint>>, kept binary".lstrip(", "))
-    return X.renamed(out, keep, ["n_bytes", "removed", "kept"])
+    found = X.spread(sent, buckets, "bucket").applyInArrow(_shard(buckets, window, folder), X.MESSAGE)
+    out = chunk(base).cogroup(chunk(found)).applyInArrow(_cut(buckets, window, len(keep)), f"{X.kept_schema(docs, keep)}, n_bytes bigint, n_shared bigint, removed array<struct<start: bigint, end: bigint>>, kept binary".lstrip(", "))
+    return X.renamed(out, keep, ["n_bytes", "n_shared", "removed", "kept"])
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
     out = suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 400, keep=["doc_id"])
     gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
-    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_shared")

@@ -76,6 +76,19 @@ def test_suffix_after_many_short_texts(spark, tmp_path, monkeypatch):
     assert len(got[0]) == 500
 
 
+def test_suffix_reports_shorter_passages(spark):
+    """A passage of over 50 words and under 400 bytes stays, and shows in n_shared of all that have it, and of no other."""
+    rng = np.random.default_rng(11)
+    word = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage = " ".join(word(5) for _ in range(52))
+    texts = [word(int(rng.integers(300, 900))) for _ in range(40)]
+    for i in (3, 17, 31):
+        texts[i] = word(100 * i) + passage + word(40)
+    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    assert {i for i, r in got.items() if r.n_shared} == {3, 17, 31}
+    assert all(240 <= got[i].n_shared <= len(passage) and not got[i].removed for i in (3, 17, 31))
+
+
 def test_suffix_hot_anchor(spark, tmp_path, monkeypatch):
     """A passage that all rows share amid different surroundings is not gathered in one part, and results are whole."""
     rng = np.random.default_rng(7)
@@ -98,7 +111,7 @@ def test_suffix_hot_anchor(spark, tmp_path, monkeypatch):
         rows = suffix_dedup.pa.concat_tables(tables)
         return rows.filter(suffix_dedup.pa.array([x == c for x in rows["chunk"].to_pylist()], suffix_dedup.pa.bool_()))
 
-    shared = grouped([suffix_dedup._anchors(6, 400)(t) for t in both], "bucket", suffix_dedup._shared_anchors)
+    shared = grouped([suffix_dedup._anchors(6, 400)(t) for t in both], "bucket", suffix_dedup._shared_anchors(6))
     sent = [suffix_dedup._send_segments(6, 400)(t, of(shared, c)) for c, t in enumerate(both)]
     found = grouped(sent, "bucket", suffix_dedup._shard(6, 400, None))
     kept = [suffix_dedup._cut(6, 400, 1)(t, of(found, c))["kept"].to_pylist() for c, t in enumerate(both)]
@@ -185,6 +198,30 @@ def test_jaccard_large_group(spark, tmp_path):
     assert [r.n_links for r in got] == degree
 
 
+def test_jaccard_recall_of_graded_copies(spark, tmp_path):
+    """Near copies of 0.80 to 0.99: links, counted without expanding them, against brute force."""
+    rng = np.random.default_rng(9)
+    data = []
+    for i in range(150):
+        base = [f"w{int(x)}" for x in rng.integers(0, 5000, 200)]
+        data.append(base)
+        for k in rng.integers(1, 5, 3):
+            w = list(base)
+            for at in rng.choice(200, int(k), replace=False):
+                w[at] = f"u{len(data)}x{at}"
+            data.append(w)
+    data = [(i, " ".join(w)) for i, w in enumerate(data)]
+    path = str(tmp_path / "d.parquet")
+    spark.createDataFrame(data, "doc_id bigint, text string").repartition(3).write.parquet(path)
+    sets = [s for _, s in sets_of(data)]
+    same = {(i, j): len(a & b) / len(a | b) for i, a in enumerate(sets) for j, b in enumerate(sets[:i]) if a & b}
+    degree = Counter(x for p, v in same.items() if v >= 0.8 - 1e-12 for x in p)
+    assert sum(0.8 <= v < 0.9 for v in same.values()) > 100 and sum(0.9 <= v < 1 for v in same.values()) > 100
+    got = {r.id: r.n_links for r in jaccard_join.jaccard_join(spark.read.parquet(path)).collect()}
+    assert all(n <= degree[i] for i, n in got.items())
+    assert sum(got.values()) >= 0.99 * sum(degree.values())
+
+
 @pytest.mark.parametrize("limit", ["BLOCK_SETS", "BLOCK_ITEMS"])
 def test_jaccard_several_blocks(spark, tmp_path, monkeypatch, limit):
     """Every pair of a component of several blocks is compared, whatever block pair comes first in a batch."""
