@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented letters and what they reduce to; entities that the publications use.
+# Accented letters and what they reduce to.
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçÁÀÂÄÃÅÉÈÊËÍÌÎÏÓÒÔÖÕÚÙÛÜÑÇýÿÝ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuncAAAAAAEEEEIIIIOOOOOUUUUNCyyY"
-ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&apos;": "'", "&euro;": "€", "&ntilde;": "ñ", "&aacute;": "á", "&eacute;": "é", "&iacute;": "í", "&oacute;": "ó", "&uacute;": "ú", "&amp;": "&"}
+#: Named entities of HTML: name to character, from the standard library's table; "apos" comes from XML.
+ENTITIES = {k: chr(v) for k, v in name2codepoint.items()} | {"apos": "'"}
+
+
+def unescape(c: Column) -> Column:
+    """Named and numeric entities resolved, each once; unknown ones stay."""
+    table = F.create_map(*[F.lit(x) for k, v in ENTITIES.items() for x in (k, v)])
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit("&(#?[0-9A-Za-z]+);"), F.lit(1)))
+
+    def char(e: Column) -> Column:
+        digits = F.when(e.rlike("^#[0-9]{1,5}$"), F.hex(F.substr(e, F.lit(2)).cast("int"))).when(e.rlike("^#[xX][0-9A-Fa-f]{1,4}$"), F.substr(e, F.lit(3)))
+        return F.coalesce(F.decode(F.unhex(F.lpad(digits, 4, "0")), "UTF-16BE"), table[e])
+
+    # "&amp;" goes last, so that what it uncovers stays as it is.
+    order = F.concat(F.filter(found, lambda e: e != "amp"), F.filter(found, lambda e: e == "amp"))
+    done = F.aggregate(order, c, lambda s, e: F.replace(s, F.concat(F.lit("&"), e, F.lit(";")), F.coalesce(char(e), F.concat(F.lit("&"), e, F.lit(";")))))
+    return F.when(F.contains(c, F.lit("&")), done).otherwise(c)
 
 
 def collapse_ws(c: Column) -> Column:
     """Entities resolved, every run of Unicode white space one blank, trimmed."""
-    for entity, char in ENTITIES.items():
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(unescape(c), r"(?U)\s+", " "))
 
 
 def strip_accents(c: Column) -> Column:

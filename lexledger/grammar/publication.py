@@ -12,15 +12,15 @@ import hashlib
 import html
 import re
 import xml.etree.ElementTree as ET
-from decimal import Decimal, InvalidOperation
 
 from lexledger.functions.dates import MONTHS
 from lexledger.functions.legal import ORDINALS, STATUTES
-from lexledger.functions.numbers import AMOUNTS, COUNTS, WORDS
+from lexledger.functions.numbers import COUNTS
+from lexledger.functions.numbers import amounts_of as amounts
 
 I = re.IGNORECASE | re.DOTALL  # noqa: E741
 MARK = r"«\"'\-–—−•·●‘’‚„“”"
-LEAD = rf"^(?:[{MARK}\s]|(?:\d{{1,2}}|[a-zñ]|[ivx]{{1,3}})\s*[.)]\s*)*"
+LEAD = rf"^(?:[{MARK}\s]|(?:\d{{1,2}}|[a-zñ]|[ivx]{{1,3}})\s*[.)](?!\d)\s*)*"
 COUNT = "|".join(COUNTS)
 KIND = r"(?:sanci[oó]n(?:es)?|multas?|inhabilitaci[oó]n(?:es)?|amonestaci[oó]n(?:es)?|suspensi[oó]n(?:es)?|separaci[oó]n(?:es)?|confiscaci[oó]n(?:es)?|comiso|restituci[oó]n(?:es)?)"
 OFFENCE = re.compile(rf"por\s+la\s+comisi[oó]n\s*,?\s*(?:(?:cada\s+un[oa]\s+de\s+ell[oa]s|respectivamente|(?:en|como|por)\s+[^,]{{1,110}})\s*,?\s*)?de\s+(?P<count>{COUNT}|\d{{1,2}})\s+infracci[oó]n(?:es)?", I)
@@ -47,49 +47,6 @@ def squeeze(text: str) -> str:
     return re.sub(r"\s+", " ", html.unescape(re.sub("[   ]", " ", text))).strip()
 
 
-def es_number(raw: str) -> Decimal | None:
-    t = raw.strip().rstrip(".")
-    if "," in t:
-        t = t.replace(".", "").replace(",", ".")
-    elif m := re.fullmatch(r"(\d{1,3}(?:\.\d{3})+)\.(\d{1,2})", t):
-        t = f"{m[1].replace('.', '')}.{m[2]}"
-    else:
-        t = t.replace(".", "")
-    try:
-        return Decimal(t)
-    except InvalidOperation:
-        return None
-
-
-def words_to_int(text: str) -> int | None:
-    plain = text.lower().translate(str.maketrans("áéíóúü", "aeiouu"))
-    total = now = 0
-    parts = re.sub(r"\b(?:euros?|de|y)\b", " ", plain).split()
-    for w in parts:
-        scale = {"mil": 1000, "millon": 10**6, "millones": 10**6}.get(w)
-        if scale:
-            total, now = total + max(now, 1) * scale, 0
-            continue
-        n = WORDS.get(w) if w in WORDS else WORDS.get(w[:-2] + "os") if w.endswith("as") else None
-        if n is None and w.startswith("veinti") and 0 < WORDS.get(w[6:], 0) < 10:
-            n = 20 + WORDS[w[6:]]
-        if n is None:
-            return None
-        now += n
-    return total + now if parts else None
-
-
-def amounts(text: str) -> list[tuple[Decimal, str]]:
-    """All amounts by the first pattern that finds one; number words as a last resort."""
-    for p in AMOUNTS:
-        found = [(es_number(m[1]), squeeze(m[0])) for m in re.finditer(p, text)]
-        if found := [f for f in found if f[0] is not None]:
-            return found
-    if (m := re.search(r"([a-záéíóúüñ\s-]{4,60}?)\s*\(?\s*euros?", text, re.IGNORECASE)) and (n := words_to_int(m[1])) is not None:
-        return [(Decimal(n), squeeze(m[0]))]
-    return []
-
-
 def statute(text: str) -> str | None:
     for p, name in STATUTES:
         if m := re.search(p, text, re.IGNORECASE):
@@ -253,6 +210,17 @@ class Reader:
         self.current = b
         if tail and not declared:
             self.tail(place, tail, subjects)
+        n = (COUNTS.get(m["count"].lower()) or int(m["count"])) if m else 1
+        if n > 1 and not declared:
+            # So many offences with as many sanctions are blocks of one each; else one block has what there is.
+            if len(b["sanctions"]) == n:
+                first, *more = b["sanctions"]
+                b["sanctions"] = [first]
+                for s in more:
+                    self.blocks.append(b | {"ordinal": len(self.blocks) + 1, "sanctions": [s]})
+                self.current = self.blocks[-1]
+            else:
+                self.issues.append({"kind": "OFFENCES_AND_SANCTIONS_DIFFER", "detail": f"p[{place}] {n} offences, {len(b['sanctions'])} sanctions"})
         return b
 
     @staticmethod

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 import pyarrow as pa
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -71,12 +73,15 @@ def _fields() -> str:
     return _type().simpleString()[len("struct<") : -1]
 
 
+def _over(f, kind):
+    """A Python function of one string as a function of a batch of strings, for SQL."""
+    return F.pandas_udf(lambda texts: texts.map(lambda t: None if t is None else f(t)), kind)
+
+
 def register(spark: SparkSession) -> None:
-    """SQL functions: parse_publication, split_subjects, split_subject_role, conduct_period, register_page_rows."""
-    from lexledger.sources.readers import register_page
-
-    spark.udf.register("parse_publication", F.udf(lambda raw: record(bytes(raw) if raw is not None else None), _type(), useArrow=True))
-    spark.udf.register("split_subjects", F.udf(lambda t: publication.split_subjects(t) if t is not None else None, "array<string>", useArrow=True))
-    spark.udf.register("split_subject_role", F.udf(lambda t: dict(zip(("name", "role"), publication.split_role(t))) if t is not None else None, "name string, role string", useArrow=True))
-    spark.udf.register("conduct_period", F.udf(lambda t: dict(zip(("start", "end", "precision"), publication.conduct_period(t))) if t is not None else None, "start string, end string, precision string", useArrow=True))
-    spark.udf.register("register_page_rows", F.udf(lambda t: register_page(t)[0] if t is not None else None, "array<struct<register_entry_date: string, title: string, document_url: string>>", useArrow=True))
+    """SQL functions over batches: publication_json (the record as JSON), split_subjects, split_subject_role, conduct_period."""
+    publication_json = F.pandas_udf(lambda raws: raws.map(lambda raw: json.dumps(record(None if raw is None else bytes(raw)), default=str, ensure_ascii=False)), "string")
+    spark.udf.register("publication_json", publication_json)
+    spark.udf.register("split_subjects", _over(publication.split_subjects, "array<string>"))
+    for name, f, keys in (("split_subject_role", publication.split_role, ("name", "role")), ("conduct_period", publication.conduct_period, ("start", "end", "precision"))):
+        spark.udf.register(name, _over(lambda t, f=f, keys=keys: dict(zip(keys, f(t))), "map<string, string>"))

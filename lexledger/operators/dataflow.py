@@ -1,4 +1,4 @@
-"""Dataflow operators: resolution joins, ordered operators, diffs, proofs, coverage, gates, hashes."""
+"""Dataflow operators: resolution joins, ordered operators, diffs, proofs, coverage, hashes."""
 
 from __future__ import annotations
 
@@ -8,7 +8,8 @@ import json
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexledger.functions.text import jaccard, title_key
+from lexledger.functions.ids import review_id
+from lexledger.functions.text import title_key, tokens
 
 # ---- joins ----------------------------------------------------------------------------------------------------------
 
@@ -53,18 +54,44 @@ def fuzzy_resolve(rows: DataFrame, candidates: DataFrame, block: str, least: flo
     """Rows (row_id, block, title) matched to candidates (cand_id, block, title) of the same block.
 
     Exactly one equal title key is EXACT; else the best token Jaccard of at least ``least``, strictly above the second,
-    is JACCARD; rows without candidates are NO_DATE, all others UNRESOLVED. The block bounds the comparison."""
+    is JACCARD; rows without candidates are NO_DATE, all others UNRESOLVED, with the score of JACCARD only where a
+    candidate reaches ``least``.
+
+    Titles are compared once each, however many rows have them: equal keys by an equi-join, the others by a prefix
+    filter. Of two token sets of at least that similarity, each has among its 1 + floor((1 - least) * size) rarest tokens
+    one that the other has among its own, so candidates meet in an equi-join on rare tokens, not all with all."""
     r = rows.select("row_id", F.col(block).alias("block"), title_key(F.col("title")).alias("row_key"))
     c = candidates.select("cand_id", F.col(block).alias("block"), title_key(F.col("title")).alias("cand_key"))
-    pairs = r.join(c, "block", "left").withColumn("score", F.when(F.col("cand_id").isNotNull(), jaccard(F.col("row_key"), F.col("cand_key"))))
-    by = Window.partitionBy("row_id")
-    ranked = pairs.withColumn("n_exact", F.count(F.when(F.col("row_key") == F.col("cand_key"), 1)).over(by)).withColumn("place", F.row_number().over(by.orderBy(F.desc_nulls_last("score"), "cand_id"))).withColumn("second", F.lead("score").over(by.orderBy(F.desc_nulls_last("score"), "cand_id")))
-    exact = F.col("n_exact") == 1
-    wins = F.coalesce((F.col("score") >= least) & (F.col("second").isNull() | (F.col("score") > F.col("second"))), F.lit(False))
-    method = F.when(F.col("cand_id").isNull(), "NO_DATE").when(exact, "EXACT").when(wins, "JACCARD").otherwise("UNRESOLVED")
-    return ranked.filter(F.when(exact, F.coalesce(F.col("row_key") == F.col("cand_key"), F.lit(False))).otherwise(F.col("place") == 1)).select(
-        "row_id", F.when(exact | wins, F.col("cand_id")).alias("cand_id"), method.alias("method"), F.round(F.when(exact, 1.0).otherwise(F.col("score")), 6).alias("score")
-    )
+    blocks = c.select("block").distinct().withColumn("has", F.lit(True))
+    keys = c.groupBy("block", F.col("cand_key").alias("key")).agg(F.count(F.lit(1)).alias("n"), F.min("cand_id").alias("cand_id"))
+    titles = r.select("block", F.col("row_key").alias("key")).distinct().join(keys.select("block", "key", F.col("n").alias("n_equal"), F.col("cand_id").alias("equal_id")), ["block", "key"], "left")
+    open_ = titles.filter(F.coalesce("n_equal", F.lit(0)) != 1).select("block", "key")
+
+    def rare(df: DataFrame, frequency: DataFrame) -> DataFrame:
+        """(block, key, size, toks, token): a row for each token of a title's rare prefix."""
+        one = df.select("block", "key", tokens(F.col("key")).alias("toks"))
+        each = one.select("block", "key", "toks", F.explode("toks").alias("token")).join(frequency, ["block", "token"], "left")
+        ranked = each.groupBy("block", "key").agg(F.first("toks").alias("toks"), F.sort_array(F.collect_list(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "token"))).alias("order"))
+        prefix = F.slice("order", F.lit(1), (F.floor(F.size("toks") * (1 - least) + 1e-9) + 1).cast("int"))
+        return ranked.select("block", "key", "toks", F.explode(prefix).alias("o")).select("block", "key", "toks", F.col("o.token").alias("token"))
+
+    frequency = keys.select("block", F.explode(tokens(F.col("key"))).alias("token")).groupBy("block", "token").agg(F.count(F.lit(1)).alias("f"))
+    left = rare(open_, frequency).select("block", "key", F.col("toks").alias("a"), "token")
+    right = rare(keys.select("block", "key"), frequency).select("block", F.col("key").alias("cand_key"), F.col("toks").alias("b"), "token")
+    pairs = left.join(right, ["block", "token"]).filter(F.least(F.size("a"), F.size("b")) >= least * F.greatest(F.size("a"), F.size("b")) - 1e-9).drop("token").distinct()
+    both = F.size(F.array_intersect("a", "b"))
+    scored = pairs.select("block", "key", "cand_key", (both / (F.size("a") + F.size("b") - both)).alias("score")).filter(F.col("score") >= least)
+    scored = scored.join(keys.select("block", F.col("key").alias("cand_key"), "n", "cand_id"), ["block", "cand_key"])
+    # A title that several candidates have, or another title of the same score, leaves no strict winner.
+    level = scored.groupBy("block", "key", "score").agg(F.sum("n").alias("n"), F.min("cand_id").alias("cand_id"))
+    best = level.groupBy("block", "key").agg(F.max("score").alias("best"), F.max_by(F.struct("n", "cand_id"), "score").alias("top"))
+    unique = F.col("top.n") == 1
+    solved = titles.join(best.select("block", "key", "best", F.when(unique, F.col("top.cand_id")).alias("fuzzy_id")), ["block", "key"], "left").join(blocks, "block", "left")
+    exact = F.coalesce(F.col("n_equal") == 1, F.lit(False))
+    method = F.when(F.col("has").isNull(), "NO_DATE").when(exact, "EXACT").when(F.col("fuzzy_id").isNotNull(), "JACCARD").otherwise("UNRESOLVED")
+    out = solved.select("block", F.col("key").alias("row_key"), F.when(exact, F.col("equal_id")).otherwise(F.col("fuzzy_id")).alias("cand_id"), method.alias("method"), F.round(F.when(exact, 1.0).otherwise(F.col("best")), 6).alias("score"))
+    same = r["block"].eqNullSafe(out["block"]) & r["row_key"].eqNullSafe(out["row_key"])
+    return r.join(out, same).select("row_id", "cand_id", "method", "score")
 
 
 def positional_zip(df: DataFrame, left: str, right: str) -> DataFrame:
@@ -158,14 +185,65 @@ def project_status(notes: DataFrame, key: str, firmness: str, basis: str) -> Dat
     return notes.groupBy(key).agg(F.max_by(firmness, F.coalesce(rank, F.lit(0))).alias("firmness_status"), F.array_join(F.sort_array(F.collect_list(F.col(basis).cast("string"))), ";").alias("basis"))
 
 
-def history_matrix(items: DataFrame, period: str) -> DataFrame:
-    """Accounting for each period: items (period, enumerated, downloaded, parsed, sanctions, error)."""
-    out = items.groupBy(period).agg(
-        F.count(F.lit(1)).alias("n_items"), F.count_if("enumerated").alias("n_enumerated"), F.count_if("downloaded").alias("n_downloaded"), F.count_if("parsed").alias("n_parsed"),
-        F.count_if("error").alias("n_errors"), F.sum("sanctions").cast("bigint").alias("n_sanctions"),
+def history_matrix(days: DataFrame, downloaded: DataFrame) -> DataFrame:
+    """Accounting for each period, from its enumerated days (period, items: array of (boe_id, kind, sanction_like), error)
+    and the publications there are (period, boe_id): days, errors, documents enumerated, by kind, downloaded and failed,
+    and the SHA-256 of the sorted identifiers. A period with a sanction publication and a failed document is PARTIAL."""
+    items = days.select("period", F.inline("items")).join(downloaded.select("period", "boe_id", F.lit(True).alias("here")).distinct(), ["period", "boe_id"], "left")
+    here = F.coalesce("here", F.lit(False))
+    known = F.col("kind").isin("SANCTION_PUBLICATION", "CORRECTION")
+    counted = items.groupBy("period").agg(
+        F.count(F.lit(1)).alias("n_enumerated"), F.count_if(F.col("kind") == "SANCTION_PUBLICATION").alias("n_sanctions"), F.count_if(F.col("kind") == "CORRECTION").alias("n_corrections"), F.count_if(~known).alias("n_other"),
+        F.count_if(here).alias("n_downloaded"), F.count_if(F.col("sanction_like") & ~here).alias("n_failed"), F.sha2(F.array_join(F.sort_array(F.collect_list("boe_id")), "\n"), 256).alias("identifiers_sha256"),
     )
-    whole = (F.col("n_errors") == 0) & (F.col("n_downloaded") == F.col("n_enumerated"))
-    return out.withColumn("status", F.when(whole, "REPRODUCIBLY_ENUMERATED").otherwise("PARTIAL"))
+    out = days.groupBy("period").agg(F.count(F.lit(1)).alias("n_days"), F.count("error").alias("n_errors")).join(counted, "period", "left")
+    out = out.select("period", "n_days", "n_errors", *[F.coalesce(c, F.lit(0)).alias(c) for c in counted.columns if c.startswith("n_")], F.coalesce("identifiers_sha256", F.sha2(F.lit(""), 256)).alias("identifiers_sha256"))
+    return out.withColumn("status", F.when((F.col("n_sanctions") == 0) | (F.col("n_failed") == 0), "REPRODUCIBLY_ENUMERATED").otherwise("PARTIAL"))
+
+
+def seed_reviews(defects: DataFrame, documents: DataFrame, compat: str) -> DataFrame:
+    """Review items of known defects (defect_id, defect_class, description, fixtures) for fixtures among the documents
+    (document_id, sha256): reviews of unknown bytes mean nothing."""
+    each = defects.select("defect_id", "defect_class", "description", F.explode("fixtures").alias("document_id"))
+    out = each.join(documents.select("document_id", "sha256").filter("sha256 <> ''"), "document_id")
+    parts = [F.lit("defect"), F.col("defect_id"), F.col("document_id"), F.col("sha256"), F.lit(compat)]
+    return out.select(
+        review_id(*parts).alias("review_id"), F.lit("defect").alias("subject_type"), F.col("defect_id").alias("subject_id"), "document_id", F.col("sha256").alias("raw_sha256"),
+        F.lit(compat).alias("review_compat_version"), F.col("defect_class").alias("reason_code"), F.lit("CORRECTED").alias("status"), F.col("description").alias("expected_interpretation"),
+    )
+
+
+def document_profile(infringements: DataFrame, sanctions: DataFrame, respondents: DataFrame) -> DataFrame:
+    """Each case's sorted sets of severities, articles, statutes and subjects, and the sum of its fines."""
+    of = lambda c: F.array_join(F.sort_array(F.collect_set(c)), ";")
+    facts = infringements.groupBy("case_id").agg(of("severity").alias("severities"), of("article_normalized").alias("articles"), of("statute_normalized").alias("statutes"))
+    named = sanctions.join(respondents.select("respondent_id", "normalized_name"), "respondent_id", "left")
+    fines = named.groupBy("case_id").agg(of("normalized_name").alias("subjects"), F.coalesce(F.sum("amount"), F.lit(0)).cast("decimal(38,2)").alias("total"))
+    return facts.join(fines, "case_id", "full_outer")
+
+
+def bar_scale(df: DataFrame, value: str) -> DataFrame:
+    """``share``: the value by the greatest value, or by one if that is less. The maximum is one row, joined to all."""
+    most = df.agg(F.greatest(F.max(value), F.lit(1)).alias("most"))
+    return df.join(F.broadcast(most)).withColumn("share", F.col(value) / F.col("most")).drop("most")
+
+
+def is_subset(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
+    """One row: whether every key of a is among those of b."""
+    return a.select(key).join(b.select(key), key, "left_anti").agg((F.count(F.lit(1)) == 0).alias("is_subset"))
+
+
+def successor_link(sanctions: DataFrame, declared: DataFrame) -> DataFrame:
+    """Sanctions (doc, sanction_id, declared_subject) with the last infringement declared for that name in the same
+    document (doc, name, ordinal, infringement_id); names are compared in lower case, without outer blanks."""
+    name = lambda c: F.lower(F.trim(c))
+    last = declared.groupBy("doc", name("name").alias("who")).agg(F.max_by("infringement_id", "ordinal").alias("declared_infringement"))
+    return sanctions.withColumn("who", name("declared_subject")).join(last, ["doc", "who"], "left").drop("who")
+
+
+def latest_release(df: DataFrame, path: str, file: str) -> DataFrame:
+    """The greatest path of a release folder ("v...") that holds the file."""
+    return df.filter(F.col(path).rlike(rf"/v[^/]*/{file}$")).agg(F.max(path).alias("path"))
 
 
 def reconciliation(docs: DataFrame, corpus: str, kind: str, kinds: list[str]) -> DataFrame:
@@ -189,61 +267,22 @@ def proof_level(excerpt: Column, raw_value: Column, paragraph: Column, sha: Colu
     return F.when(sha.isNotNull() & (sha != artifact), F.lit(None)).when(located & value, "VALUE_BINDING_PROVEN").when(located, "LOCATION_PROVEN").otherwise("DOCUMENT_BINDING_PROVEN")
 
 
-# ---- gates ----------------------------------------------------------------------------------------------------------
-
-
-def gate(name: str, violations: DataFrame) -> DataFrame:
-    """One row: the gate, its number of violations, and whether it holds."""
-    return violations.agg(F.count(F.lit(1)).alias("n_violations")).select(F.lit(name).alias("gate"), "n_violations", (F.col("n_violations") == 0).alias("ok"))
-
-
-def release_gates(t: dict[str, DataFrame], built_at, fixtures: DataFrame | None = None) -> DataFrame:
-    """The checks of a release over the ledger's tables as written, one row for each gate. All are violation queries."""
-    docs, cases, inf, san, ev = t["documents"], t["cases"], t["infringements"], t["sanctions"], t["evidence"]
-    fine = F.col("sanction_type") == "MONETARY_FINE"
-    case_docs = cases.select("case_id", "canonical_boe_id")
-    checks = {
-        "documents_parsed": t["parse_issues"].filter(F.col("kind") == "PARSE_FAILED"),
-        "case_has_infringement": case_docs.join(inf, "case_id", "left_anti"),
-        "case_has_sanction": case_docs.join(san, "case_id", "left_anti"),
-        "severity_present": inf.filter(F.col("severity").isNull() | (F.col("severity") == "UNKNOWN")),
-        "article_present": inf.filter("article_normalized IS NULL"),
-        "statute_present": inf.filter("statute_normalized IS NULL"),
-        "sanction_has_respondent": san.filter("respondent_id IS NULL"),
-        "fine_has_amount": san.filter(fine & F.col("amount").isNull()),
-        "non_monetary_has_no_amount": san.filter(~fine & (F.col("sanction_type") != "DISGORGEMENT") & F.col("amount").isNotNull()),
-        "sanction_infringement_fk": san.filter("infringement_id IS NOT NULL").join(inf, "infringement_id", "left_anti").select("sanction_id").union(san.join(t["respondents"], "respondent_id", "left_anti").select("sanction_id")),
-        "sanction_id_unique": san.groupBy("sanction_id").count().filter("count > 1"),
-        "sanction_has_evidence": san.join(ev.select(F.col("entity_id").alias("sanction_id")), "sanction_id", "left_anti"),
-        "resolution_before_publication": cases.filter("sanctioning_resolution_date > boe_publication_date"),
-        "conduct_before_publication": inf.join(cases.select("case_id", "boe_publication_date"), "case_id").filter("conduct_end_date > boe_publication_date"),
-        "evidence_document_fk": ev.join(docs, "document_id", "left_anti"),
-        "proven_value_has_locator_and_sha": ev.filter((F.col("proof_level") == "VALUE_BINDING_PROVEN") & (F.col("locator").isNull() | F.col("artifact_sha256").isNull())),
-        "verified_negative_has_basis": cases.filter((F.col("appeal_observation_status") == "NOT_OBSERVED_WITHIN_VERIFIED_COVERAGE") != F.col("coverage_basis_id").isNotNull()),
-        "no_future_observation": ev.filter(F.col("observed_at") > F.lit(built_at) + F.expr("INTERVAL 1 HOUR")),
-        "respondent_id_present": t["respondents"].filter(F.coalesce(F.col("respondent_id"), F.lit("")) == ""),
-        "evidence_bound_to_artifact": ev.filter("artifact_sha256 IS NULL"),
-        "fine_amount_is_decimal": san.filter(fine & (F.typeof("amount") != "decimal(18,2)")),
-    }
-    if fixtures is not None:
-        checks["fixtures_match_sums"] = fixtures.filter(~F.col("sha256").eqNullSafe(F.col("expected")))
-    rows = [gate(k, v) for k, v in checks.items()]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.union(r)
-    return out
-
-
 # ---- dataset identity -----------------------------------------------------------------------------------------------
 
 
 def canonical_row(df: DataFrame) -> Column:
-    """A row as JSON with sorted keys, nulls kept, every value as text."""
-    return F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    """A row as JSON with sorted keys, nulls kept: whole numbers and booleans as such, decimals and times as text. Floats
+    have no canonical form and are an error."""
+    kinds = dict(df.dtypes)
+    if floats := [c for c, k in kinds.items() if "double" in k or "float" in k]:
+        raise TypeError(f"columns without a canonical form: {floats}")
+    exact = lambda c: F.col(f"`{c}`") if kinds[c] in ("boolean", "tinyint", "smallint", "int", "bigint", "string") or kinds[c].startswith(("array", "struct", "map")) else F.col(f"`{c}`").cast("string")
+    return F.to_json(F.struct(*[exact(c).alias(c) for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
 
 
 def logical_hash(df: DataFrame) -> DataFrame:
-    """Order-insensitive hash of a small table: SHA-256 of its sorted rows, each ended by a newline."""
+    """Order-insensitive hash of a small table: SHA-256 of its sorted rows, each ended by a newline. All rows meet in one
+    task; tables of a release that may be large take mergeable_hash."""
     return df.agg(F.sha2(F.concat(F.array_join(F.sort_array(F.collect_list(canonical_row(df))), "\n"), F.lit("\n")), 256).alias("logical_sha256"), F.count(F.lit(1)).alias("n_rows"))
 
 

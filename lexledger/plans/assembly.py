@@ -62,7 +62,7 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
     parsed = parsed.checkpoint()  # parsed once, in the shared folder, for all tables
     at = F.lit(observed_at).cast("timestamp")
     case = F.concat(F.lit("CNMV-"), F.col("boe_id"))
-    pubs = parsed.filter((F.col("document_kind") == "SANCTION_PUBLICATION") & (F.size("blocks") > 0) & F.col("boe_id").isNotNull())
+    pubs = parsed.filter((F.col("document_kind") == "SANCTION_PUBLICATION") & F.col("boe_id").isNotNull())
     blocks = pubs.select(case.alias("case_id"), "boe_id", "raw_sha256", "corpus", "path", F.inline("blocks")).withColumn("infringement_id", F.concat("case_id", F.lit("/I"), "ordinal"))
     # A block that only carries a successor's sanctions is no infringement of its own.
     own = blocks.filter(~(F.col("declared_for").isNotNull() & F.col("article").isNull()))
@@ -113,6 +113,9 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
         F.array(event("RESOLUTION", F.col("sanctioning_resolution_date")), event("ADMINISTRATIVE_FINALITY", F.lit(None), "administrative_finality_observed"), event("ADMINISTRATIVE_APPEAL", F.lit(None), "administrative_appeal_observed"), event("BOE_PUBLICATION", F.col("publication_date"))),
         lambda x: x.isNotNull(),
     )
+    # A publication without a block, or without a sanction, is a case all the same, and an issue.
+    sanctioned = F.exists("blocks", lambda b: F.size(b["sanctions"]) > 0)
+    empty_handed = pubs.filter(~sanctioned).select("boe_id", F.when(F.size("blocks") == 0, "NO_BLOCK").otherwise("NO_SANCTION").alias("kind"), F.col("path").alias("detail"))
     none = F.lit(None).cast("string")
     own_events = pubs.select(case.alias("case_id"), "boe_id", F.posexplode(happened).alias("pos", "e")).select(
         ids.event_id(F.col("case_id"), F.col("e.event_type"), F.col("pos")).alias("event_id"), "case_id", "e.event_type", "e.event_date", at.alias("observed_at"), F.col("boe_id").alias("source_document_id"), none.alias("event_payload"))
@@ -132,7 +135,7 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
         "related_provisions": own.select("infringement_id", "case_id", F.explode("related").alias("r")).select("infringement_id", "case_id", "r.statute_raw", "r.article_raw", F.col("r.statute").alias("statute_normalized"), F.col("r.article").alias("article_normalized"), F.lit("RELATED").alias("relation")),
         "sanctions": lines.select("sanction_id", "case_id", F.when(F.col("s.name").isNotNull(), F.col("respondent_id")).alias("respondent_id"), "infringement_id", "s.ordinal", F.col("s.type").alias("sanction_type"), "severity", "s.amount", "s.currency", "s.amount_raw", "s.duration_raw"),
         "evidence": rows.select(F.col("f.kind").alias("fact_type"), F.col("f.entity_id").alias("entity_id"), F.col("f.name").alias("field_name"), F.col("boe_id").alias("document_id"), F.when(F.col("paragraph").isNotNull(), F.concat(F.lit("texto/p["), "paragraph", F.lit("]"))).alias("locator"), F.substr("f.excerpt", F.lit(1), F.lit(500)).alias("excerpt"), F.col("f.method").alias("extraction_method"), F.col("f.method").alias("confidence_type"), at.alias("observed_at"), F.lit("XML").alias("representation"), F.lit("PARAGRAPH").alias("locator_type"), F.col("raw_sha256").alias("artifact_sha256"), flow.proof_level(F.col("f.excerpt"), F.col("f.value"), F.col("paragraph_text"), F.col("raw_sha256"), F.col("raw_sha256")).alias("proof_level"), F.col("f.value").alias("raw_value")),
-        "parse_issues": parsed.select("boe_id", F.inline("issues")).unionByName(flow.later_entries(corpus, ["boe_id"], ["corpus", "path"]).select("boe_id", F.lit("DUPLICATE_DOCUMENT").alias("kind"), F.col("path").alias("detail"))),
+        "parse_issues": parsed.select("boe_id", F.inline("issues")).unionByName(empty_handed).unionByName(flow.later_entries(corpus, ["boe_id"], ["corpus", "path"]).select("boe_id", F.lit("DUPLICATE_DOCUMENT").alias("kind"), F.col("path").alias("detail"))),
         "review_items": spark.createDataFrame([], TABLES["review_items"]),
     }
     return {k: v.to(spark.createDataFrame([], TABLES[k]).schema) for k, v in out.items()}

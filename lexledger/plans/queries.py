@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lexledger.functions import dates, ids, legal, numbers, text
 from lexledger.operators import dataflow as flow
-from lexledger.operators import ledger
+from lexledger.operators import gates, ledger
 from lexledger.plans import star
 
 QUERIES = {}
@@ -183,20 +183,20 @@ query("rule_longest_prefix", f"WITH {RULES_SQL} SELECT id, rule_id AS rule_versi
 
 
 @query("fuzzy_title_resolve", """
-WITH r AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS row_id, p_brand AS block, lower(p_name || ' ' || p_type) AS k FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity = 7),
-c AS (SELECT p_partkey AS cand_id, p_brand AS block, lower(p_name || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ' ' || p_type END || CASE WHEN p_partkey % 2 = 0 THEN ' extra' ELSE '' END) AS k FROM part WHERE p_size < 6),
-t AS (SELECT row_id, cand_id, r.k AS rk, c.k AS ck, len(list_intersect(list_distinct(string_split(r.k, ' ')), list_distinct(string_split(c.k, ' ')))) / len(list_distinct(list_concat(string_split(r.k, ' '), string_split(c.k, ' ')))) AS score FROM (SELECT DISTINCT * FROM r) r LEFT JOIN c USING (block)),
-g AS (SELECT *, count(*) FILTER (rk = ck) OVER (PARTITION BY row_id) AS n_exact, row_number() OVER (PARTITION BY row_id ORDER BY score DESC NULLS LAST, cand_id) AS place, lead(score) OVER (PARTITION BY row_id ORDER BY score DESC NULLS LAST, cand_id) AS second FROM t)
-SELECT row_id, CASE WHEN n_exact = 1 OR (score >= 0.85 AND (second IS NULL OR score > second)) THEN cand_id END AS cand_id,
-  CASE WHEN cand_id IS NULL THEN 'NO_DATE' WHEN n_exact = 1 THEN 'EXACT' WHEN score >= 0.85 AND (second IS NULL OR score > second) THEN 'JACCARD' ELSE 'UNRESOLVED' END AS method, round(CASE WHEN n_exact = 1 THEN 1.0 WHEN cand_id IS NOT NULL THEN score END, 6) AS score
-FROM g WHERE CASE WHEN n_exact = 1 THEN rk = ck ELSE place = 1 END""")
+WITH r AS (SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS row_id, p_brand AS block, lower(p_name || ' ' || p_type) AS k FROM lineitem JOIN part ON l_partkey = p_partkey),
+c AS (SELECT p_partkey AS cand_id, p_brand AS block, lower(p_name || CASE WHEN p_partkey % 3 = 0 THEN '' ELSE ' ' || p_type END || CASE WHEN p_partkey % 2 = 0 THEN ' extra' ELSE '' END) AS k FROM part),
+t AS (SELECT u.block, u.k AS rk, cand_id, c.k AS ck, len(list_intersect(list_distinct(string_split(u.k, ' ')), list_distinct(string_split(c.k, ' ')))) / len(list_distinct(list_concat(string_split(u.k, ' '), string_split(c.k, ' ')))) AS score FROM (SELECT DISTINCT block, k FROM r) u LEFT JOIN c USING (block)),
+g AS (SELECT *, count(*) FILTER (rk = ck) OVER w AS n_exact, row_number() OVER (w ORDER BY score DESC NULLS LAST, cand_id) AS place, lead(score) OVER (w ORDER BY score DESC NULLS LAST, cand_id) AS second FROM t WINDOW w AS (PARTITION BY block, rk)),
+s AS (SELECT block, rk, CASE WHEN n_exact = 1 OR (score >= 0.85 AND (second IS NULL OR score > second)) THEN cand_id END AS cand_id,
+  CASE WHEN cand_id IS NULL THEN 'NO_DATE' WHEN n_exact = 1 THEN 'EXACT' WHEN score >= 0.85 AND (second IS NULL OR score > second) THEN 'JACCARD' ELSE 'UNRESOLVED' END AS method, round(CASE WHEN n_exact = 1 THEN 1.0 WHEN score >= 0.85 THEN score END, 6) AS score
+  FROM g WHERE CASE WHEN n_exact = 1 THEN rk = ck ELSE place = 1 END)
+SELECT row_id, s.cand_id, s.method, s.score FROM r JOIN s ON r.block = s.block AND r.k = s.rk""")
 def _fuzzy(spark, d):
     parts = star.read(spark, d, "part")
     key = F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")])
-    rows = star.read(spark, d, "lineitem").filter("l_quantity = 7").join(parts, F.col("l_partkey") == F.col("p_partkey")).select(key.alias("row_id"), F.col("p_brand").alias("block"), F.concat_ws(" ", "p_name", "p_type").alias("title")).distinct()
+    rows = star.read(spark, d, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey")).select(key.alias("row_id"), F.col("p_brand").alias("block"), F.concat_ws(" ", "p_name", "p_type").alias("title"))
     title = F.concat(F.col("p_name"), F.when(F.col("p_partkey") % 3 == 0, "").otherwise(F.concat(F.lit(" "), F.col("p_type"))), F.when(F.col("p_partkey") % 2 == 0, " extra").otherwise(""))
-    candidates = parts.filter("p_size < 6").select(F.col("p_partkey").alias("cand_id"), F.col("p_brand").alias("block"), title.alias("title"))
-    return flow.fuzzy_resolve(rows, candidates, "block")
+    return flow.fuzzy_resolve(rows, parts.select(F.col("p_partkey").alias("cand_id"), F.col("p_brand").alias("block"), title.alias("title")), "block")
 
 
 @query("positional_zip", "SELECT o_orderkey, unnest(range(3)) AS pos, unnest(['a', 'b', 'c']) AS left_item, unnest(CASE WHEN o_orderkey % 2 = 0 THEN [o_orderstatus, o_orderpriority, o_orderpriority] ELSE [o_orderstatus, o_orderstatus, o_orderstatus] END) AS right_item FROM orders")
@@ -225,13 +225,18 @@ def _reconcile(spark, d):
     return flow.reconciliation(docs.withColumn("kind", F.when(F.col("quality") == 1, "GOOD").when(F.col("quality") == 0, "BAD").otherwise("OTHER")), "lang", "kind", ["GOOD", "BAD", "OTHER"])
 
 
-@query("history_matrix", """SELECT period, count(*) AS n_items, count(*) FILTER (event_type <> 'error') AS n_enumerated, count(*) FILTER (event_type IN ('view', 'click', 'purchase')) AS n_downloaded, count(*) FILTER (event_type = 'purchase') AS n_parsed,
-  count(*) FILTER (event_type = 'error') AS n_errors, CAST(sum(event_id % 3) AS BIGINT) AS n_sanctions, CASE WHEN count(*) FILTER (event_type = 'error') = 0 AND count(*) FILTER (event_type IN ('view', 'click', 'purchase')) = count(*) FILTER (event_type <> 'error') THEN 'REPRODUCIBLY_ENUMERATED' ELSE 'PARTIAL' END AS status
-  FROM (SELECT *, strftime(ts, '%Y-%m-%d %H') AS period FROM events) GROUP BY 1""")
+@query("history_matrix", """WITH days AS (SELECT CAST(ts AS DATE) AS day, strftime(ts, '%Y-%m') || '-' || (user_id % 7) AS period, event_id, event_type FROM events),
+  items AS (SELECT period, 'B' || event_id AS boe_id, event_type IN ('purchase', 'click') AS sanction_like, CASE event_type WHEN 'purchase' THEN 'SANCTION_PUBLICATION' WHEN 'signup' THEN 'CORRECTION' ELSE 'OTHER' END AS kind, event_id % 50 <> 7 AS here FROM days WHERE event_type <> 'error')
+  SELECT period, n_days, n_errors, count(boe_id) AS n_enumerated, count(*) FILTER (kind = 'SANCTION_PUBLICATION') AS n_sanctions, count(*) FILTER (kind = 'CORRECTION') AS n_corrections, count(*) FILTER (kind = 'OTHER') AS n_other, count(*) FILTER (here) AS n_downloaded,
+  count(*) FILTER (sanction_like AND NOT here) AS n_failed, sha256(coalesce(string_agg(boe_id, chr(10) ORDER BY boe_id), '')) AS identifiers_sha256,
+  CASE WHEN count(*) FILTER (kind = 'SANCTION_PUBLICATION') = 0 OR count(*) FILTER (sanction_like AND NOT here) = 0 THEN 'REPRODUCIBLY_ENUMERATED' ELSE 'PARTIAL' END AS status
+  FROM (SELECT period, count(DISTINCT day) AS n_days, count(DISTINCT CASE WHEN event_type = 'error' THEN day END) AS n_errors FROM days GROUP BY 1) LEFT JOIN items USING (period) GROUP BY 1, 2, 3""")
 def _matrix(spark, d):
-    kind = F.col("event_type")
-    e = star.read(spark, d, "events").select(F.date_format("ts", "yyyy-MM-dd HH").alias("period"), (kind != "error").alias("enumerated"), kind.isin("view", "click", "purchase").alias("downloaded"), (kind == "purchase").alias("parsed"), (kind == "error").alias("error"), (F.col("event_id") % 3).alias("sanctions"))
-    return flow.history_matrix(e, "period")
+    kind, error = F.col("event_type"), F.col("event_type") == "error"
+    e = star.read(spark, d, "events").select(F.concat_ws("-", F.date_format("ts", "yyyy-MM"), (F.col("user_id") % 7).cast("string")).alias("period"), F.col("ts").cast("date").alias("day"), F.concat(F.lit("B"), F.col("event_id").cast("string")).alias("boe_id"), "event_id", "event_type")
+    item = F.when(~error, F.struct("boe_id", F.when(kind == "purchase", "SANCTION_PUBLICATION").when(kind == "signup", "CORRECTION").otherwise("OTHER").alias("kind"), kind.isin("purchase", "click").alias("sanction_like")))
+    days = e.groupBy("period", "day").agg(F.collect_list(item).alias("items"), F.max(F.when(error, "failed")).alias("error"))
+    return flow.history_matrix(days, e.filter("event_id % 50 <> 7").select("period", "boe_id"))
 
 
 @query("appeal_status_from_notes", """SELECT user_id, CASE WHEN retrieval <> 'OK' THEN 'INCONCLUSIVE' WHEN list_has_any(kinds, ['APPEAL_NOTICE', 'JUDGMENT']) THEN 'OBSERVED' ELSE 'NOT_OBSERVED_WITHIN_VERIFIED_COVERAGE' END AS status FROM
@@ -246,9 +251,9 @@ STATES = {"signup": "UNKNOWN", "view": "FIRM_STATED", "click": "RENUNCIATION_OBS
 
 
 @query("firmness_rank_max", """SELECT user_id, arg_max(s, r) AS firmness_status, array_to_string(list_sort(list(CAST(event_id AS VARCHAR))), ';') AS basis FROM (SELECT user_id, event_id, CASE event_type WHEN 'signup' THEN 'UNKNOWN' WHEN 'view' THEN 'FIRM_STATED' WHEN 'click' THEN 'RENUNCIATION_OBSERVED' WHEN 'purchase' THEN 'APPEAL_OBSERVED' ELSE 'ANNULMENT_OBSERVED' END AS s,
-  CASE event_type WHEN 'signup' THEN 0 WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 ELSE 5 END AS r FROM events WHERE value < 12) GROUP BY 1""")
+  CASE event_type WHEN 'signup' THEN 0 WHEN 'view' THEN 1 WHEN 'click' THEN 2 WHEN 'purchase' THEN 3 ELSE 5 END AS r FROM events) GROUP BY 1""")
 def _firmness(spark, d):
-    return flow.project_status(star.read(spark, d, "events").filter("value < 12").withColumn("s", star._pick("event_type", STATES)), "user_id", "s", "event_id")
+    return flow.project_status(star.read(spark, d, "events").withColumn("s", star._pick("event_type", STATES)), "user_id", "s", "event_id")
 
 
 def _snapshot(spark, d, days: str):
@@ -258,8 +263,8 @@ def _snapshot(spark, d, days: str):
 
 SNAP = "(SELECT user_id, arg_max(event_type, (ts, event_id)) AS sha256, array_to_string(list_sort(list(DISTINCT event_type)), ',') AS notes, min(ts) AS f, max(ts) AS o FROM events WHERE {} GROUP BY 1)"
 DIFF = f"""SELECT coalesce(a.user_id, b.user_id) AS user_id, CASE WHEN a.o IS NULL THEN 'NEW' WHEN b.o IS NULL THEN 'GONE' WHEN a.notes IS DISTINCT FROM b.notes THEN 'CHANGED-NOTES' WHEN a.sha256 IS DISTINCT FROM b.sha256 THEN 'CHANGED-BYTES' ELSE 'SAME' END AS change, {{}}
-  FROM {SNAP.format("ts < TIMESTAMP '2024-01-03'")} a FULL OUTER JOIN {SNAP.format("ts >= TIMESTAMP '2024-01-28'")} b ON a.user_id = b.user_id"""
-BEFORE, AFTER = "ts < timestamp_ntz'2024-01-03 00:00:00'", "ts >= timestamp_ntz'2024-01-28 00:00:00'"
+  FROM {SNAP.format("ts < TIMESTAMP '2024-01-15'")} a FULL OUTER JOIN {SNAP.format("ts >= TIMESTAMP '2024-01-15'")} b ON a.user_id = b.user_id"""
+BEFORE, AFTER = "ts < timestamp_ntz'2024-01-15 00:00:00'", "ts >= timestamp_ntz'2024-01-15 00:00:00'"
 query("snapshot_diff", DIFF.format("coalesce(b.o, a.o) AS observed_at"))(lambda spark, d: flow.snapshot_diff(_snapshot(spark, d, BEFORE), _snapshot(spark, d, AFTER), "user_id").select("user_id", "change", "observed_at"))
 query("first_observed_carry", DIFF.format("coalesce(a.f, b.o) AS first_observed_at"))(lambda spark, d: flow.snapshot_diff(_snapshot(spark, d, BEFORE), _snapshot(spark, d, AFTER), "user_id").select("user_id", "change", "first_observed_at"))
 
@@ -270,9 +275,9 @@ def _resume(spark, d):
     return flow.missing_days(done, "day", "2023-12-25", "2024-02-05")
 
 
-@query("append_only_new", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("append_only_new", "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderkey % 13 = 0)")
 def _append(spark, d):
-    return flow.append_new(star.read(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), star.read(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey")
+    return flow.append_new(star.read(spark, d, "orders").filter("o_orderkey % 13 = 0").withColumnRenamed("o_custkey", "c_custkey"), star.read(spark, d, "customer").select("c_custkey", "c_name"), "c_custkey")
 
 
 @query("staleness_apply", "SELECT d.doc_id, CASE WHEN l.doc_id IS NULL OR d.doc_id % 7 = 0 OR d.doc_id % 5 <> l.quality + 1 THEN 'STALE' ELSE 'OPEN' END AS status FROM documents d LEFT JOIN labels l USING (doc_id)")
@@ -297,10 +302,10 @@ def _numbers(spark, d):
     return star.read(spark, d, "orders").select("o_orderkey", numbers.es_number(dotted).alias("a"), numbers.es_number(F.when(price >= 1000, F.translate(dotted, ",", ".")).otherwise(dotted)).alias("b"), numbers.es_number(F.split(dotted, ",")[0]).alias("c"))
 
 
-@query("spanish_words_to_int", "SELECT * FROM (VALUES ('cincuenta mil', 50000), ('quinientos cincuenta mil', 550000), ('veintitrés', 23), ('dos millones trescientos mil', 2300000), ('mil', 1000), ('cien mil millones', 1100000), ('treinta y cinco', 35), ('nada de eso', NULL)) t(words, n)")
+@query("spanish_words_to_int", "SELECT * FROM (VALUES ('cincuenta mil', 50000), ('quinientos cincuenta mil', 550000), ('veintitrés', 23), ('dos millones trescientos mil', 2300000), ('mil', 1000), ('cien mil millones', 100000000000), ('treinta y cinco', 35), ('nada de eso', NULL)) t(words, n)")
 def _words(spark, d):
     rows = ["cincuenta mil", "quinientos cincuenta mil", "veintitrés", "dos millones trescientos mil", "mil", "cien mil millones", "treinta y cinco", "nada de eso"]
-    return spark.createDataFrame([(r,) for r in rows], "words string").select("words", numbers.words_to_int(F.col("words")).cast("int").alias("n"))
+    return spark.createDataFrame([(r,) for r in rows], "words string").select("words", numbers.words_to_int(F.col("words")).alias("n"))
 
 
 @query("parse_dates_multi", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) AS b, CAST(o_orderdate AS DATE) AS c, CAST(NULL AS DATE) AS bad FROM orders")
@@ -383,10 +388,10 @@ def _sumario(spark, d):
 def _gates(spark, d):
     o, li, c, e = (star.read(spark, d, x) for x in ("orders", "lineitem", "customer", "events"))
     rows = [
-        flow.gate("fk_case", li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")), flow.gate("fk_respondent", o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_anti")),
-        flow.gate("unique_line", li.groupBy("l_orderkey", "l_linenumber").count().filter("count > 1")), flow.gate("null_date", o.filter("o_orderdate IS NULL")),
-        flow.gate("temporal", li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).filter("l_shipdate < o_orderdate")), flow.gate("money", li.filter(F.col("l_extendedprice").cast("decimal(18,2)") <= 0)),
-        flow.gate("evidence", c.join(e, F.col("c_custkey") == F.col("user_id"), "left_anti")), flow.gate("future_leak", e.filter("ts > timestamp_ntz'2024-01-20 00:00:00'")),
+        gates.gate("fk_case", li.join(o, F.col("l_orderkey") == F.col("o_orderkey"), "left_anti")), gates.gate("fk_respondent", o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left_anti")),
+        gates.gate("unique_line", li.groupBy("l_orderkey", "l_linenumber").count().filter("count > 1")), gates.gate("null_date", o.filter("o_orderdate IS NULL")),
+        gates.gate("temporal", li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).filter("l_shipdate < o_orderdate")), gates.gate("money", li.filter(F.col("l_extendedprice").cast("decimal(18,2)") <= 0)),
+        gates.gate("evidence", c.join(e, F.col("c_custkey") == F.col("user_id"), "left_anti")), gates.gate("future_leak", e.filter("ts > timestamp_ntz'2024-01-20 00:00:00'")),
     ]
     out = rows[0]
     for r in rows[1:]:
@@ -399,7 +404,7 @@ query("gate_violations", """SELECT gate, n_violations, n_violations = 0 AS ok FR
   UNION ALL SELECT 'unique_line', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1) UNION ALL SELECT 'null_date', count(*) FROM orders WHERE o_orderdate IS NULL
   UNION ALL SELECT 'temporal', count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_shipdate < o_orderdate UNION ALL SELECT 'money', count(*) FROM lineitem WHERE CAST(l_extendedprice AS DECIMAL(18,2)) <= 0
   UNION ALL SELECT 'evidence', count(*) FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events) UNION ALL SELECT 'future_leak', count(*) FROM events WHERE ts > TIMESTAMP '2024-01-20')""")(_gates)
-query("logical_row_hash", """SELECT sha256(string_agg(j, chr(10) ORDER BY j) || chr(10)) AS logical_sha256, count(*) AS n_rows FROM (SELECT '{"n_name":"' || n_name || '","n_nationkey":"' || n_nationkey || '","n_regionkey":"' || n_regionkey || '"}' AS j FROM nation)""")(
+query("logical_row_hash", """SELECT sha256(string_agg(j, chr(10) ORDER BY j) || chr(10)) AS logical_sha256, count(*) AS n_rows FROM (SELECT '{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}' AS j FROM nation)""")(
     lambda spark, d: flow.logical_hash(star.read(spark, d, "nation"))
 )
 query("schema_fingerprint", "SELECT substr(sha256('r_regionkey:int;r_name:string'), 1, 16) AS fingerprint")(lambda spark, d: spark.createDataFrame([(flow.schema_fingerprint(star.read(spark, d, "region")),)], "fingerprint string"))
@@ -455,3 +460,8 @@ def _observed_state(spark, d):
     schema = star.read(spark, d, "events").schema
     source = spark.readStream.schema(schema).parquet(f"{d}/events.parq*").select("user_id", F.col("event_type").alias("sha256"), F.col("ts").alias("observed_at"))
     return observe_stream(spark, source, "user_id").drop("changes")
+
+
+from lexledger.plans import corpus  # noqa: E402
+
+corpus.add(query)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from html.parser import HTMLParser
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,22 +67,48 @@ def register_page(html: str) -> tuple[list[dict], int | None]:
     return rows, int(pages[1]) if pages else None
 
 
-def register_rows(pages: DataFrame, html: str, page: str) -> DataFrame:
-    """The rows of all register pages."""
+REGISTER_ROW = "page_index int, declared_pages int, register_entry_date string, title string, document_url string"
 
-    @F.udf("array<struct<register_entry_date: string, title: string, document_url: string>>", useArrow=True)
-    def rows(text):
-        return register_page(text)[0] if text is not None else []
 
-    out = pages.select(F.col(page).alias("page_index"), F.explode(rows(F.col(html))).alias("r")).select("page_index", "r.*")
+def register_rows(pages: DataFrame, html: str, page: str) -> DataFrame:
+    """The rows of all register pages, each with the number of pages that its page declares; a page without rows is one
+    row without title."""
+
+    def parse(batches):
+        for batch in batches:
+            out = []
+            for index, text in zip(batch.column("page").to_pylist(), batch.column("html").to_pylist()):
+                rows, declared = register_page(text) if text is not None else ([], None)
+                out += [{"page_index": index, "declared_pages": declared} | r for r in rows or [{}]]
+            yield pa.RecordBatch.from_pylist(out, REGISTER)
+
+    out = pages.select(F.col(page).cast("int").alias("page"), F.col(html).alias("html")).mapInArrow(parse, REGISTER_ROW)
     return out.withColumn("register_entry_date", F.col("register_entry_date").cast("date"))
 
 
+REGISTER = pa.schema([("page_index", pa.int32()), ("declared_pages", pa.int32()), ("register_entry_date", pa.string()), ("title", pa.string()), ("document_url", pa.string())])
+
+
 def register_integrity(rows: DataFrame, page_size: int = 5) -> DataFrame:
-    """Pages short of a full page although they aren't the last one."""
-    sizes = rows.groupBy("page_index").agg(F.count(F.lit(1)).alias("n"))
-    last = sizes.agg(F.max("page_index").alias("last"))
-    return sizes.filter(F.col("n") != page_size).join(last, F.col("page_index") == F.col("last"), "left_anti")
+    """(page_index, n, problem): pages without rows, short pages before the last declared one, declared pages that are
+    missing, and pages that declare another number than page 0."""
+    sizes = rows.groupBy("page_index").agg(F.count("title").alias("n"), F.max("declared_pages").alias("declared"))
+    first = sizes.filter("page_index = 0").select(F.col("declared").alias("pages"))
+    every = first.select(F.explode(F.sequence(F.lit(0), F.greatest(F.col("pages"), F.lit(1)) - 1)).alias("page_index"), "pages")
+    joined = every.join(sizes, "page_index", "full_outer")
+    last = F.col("page_index") == F.col("pages") - 1
+    problem = (
+        F.when(F.col("pages").isNull(), "NOT_DECLARED").when(F.col("n").isNull(), "MISSING").when(F.col("n") == 0, "EMPTY")
+        .when(~last & (F.col("n") != page_size), "SHORT").when(F.col("declared") != F.col("pages"), "OTHER_COUNT")
+    )
+    return joined.select("page_index", F.coalesce("n", F.lit(0)).alias("n"), problem.alias("problem")).filter("problem IS NOT NULL")
+
+
+def register_total(rows: DataFrame, page_size: int = 5) -> DataFrame:
+    """One row: rows found, and how many the declared pages and the last page's rows say there are."""
+    pages = rows.agg(F.max_by("declared_pages", -F.col("page_index")).alias("pages"), F.count("title").alias("n_rows"), F.max("page_index").alias("top"))
+    last = rows.groupBy("page_index").agg(F.count("title").alias("n_last"))
+    return pages.join(last, F.col("page_index") == F.col("pages") - 1, "left").select("n_rows", ((F.col("pages") - 1) * page_size + F.coalesce("n_last", F.lit(0))).cast("bigint").alias("derived_total"))
 
 
 def _list(v: Column, path: str) -> Column:
@@ -113,6 +140,14 @@ def sumario_items(df: DataFrame, payload: str) -> DataFrame:
     )
 
 
+#: Fixed value: the department of the publications.
+DEPARTMENT = "1040"
+
+
+def of_department(items: DataFrame, code: str = DEPARTMENT) -> DataFrame:
+    return items.filter(F.col("departamento_codigo") == code)
+
+
 #: What titles of sanction publications contain.
 MARKERS = ["sanción", "sanciones", "sancion", "infracción", "infracciones", "expediente sancionador", "amonestación", "multa", "inhabilitación", "suspensión", "separación"]
 
@@ -137,6 +172,37 @@ def jsonl(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+SIDECAR_JSON = "array<struct<boe_id: string, title: string, register_entry_date: string, method: string, score: double>>"
+
+
+def sidecar_index(df: DataFrame, payload: str) -> DataFrame:
+    """(boe_id, title, register_entry_date, method, score) from an index file's text, a JSON list; of one boe_id the last
+    entry counts."""
+    each = df.select(F.posexplode(F.from_json(payload, SIDECAR_JSON)).alias("at", "e")).select("at", "e.*")
+    last = each.groupBy("boe_id").agg(F.max_by(F.struct("title", "register_entry_date", "method", "score"), "at").alias("e")).select("boe_id", "e.*")
+    return last.withColumn("register_entry_date", F.col("register_entry_date").try_cast("date"))
+
+
+def yaml_records(df: DataFrame, text: str) -> DataFrame:
+    """(at, record) of a YAML list of flat mappings ("- key: value", one key a line): rules and defect registries. Quotes
+    around a value go, "[a, b]" stays text for yaml_list, comments and empty lines don't count."""
+    plain = F.regexp_replace(text, r"(?m)^\s*(?:#.*)?(?:\r?\n|$)", "")
+    entries = F.filter(F.split(plain, r"(?m)^\s*-\s+"), lambda e: F.contains(e, F.lit(":")) & (F.trim(e) != ""))
+    entry = lambda e: F.map_from_entries(F.transform(F.regexp_extract_all(e, F.lit(r"(?m)^\s*[\w.]+:[^\n]*$"), F.lit(0)), _pair))
+    return df.select(F.posexplode(F.transform(entries, entry)).alias("at", "record"))
+
+
+def _pair(line: Column) -> Column:
+    value = F.trim(F.regexp_extract(line, r"^\s*[\w.]+:\s*(.*?)\s*$", 1))
+    return F.struct(F.regexp_extract(line, r"^\s*([\w.]+):", 1), F.when(~value.isin("", "null", "~"), F.regexp_replace(value, r"^([\"'])(.*)\1$", "$2")))
+
+
+def yaml_list(value: Column) -> Column:
+    """The elements of "[a, b]"."""
+    inner = F.regexp_extract(value, r"^\[(.*)\]$", 1)
+    return F.transform(F.filter(F.split(inner, ","), lambda x: F.trim(x) != ""), lambda x: F.regexp_replace(F.trim(x), r"^([\"'])(.*)\1$", "$2"))
+
+
 RAW_MANIFEST = "source_id string, authority string, canonical_locator string, retrieval_url string, retrieved_at string, sha256 string, content_type string, http_status int, document_type string, raw_path string"
 DAY_MANIFEST = "date string, items array<struct<boe_id: string, title: string, seccion: string, epigrafe: string, url_xml: string, sanction_like: boolean>>, error string"
 SIDECAR = "boe_id string, title string, register_entry_date date, method string, score double"

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,10 +18,16 @@ def write_tables(tables: dict[str, DataFrame], folder: str, files: int | None =
 
 
 def load_views(spark: SparkSession, tables: dict[str, DataFrame], built_at: str) -> None:
-    """The tables and ``meta`` as temporary views, for SQL."""
-    for name, df in tables.items():
+    """The tables as temporary views, for SQL, and ``meta``: the rows of each, when it was built, and by what."""
+    counts = None
+    for name, df in sorted(tables.items()):
         df.createOrReplaceTempView(name)
-    spark.createDataFrame([(built_at, spark.version)], "built_at_utc string, engine_version string").createOrReplaceTempView("meta")
+        one = df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        counts = one if counts is None else counts.union(one)
+    counts.select("*", F.lit(built_at).alias("built_at_utc"), F.lit(spark.version).alias("engine_version")).createOrReplaceTempView("meta")
+
+
+FORMATS = ("json", "csv", "parquet")
 
 
 def export(df: DataFrame, path: str, fmt: str) -> None:
@@ -44,19 +53,49 @@ def store_content(spark: SparkSession, docs: DataFrame, folder: str) -> None:
     docs.drop("content").write.mode("append").json(f"{folder}/manifest")
 
 
-def manifest(tables: dict[str, DataFrame]) -> dict:
-    """Rows, logical hash and schema fingerprint of each table, and the hash of the whole corpus."""
-    out = {}
+def manifest(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, n_rows, sum_a, sum_b, schema_fingerprint): what a release holds, by hashes that are summed over rows, so
+    that no table has to meet in one task. flow.logical_hash gives the hash over sorted rows, for small tables."""
+    out = None
     for name, df in sorted(tables.items()):
-        r = flow.logical_hash(df).first()
-        out[name] = {"rows": r.n_rows, "logical_sha256": r.logical_sha256, "schema_fingerprint": flow.schema_fingerprint(df)}
-    return {"tables": out, "corpus_hash": flow.corpus_hash({k: v["logical_sha256"] for k, v in out.items()})}
+        one = flow.mergeable_hash(df).select(F.lit(name).alias("table_name"), "n_rows", "sum_a", "sum_b", F.lit(flow.schema_fingerprint(df)).alias("schema_fingerprint"))
+        out = one if out is None else out.union(one)
+    return out
+
+
+def file_sums(spark: SparkSession, folder: str) -> DataFrame:
+    """(path below the folder, bytes, sha256) of all files of a release, as for SHA256SUMS; names starting with "_" or "."
+    don't count."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    below = F.regexp_replace("path", r"^.*?" + re.escape(re.sub(r"^[a-z]+:/*", "", folder).strip("/")) + "/", "")
+    return files.filter(~F.col("path").rlike(r"/[_.][^/]*$")).select(below.alias("path"), F.col("length").alias("n_bytes"), F.sha2("content", 256).alias("sha256"))
+
+
+def is_release(tag: str) -> bool:
+    return re.fullmatch(r"v\d+\.\d+\.\d+(?:-[0-9A-Za-z.]+)?", tag) is not None
+
+
+def release(spark: SparkSession, tables: dict[str, DataFrame], folder: str, tag: str, commit: str, limitations: list[str] = ()) -> None:
+    """A release: the tables, their manifest and coverage as JSON, and the sums of all files."""
+    if not is_release(tag):
+        raise ValueError(f"no release tag: {tag!r}")
+    base = f"{folder}/{tag}"
+    write_tables(tables, base)
+    back = {name: spark.read.schema(df.schema).parquet(f"{base}/{name}.parquet") for name, df in tables.items()}
+    parts = {r.table_name: r.asDict() for r in manifest(back).collect()}  # one row for each table
+    whole = flow.corpus_hash({k: f"{v['n_rows']}:{v['sum_a']}:{v['sum_b']}" for k, v in parts.items()})
+    put = lambda name, text: spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/{name}")
+    put("dataset_manifest.json", json.dumps({"release": tag, "code_commit": commit, "corpus_logical_sha256": whole, "tables": parts}, sort_keys=True))
+    cover = {k: [r.asDict() for r in v.collect()] for k, v in coverage(back["cases"], back["documents"], back["parse_issues"]).items()}  # grouped rows
+    put("coverage.json", json.dumps({"counts": {k: v["n_rows"] for k, v in parts.items()}, "limitations": list(limitations), **cover}, default=str, sort_keys=True))
+    file_sums(spark, base).coalesce(1).write.mode("overwrite").csv(f"{base}/_SHA256SUMS")
 
 
 def coverage(cases: DataFrame, documents: DataFrame, issues: DataFrame) -> dict[str, DataFrame]:
-    """The parts of the coverage ledger: date range, documents by corpus, issues by kind."""
+    """The parts of the coverage ledger: date range, documents and cases by corpus, issues by kind."""
+    made = cases.select(F.col("canonical_boe_id").alias("boe_id"), F.lit(1).alias("is_case"))
     return {
         "range": cases.agg(F.count(F.lit(1)).alias("n_cases"), F.min("boe_publication_date").alias("first"), F.max("boe_publication_date").alias("last")),
-        "corpora": documents.groupBy("corpus").agg(F.count(F.lit(1)).alias("n_documents"), F.countDistinct("boe_id").alias("n_publications")),
+        "corpora": documents.join(made, "boe_id", "left").groupBy("corpus").agg(F.count(F.lit(1)).alias("n_documents"), F.countDistinct("boe_id").alias("n_publications"), F.count("is_case").alias("n_cases"), F.count_if(F.col("is_case").isNull()).alias("n_non_case")),
         "issues": issues.groupBy("kind").agg(F.count(F.lit(1)).alias("n")),
     }
