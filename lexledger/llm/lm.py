@@ -1,32 +1,44 @@
 """LM scoring by logistic context mixing over hashed-context bit predictors.
 
-A text is read as its lower-cased words, each ended by a blank, the last one by a line end: a byte stream. A byte is
-coded as a few binary decisions, by a Huffman tree for the two bytes before it (an escape leads to the order-0 tree),
-so likely bytes take few. Four predictors give each decision a log-odds: the tree's node itself (order 2), and nodes hashed with
-the 4 and 6 bytes before and with the word so far. They are added up with weights that a gate selects (how much the
-6 bytes, the word and the 4 bytes have seen); within a text they are refined adaptively: after each of its blocks, which
-double in length, a damped Newton step moves the gain and a weight for the rest of that text. The log-probabilities
-of all decisions add to the score; total bits by total bytes is bits_per_byte.
-
-What is learned covers all training texts: token counts, byte trigrams for the trees, decision counts of all contexts
-(tables of fixed size; every task counts its own texts and sends its tables, so what is gathered grows with the
-input), and gate weights, by online gradient descent over a fixed share (1 in SHARE) of the training texts, which the
-decision counts leave out so that weights see unseen texts. Tables are summed in two levels and broadcast at a fixed
-size (about 20 MB). A text's score depends on the model and that text only.
-
-Base score: unigrams with add-one over training tokens. Chunks ask the buckets for the counts of their distinct words.
+A text is read as its lower-cased words, each ended by a blank, then a line end: a byte stream whose pieces are the
+tokens (words, then one end). Two layers score it:
+
+1. Bytes. A byte is coded as a few binary decisions, by a Huffman tree for the two bytes before it; bytes that this
+   tree has not take its escape and then the order-0 tree, without the decisions that lead only to bytes which the
+   first tree has, so the probabilities of all 256 bytes add up to one. Four predictors give each decision a log-odds: the
+   tree's node itself (order 2), and nodes hashed with the 4 and 6 bytes before and with the word so far. They are added
+   up with weights that a gate selects (how much the 6 bytes, the word and the 4 bytes have seen); within a text they are
+   refined adaptively: after each of its blocks, which double in length, a damped Newton step moves the gain and a
+   weight for the rest of that text.
+2. Tokens. The bytes' probability of a token is mixed with those that the counts of the whole corpus give it: after the
+   two tokens before, after the one before, and alone. The weight of a context depends on how often it was seen, and is
+   refined in the same way, in log-odds, within the text. Each part is a probability law over tokens, and so is the mixture.
+
+The log10 probabilities of all tokens add up to the score; total bits by total bytes is bits_per_byte.
+
+What is learned grows with the input and covers all training texts: the counts of all tokens, of all pairs and of all
+triples of neighbouring tokens (hashed keys, longer for more input, uncapped), asked for by chunk and bucket like all keys of exchange.py. The
+second layer leaves a counted text's own occurrence out at each token, so that texts learned from and held out compare.
+The first layer has fixed size (tables of 2**20, 2**22 and 2**22 hashed slots, trees for the CONTEXTS most frequent byte
+pairs): every task counts its own texts and sends its tables, which are summed in two levels and broadcast, about 20 MB.
+Its gate weights come from online gradient descent over a fixed share (1 in SHARE) of the training texts, while
+the decision counts leave these out so that weights see unseen texts; then they are counted too.
+
+Base score: unigrams with add-one over training tokens, from the same token counts.
 
 Defined results: null text is empty (one end token); documents without a doc_id are scored but neither train nor are
-held out; repeated rows each get their row; without training texts the model is uniform (all log-odds 0).
+held out; repeated rows each get their row; without training texts all log-odds and counts are 0.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,18 +61,23 @@ END_KEY = int(mix(np.array([0xE0D], U64))[0] >> U64(4))
 DAMP = 150.0
 #: Decisions in a step of the gate weights' descent.
 STEP = 1000
+#: Most training bytes of one task, so that its tables are small against what it reads.
+TASK_BYTES = 128 << 20
+#: Log-odds of a context seen n times: a + b * ln n, for two tokens before and one; and of counts alone against bytes.
+TRIPLE, PAIR, SINGLE = (0.0, 0.4), (-3.0, 0.2), -2.0
+#: Damping of the token weights' steps, tokens of a text's first block, and how far the weights may move.
+TOKEN_DAMP, TOKEN_BLOCK, TOKEN_MOVE = 1.0, 8, 4.0
 
 
 def stream(data: np.ndarray, offsets: np.ndarray):
     """The texts' byte streams: (bytes, first byte of each text)."""
     n = len(offsets) - 1
-    wide = np.insert(LOWER[data], offsets[1:], BLANK)
-    off = offsets + np.arange(n + 1)
+    wide = np.insert(LOWER[data], np.repeat(offsets[1:], 2), BLANK)
+    off = offsets + 2 * np.arange(n + 1)
     keep = IS_WORD[wide]
     word = keep.copy()
     keep[1:] |= word[:-1]
-    any_word = np.add.reduceat(word, off[:-1], dtype=np.int64) > 0 if n else np.zeros(0, bool)
-    keep[off[1:][~any_word] - 1] = True
+    keep[off[1:] - 1] = True
     wide[~word] = BLANK
     first = np.concatenate(([0], np.cumsum(keep)))[off]
     out = wide[keep]
@@ -97,14 +114,23 @@ class Trees:
         self.steps: list[int] = []
         self.nodes = 0
         self._grow(0, {s: float(order0[s]) + 1e-3 for s in range(256)})
+        # The bytes below each side of the order-0 tree's 255 nodes.
+        side = np.zeros((2, 255, 256), np.float32)
+        for symbol in range(256):
+            for step in self.steps[self.begin[symbol] : self.begin[symbol] + self.length[symbol]]:
+                side[step & 1, step >> 1, symbol] = 1
         mine = np.searchsorted(top, pair)
         mine[mine == len(top)] = 0
         inside = top[mine] == pair if len(top) else np.zeros(len(pair), bool)
         by: dict[int, dict[int, float]] = {}
         for m, s, c in zip(mine[inside].tolist(), last[inside].tolist(), counts[inside].tolist()):
             by.setdefault(m + 1, {})[s] = float(c)
+        free = np.ones((256, len(top) + 1), np.float32)  # bytes that a tree has not
         for m, seen in sorted(by.items()):
-            self._grow(m, seen | {ESCAPE: 0.5})
+            self._grow(m, seen | {ESCAPE: 0.5} if len(seen) < 256 else seen)
+            free[list(seen), m] = 0
+        #: Whether a tree's escape needs the decision of an order-0 node: both sides have bytes that the tree has not.
+        self.open = ((side[0] @ free > 0) & (side[1] @ free > 0)).T
         self.steps_array = np.array(self.steps, np.int32)
         self.steps, self.begin, self.length, self.number = [], self.begin.astype(np.int32), self.length.astype(np.int16), self.number.astype(np.int16)
 
@@ -134,7 +160,7 @@ class Trees:
         code = number * 257 + s
         n = self.length.take(code)
         unseen = (n == 0) & (number > 0)
-        at = np.arange(len(s))
+        at, head = np.arange(len(s)), np.zeros(0, np.int64)
         if unseen.any():
             count = 1 + unseen
             at = np.repeat(at, count)
@@ -145,7 +171,16 @@ class Trees:
             n = self.length.take(code)
         end = np.cumsum(n, dtype=np.int64)
         shift = np.repeat(self.begin.take(code) - end + n, n)
-        return self.steps_array.take(np.arange(len(shift)) + shift), np.repeat(at, n)
+        step, at = self.steps_array.take(np.arange(len(shift)) + shift), np.repeat(at, n)
+        if len(head):
+            size = n[head + 1].astype(np.int64)
+            own = np.arange(int(size.sum())) + np.repeat(end[head + 1] - np.cumsum(size), size)
+            forced = own[~self.open[np.repeat(number[unseen], size), step[own] >> 1]]
+            if len(forced):
+                keep = np.ones(len(step), bool)
+                keep[forced] = False
+                step, at = step[keep], at[keep]
+        return step, at
 
 
 def hashes(back: list[np.ndarray]) -> list[np.ndarray]:
@@ -196,6 +231,7 @@ def _unpack_counts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _count(buckets: int):
+    @X.tidy
     def run(batches):
         for table in X.gathered(batches, X.CHUNK_BYTES):
             data, offsets = flat(table["body"])
@@ -219,6 +255,7 @@ def _count(buckets: int):
     return run
 
 
+@X.tidy
 def _total(table: pa.Table) -> pa.Table:
     got = [_unpack_counts(p) for p in table["payload"].to_pylist()]
     keys, at = np.unique(np.concatenate([g[0] for g in got]), return_inverse=True)
@@ -230,9 +267,11 @@ def _total(table: pa.Table) -> pa.Table:
 
 
 def _decisions(trees: Trees, data: np.ndarray, offsets: np.ndarray, order_blocks: bool = False):
-    """(decisions, slots, byte of each decision, order of bytes, first byte of each text)."""
+    """(decisions, slots), and for texts in blocks also (byte of each decision, order of bytes, block of each, first byte of
+    each text, end of each token)."""
     out, first = stream(data, offsets)
     back = before(out, first)
+    ends = (out == BLANK) | (out == END)
     h = [*hashes(back), word_so_far(out, back[0])]
     order = None
     if order_blocks:
@@ -242,9 +281,9 @@ def _decisions(trees: Trees, data: np.ndarray, offsets: np.ndarray, order_blocks
         out, h = out[order], [x[order] for x in h]
         back = [back[0][order], back[1][order]]
         step, at = trees.events(out, back[0], back[1])
-        return step, slots(h, at, step >> 1), at, order, block[order], first
+        return step, slots(h, at, step >> 1), at, order, block[order], first, ends
     step, at = trees.events(out, back[0], back[1])
-    return step, slots(h, at, step >> 1), at, None, None, first
+    return step, slots(h, at, step >> 1)
 
 
 def _table_sizes(trees: Trees) -> list[int]:
@@ -255,6 +294,7 @@ SLICED = "slice int, part int, payload binary"
 
 
 def _learn(block):
+    @X.tidy
     def run(batches):
         trees = block.value
         sizes = _table_sizes(trees)
@@ -265,7 +305,7 @@ def _learn(block):
             data, offsets = flat(pa.chunked_array([batch.column("body")]))
             for a, b in pieces(offsets, PIECE):
                 seen = True
-                step, where, *_ = _decisions(trees, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                step, where = _decisions(trees, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 table[: begin[1] * 2] += np.bincount(step, minlength=begin[1] * 2).astype(U32)
                 for t, x in enumerate(where, 1):
                     np.add.at(table[begin[t] * 2 : begin[t + 1] * 2], (x << 1) | (step & 1), U32(1))
@@ -288,11 +328,13 @@ def _wide(raw: bytes) -> np.ndarray:
     return np.frombuffer(raw, U32 if len(raw) == SLICE * 8 else U64).astype(U64)
 
 
+@X.tidy
 def _add(table: pa.Table) -> pa.Table:
     total = sum(_wide(x) for x in table["payload"].to_pylist())
     return pa.table({"slice": table["slice"][:1], "part": table["part"][:1], "payload": pa.array([_squeeze(total)], pa.binary())})
 
 
+@X.tidy
 def _log_odds(table: pa.Table) -> pa.Table:
     """Log-odds in 1/256, times four, and how much was seen in the two lowest bits."""
     n = sum(_wide(x) for x in table["payload"].to_pylist()).astype(np.float64).reshape(-1, 2)
@@ -316,6 +358,7 @@ def _inputs(model: dict, step: np.ndarray, where: list[np.ndarray]):
 
 
 def _fit(block):
+    @X.tidy
     def run(batches):
         model = block.value
         w = model["weights"].astype(np.float64).copy()
@@ -323,7 +366,7 @@ def _fit(block):
         for batch in batches:
             data, offsets = flat(pa.chunked_array([batch.column("body")]))
             for a, b in pieces(offsets, PIECE):
-                step, where, *_ = _decisions(model["trees"], data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                step, where = _decisions(model["trees"], data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 x, gate = _inputs(model, step, where)
                 x.append(np.full(len(step), 0.3, np.float32))
                 bit = (step & 1).astype(np.float64)
@@ -344,6 +387,7 @@ def _fit(block):
     return run
 
 
+@X.tidy
 def _mean(table: pa.Table) -> pa.Table:
     add = lambda c: pa.array([sum(np.frombuffer(x) for x in table[c].to_pylist()).tobytes()], pa.binary())
     return pa.table({"w": add("w"), "n": add("n"), "part": table["part"][:1]})
@@ -352,13 +396,14 @@ def _mean(table: pa.Table) -> pa.Table:
 # ---- scoring --------------------------------------------------------------------------------------------------------
 
 
-def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
-    """(log10 probability, bytes) of each text."""
+def byte_log_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
+    """(ln probability of each token by its bytes, bytes of each text). Tokens: each text's words, then its end."""
     n = len(offsets) - 1
     if not n:
         return np.zeros(0), np.zeros(0, np.int64)
-    step, where, at, order, block, first = _decisions(model["trees"], data, offsets, order_blocks=True)
+    step, where, at, order, block, first, ends = _decisions(model["trees"], data, offsets, order_blocks=True)
     doc_of_byte = np.repeat(np.arange(n), np.diff(first))[order]
+    token_of_byte = (np.cumsum(ends) - ends)[order]
     x, gate = _inputs(model, step, where)
     base = np.zeros(len(step), np.float32)
     weights = model["weights"].astype(np.float32)
@@ -370,7 +415,8 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
     cut = np.searchsorted(block[at], np.arange(int(block[-1]) + 2))
     # What adapts: the gain of the mixed log-odds, and the weight of the longest context.
     moving = [base, x[2]]
-    total, moved, curve = np.zeros(n), np.zeros((2, n), np.float32), np.full((2, n), DAMP, np.float32)
+    moved, curve = np.zeros((2, n), np.float32), np.full((2, n), DAMP, np.float32)
+    logs = np.zeros(len(step), np.float32)
     for b, (lo, hi) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
         if hi == lo:
             continue
@@ -386,7 +432,7 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
         y = sign[lo:hi]
         p = 1 / (1 + np.exp(-z))
         err = y - p
-        total[own] += np.add.reduceat(np.log(1 - np.abs(err) + np.float32(1e-9)), head, dtype=np.float64)
+        np.log(1 - np.abs(err) + np.float32(1e-9), out=logs[lo:hi])
         if b + 2 < len(cut):
             bend = p * (1 - p)
             for k in range(2):
@@ -394,54 +440,238 @@ def log10_probabilities(model: dict, data: np.ndarray, offsets: np.ndarray):
                 curve[k, own] += np.add.reduceat(bend * v * v, head)
                 moved[k, own] += np.add.reduceat(err * v, head) / curve[k, own]
             np.clip(moved, -0.4, 0.4, out=moved)
-    return total / np.log(10), np.diff(first)
+    return np.bincount(token_of_byte[at], logs, int(ends.sum())), np.diff(first)
+
+
+def token_log_probabilities(by_bytes: np.ndarray, single: np.ndarray, pair: np.ndarray, triple: np.ndarray, first: np.ndarray, counted: np.ndarray, total: int) -> np.ndarray:
+    """ln probability of each token: what its bytes give it, mixed with counts of the corpus.
+
+    ``single``, ``pair``, ``triple``: how often the token, it and the one before, it and the two before occur in training
+    texts (``total`` tokens); ``first``: each text's first token, and the end; ``counted``: texts among the training texts,
+    whose own occurrences are left out."""
+    n, size = len(by_bytes), np.diff(first)
+    text = np.repeat(np.arange(len(size)), size)
+    place = np.arange(n) - first[text]
+    off = counted[text].astype(np.float64)
+    single, pair, triple = (np.maximum(0, c - off) for c in (single, pair, triple))
+    before, before2 = (np.append(0.0, c[:-1]) for c in (single, pair))
+    before, before2 = before * (place > 0), before2 * (place > 1)
+    by_single = single / np.maximum(1, total - off)
+    by_pair = np.minimum(1, pair * (place > 0) / np.maximum(1, before))
+    by_triple = np.minimum(1, triple * (place > 1) / np.maximum(1, before2))
+    block = np.maximum(0, np.frexp((place // TOKEN_BLOCK).astype(np.float32))[1])
+    order = np.argsort(block, kind="stable")
+    cut = np.searchsorted(block[order], np.arange(int(block.max(initial=0)) + 2)).tolist()
+    # All in the order of blocks, so that a block is a slice. Odds of minus infinity: no such context was seen.
+    seen = [before2[order], before[order]]
+    odds = [np.where(c > 0, a + b * np.log(np.maximum(1, c)), -np.inf) for (a, b), c in zip((TRIPLE, PAIR), seen)] + [np.full(n, SINGLE if total else -np.inf)]
+    laws, text, by_bytes = [by_triple[order], by_pair[order], by_single[order]], text[order], by_bytes[order]
+    chance = np.exp(by_bytes)
+    moved, curve = np.zeros((3, len(size))), np.full((3, len(size)), TOKEN_DAMP)
+    out = np.zeros(n)
+    for b, (lo, hi) in enumerate(zip(cut, cut[1:])):
+        if hi == lo:
+            continue
+        d = text[lo:hi]
+        share = [1 / (1 + np.exp(np.minimum(50, -z[lo:hi] - m[d]))) * (z[lo:hi] > -np.inf) for z, m in zip(odds, moved)]
+        rest, part = np.ones(hi - lo), []
+        for q, law in zip(share, laws):
+            part.append(rest * q * law[lo:hi])
+            rest = rest * (1 - q)
+        p = part[0] + part[1] + part[2] + rest * chance[lo:hi]
+        out[lo:hi] = np.where(p > 1e-280, np.log(np.maximum(p, 1e-280)), np.log(rest) + by_bytes[lo:hi])
+        if b + 2 < len(cut):
+            head = np.flatnonzero(np.append(True, d[1:] != d[:-1]))
+            own, left = d[head], np.ones(hi - lo)
+            p = np.maximum(p, 1e-280)
+            for k in range(3):
+                got = part[k] / p
+                curve[k, own] += np.add.reduceat(left * share[k] * (1 - share[k]), head)
+                moved[k, own] += np.add.reduceat(got - left * share[k], head) / curve[k, own]
+                left = left - got
+            np.clip(moved, -TOKEN_MOVE, TOKEN_MOVE, out=moved)
+    back = np.empty(n)
+    back[order] = out
+    return back
 
 
-def _ask(buckets: int):
-    def run(table: pa.Table) -> pa.Table:
-        data, offsets = flat(table["body"])
-        words = [np.array([END_KEY], U64)]
-        for a, b in pieces(offsets):
-            words.append(_token_keys(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[0])
-        return X.send(table["chunk"][0].as_py(), buckets, 60, np.unique(np.concatenate(words)))
+def _tokens(keys: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys with each text's end, first token of each text)."""
+    return np.insert(keys, first[1:], U64(END_KEY)), first + np.arange(len(first))
 
-    return run
+
+def gram_bits(total: int) -> int:
+    """Bits of the keys of pairs and triples in ``total`` bytes of text: about one of 200 shares its key by chance."""
+    return max(32, min(56, max(1, total).bit_length() + 5))
+
+
+def _grams(tokens: np.ndarray, first: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(keys of all pairs and triples, place of each one's last token, first of pairs and then of triples, how many are pairs)."""
+    place = np.arange(len(tokens)) - np.repeat(first[:-1], np.diff(first))
+    two, three = np.flatnonzero(place > 0), np.flatnonzero(place > 1)
+    pair = tokens[two] + tokens[two - 1] * U64(0x9E3779B97F4A7C15)
+    triple = tokens[three] + tokens[three - 1] * U64(0x9E3779B97F4A7C15) + tokens[three - 2] * U64(0xC2B2AE3D27D4EB4F) + U64(1)
+    return mix(np.concatenate((pair, triple))) >> U64(64 - bits), np.concatenate((two, three)), len(two)
+
+
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Sorted keys as deltas of so few bytes that nearly all fit, and the others besides."""
+    d = np.diff(keys, prepend=U64(0))
+    for width in range(1, 9):
+        most = U64((1 << 8 * width) - 1)
+        far = d >= most
+        if width == 8 or far.mean() < 0.03:
+            break
+    low = np.ascontiguousarray(np.minimum(d, most).view(np.uint8).reshape(-1, 8)[:, :width])
+    return b"".join([np.array([len(d), width, int(far.sum())], U64).tobytes(), low.tobytes(), d[far].tobytes()])
 
 
-def _reply(asked: pa.Table, counted: pa.Table) -> pa.Table:
-    if not counted.num_rows or not asked.num_rows:
-        return X.messages([], [], [])
-    known, n = _unpack_counts(counted["payload"][0].as_py())
-    out = []
-    for b, c, raw in zip(asked["bucket"].to_pylist(), asked["chunk"].to_pylist(), asked["payload"].to_pylist()):
-        keys = X.unpack(raw)[0]
-        keys = keys[X.member(keys, known)]
-        if len(keys):
-            out.append((b, c, _pack_counts(keys, n[np.searchsorted(known, keys)])))
-    return X.messages(*zip(*out)) if out else X.messages([], [], [])
+def _unpack_keys(raw: bytes) -> np.ndarray:
+    n, width, m = (int(x) for x in np.frombuffer(raw, U64, 3))
+    d = np.zeros((n, 8), np.uint8)
+    d[:, :width] = np.frombuffer(raw, np.uint8, n * width, 24).reshape(-1, width)
+    d = d.view(U64).ravel()
+    d[d == U64((1 << 8 * width) - 1)] = np.frombuffer(raw, U64, m, 24 + n * width)
+    return np.cumsum(d, dtype=U64)
 
 
-def _score(block, kept: int):
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts, most of them small: a byte each, deflated, and those of 255 or more besides."""
+    low = zlib.compress(np.minimum(counts, 255).astype(np.uint8).tobytes(), 1)
+    return len(low).to_bytes(8, "little") + low + counts[counts >= 255].astype(U64).tobytes()
+
+
+def _widen(raw: bytes) -> np.ndarray:
+    end = 8 + int.from_bytes(raw[:8], "little")
+    out = np.frombuffer(zlib.decompress(raw[8:end]), np.uint8).astype(np.float64)
+    out[out == 255] = np.frombuffer(raw, U64, -1, end)
+    return out
+
+
+def _of_chunk(table: pa.Table):
+    """(token keys of a chunk, first token of each text)."""
+    data, offsets = flat(table["body"])
+    keys, first = [np.zeros(0, U64)], [np.zeros(1, np.int64)]
+    for a, b in pieces(offsets):
+        own, begin = _token_keys(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        keys.append(own)
+        first.append(begin[1:] + first[-1][-1])
+    return _tokens(np.concatenate(keys), np.concatenate(first))
+
+
+def _ask(buckets: int, bits: int):
+    def run(table: pa.Table) -> pa.Table:
+        chunk = table["chunk"][0].as_py()
+        tokens, first = _of_chunk(table)
+        kinds = np.sort(tokens)
+        asked = X.send(chunk, buckets, 60, kinds[np.append(True, kinds[1:] != kinds[:-1])])
+        keys, at, _ = _grams(tokens, first, bits)
+        counted = np.repeat(np.array(table["counted"].to_pylist(), bool), np.diff(first))[at]
+        v = np.sort(keys << U64(1) | counted.astype(U64))
+        keys = v >> U64(1)
+        head = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        n = np.add.reduceat((v & U64(1)).astype(np.uint32), head) if len(head) else np.zeros(0, np.uint32)
+        keys = keys[head]
+        cut = np.searchsorted(X.bucket_of(keys, bits, buckets), np.arange(buckets + 1)).tolist()
+        rows = []
+        for b, (x, y) in enumerate(zip(cut, cut[1:])):
+            if y > x:
+                packed = _pack_keys(keys[x:y])
+                rows.append((buckets + b, len(packed).to_bytes(8, "little") + packed + _narrow(n[x:y])))
+        return pa.concat_tables([asked, X.messages([b for b, _ in rows], [chunk] * len(rows), [p for _, p in rows])])
+
+    return X.tidy(run)
+
+
+def _reply(buckets: int):
+    def run(asked: pa.Table, counted: pa.Table) -> pa.Table:
+        if not asked.num_rows:
+            return X.messages([], [], [])
+        if asked["bucket"][0].as_py() >= buckets:
+            return _add_grams(asked)
+        if not counted.num_rows:
+            return X.messages([], [], [])
+        known, n = _unpack_counts(counted["payload"][0].as_py())
+        out = []
+        for b, c, raw in zip(asked["bucket"].to_pylist(), asked["chunk"].to_pylist(), asked["payload"].to_pylist()):
+            keys = X.unpack(raw)[0]
+            keys = keys[X.member(keys, known)]
+            if len(keys):
+                out.append((b, c, _pack_counts(keys, n[np.searchsorted(known, keys)])))
+        return X.messages(*zip(*out)) if out else X.messages([], [], [])
+
+    return X.tidy(run)
+
+
+def _add_grams(asked: pa.Table) -> pa.Table:
+    """Each chunk's pairs and triples with their counts over all chunks, in the order in which the chunk sent them."""
+    keys, counts = [], []
+    for raw in asked["payload"].to_pylist():
+        end = 8 + int.from_bytes(raw[:8], "little")
+        keys.append(_unpack_keys(raw[8:end]))
+        counts.append(_widen(raw[end:]))
+    cut = np.cumsum([0, *map(len, keys)]).tolist()
+    every = np.concatenate(keys)
+    order = np.argsort(every)
+    every = every[order]
+    new = np.append(True, every[1:] != every[:-1])
+    total = np.add.reduceat(np.concatenate(counts)[order], np.flatnonzero(new))
+    each = np.empty(len(every))
+    each[order] = total[np.cumsum(new) - 1]
+    return pa.table({"bucket": asked["bucket"], "chunk": asked["chunk"], "payload": pa.array([_narrow(each[x:y]) for x, y in zip(cut, cut[1:])], pa.binary())})
+
+
+def _counts_of(tokens: np.ndarray, first: np.ndarray, answers: pa.Table, buckets: int, bits: int):
+    """(training occurrences of each token, of it and the one before, of it and the two before)."""
+    single = answers.filter(pc.less(answers["bucket"], buckets))
+    got = [_unpack_counts(p) for p in single["payload"].to_pylist()]
+    known, count = (np.concatenate([np.zeros(0, U64), *(g[i] for g in got)]) for i in (0, 1))
+    order = np.argsort(known)
+    known, count = known[order], count[order]
+    order = np.argsort(tokens)
+    sorted_ = tokens[order]
+    new = np.append(True, sorted_[1:] != sorted_[:-1]) if len(tokens) else np.zeros(0, bool)
+    distinct = sorted_[new]
+    hit = X.member(distinct, known)
+    each = np.zeros(len(distinct))
+    each[hit] = count[np.searchsorted(known, distinct[hit])]
+    one = np.empty(len(tokens))
+    one[order] = each[np.cumsum(new) - 1]
+    keys, at, pairs = _grams(tokens, first, bits)
+    order = np.argsort(keys)
+    keys = keys[order]
+    new = np.append(True, keys[1:] != keys[:-1]) if len(keys) else np.zeros(0, bool)
+    distinct = keys[new]
+    cut = np.searchsorted(X.bucket_of(distinct, bits, buckets), np.arange(buckets + 1))
+    total = np.zeros(len(distinct))
+    more = answers.filter(pc.greater_equal(answers["bucket"], buckets))
+    for b, raw in zip(more["bucket"].to_pylist(), more["payload"].to_pylist()):
+        total[cut[b - buckets] : cut[b - buckets + 1]] = _widen(raw)
+    each = np.empty(len(keys))
+    each[order] = total[np.cumsum(new) - 1]
+    two, three = np.zeros(len(tokens)), np.zeros(len(tokens))
+    two[at[:pairs]], three[at[pairs:]] = each[:pairs], each[pairs:]
+    return one, two, three
+
+
+def _score(block, buckets: int, bits: int, kept: int):
     def run(table: pa.Table, answers: pa.Table) -> pa.Table:
         model = block.value
-        got = [_unpack_counts(p) for p in answers["payload"].to_pylist()]
-        known = np.concatenate([np.zeros(0, U64), *(g[0] for g in got)])
-        count = np.concatenate([np.zeros(0, U64), *(g[1] for g in got)]).astype(np.float64)
-        order = np.argsort(known)
-        known, gain = known[order], np.log10(count[order] + 1)
-        end = float(gain[np.searchsorted(known, U64(END_KEY))]) if X.member(np.array([END_KEY], U64), known)[0] else None
+        tokens, first = _of_chunk(table)
+        one, two, three = _counts_of(tokens, first, answers, buckets, bits)
+        counted = np.array(table["counted"].to_pylist(), bool)
+        gain = np.log10(one + 1)
         data, offsets = flat(table["body"])
         cols: list[list] = [[], [], [], [], []]
         for a, b in pieces(offsets, PIECE):
-            part, off = data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
-            keys, first = _token_keys(part, off)
-            doc = np.repeat(np.arange(b - a), np.diff(first))
-            hit = X.member(keys, known)
-            at = np.searchsorted(known, keys[hit])
-            n = np.diff(first) + 1
-            base = np.bincount(doc[hit], gain[at], b - a) + (end or 0.0) - n * np.log10(model["tokens"] + model["kinds"] + 1)
-            score, size = log10_probabilities(model, part, off)
-            for c, v in zip(cols, (n, np.bincount(doc[hit], minlength=b - a) + (end is not None), base, score, -score * np.log2(10) / size)):
+            x, y = int(first[a]), int(first[b])
+            begin = first[a : b + 1] - x
+            n = np.diff(begin)
+            by_bytes, size = byte_log_probabilities(model, data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            logs = token_log_probabilities(by_bytes, one[x:y], two[x:y], three[x:y], begin, counted[a:b], model["tokens"])
+            score = np.add.reduceat(logs, begin[:-1]) / np.log(10)
+            base = np.add.reduceat(gain[x:y], begin[:-1]) - n * np.log10(model["tokens"] + model["kinds"] + 1)
+            for c, v in zip(cols, (n, np.add.reduceat(one[x:y] > 0, begin[:-1], dtype=np.int64), base, score, -score * np.log2(10) / size)):
                 c.append(v)
         join = lambda i, kind: pa.array(np.concatenate([np.zeros(0), *cols[i]]).astype(kind))
         return pa.table(
@@ -449,59 +679,69 @@ def _score(block, kept: int):
             | {"n_tokens": join(0, np.int64), "n_known": join(1, np.int64), "train_tokens": pa.array(np.full(table.num_rows, model["tokens"], np.int64)), "base_score": join(2, float), "score": join(3, float), "bits_per_byte": join(4, float)}
         )
 
-    return run
+    return X.tidy(run)
 
 
-def train(docs: DataFrame, body: str = "body", doc_id: str = "id", learns=None) -> tuple[dict, DataFrame, int]:
-    """(model, table of token counts, its buckets)."""
+def train(docs: DataFrame, body: str = "body", counted: str = "counted", doc_id: str = "id", size: int | None = None) -> tuple[dict, DataFrame, int]:
+    """(model, table of token counts, its buckets) from the rows of docs that are ``counted``."""
     spark = docs.sparkSession
     X.small_batches(spark)
-    rows = docs.filter(F.col(doc_id).isNotNull())
-    if learns is not None:
-        rows = rows.filter(learns(F.col(doc_id)))
-    rows = rows.select(F.col(doc_id).alias("id"), F.coalesce(F.col(body), F.lit("")).alias("body"))
-    buckets = X.counts(X.measure(docs, body))[1]
-    counted = X.settle(rows.select("body").mapInArrow(_count(buckets), "bucket int, payload binary").groupBy("bucket").applyInArrow(_total, COUNTED))
-    sums = counted.filter("bucket >= 0").agg(F.sum("total").alias("n"), F.sum("kinds").alias("v")).first()
+    rows = docs.filter(counted).select(F.col(doc_id).alias("id"), F.coalesce(F.col(body), F.lit("")).alias("body"))
+    size = X.measure(docs, body) if size is None else size
+    buckets = X.counts(size)[1]
+    sums = X.settle(X.spread(rows.select("body").mapInArrow(_count(buckets), "bucket int, payload binary"), buckets, "bucket").applyInArrow(_total, COUNTED))
+    total = sums.filter("bucket >= 0").agg(F.sum("total").alias("n"), F.sum("kinds").alias("v")).first()
     # Byte trigrams: sixteen rows, bounded by the number of trigrams there are.
-    grams = [_unpack_counts(r.payload) for r in counted.filter("bucket < 0").select("payload").collect()]
+    grams = [_unpack_counts(r.payload) for r in sums.filter("bucket < 0").select("payload").collect()]
     trees = Trees(np.concatenate([np.zeros(0, np.int64), *(g[0].astype(np.int64) for g in grams)]), np.concatenate([np.zeros(0), *(g[1].astype(float) for g in grams)]))
 
     apart = F.pmod(F.xxhash64(F.lit(40), "id"), F.lit(SHARE)) == 0
+    aside = X.settle(rows.filter(apart).select("body"))  # read twice
     block = spark.sparkContext.broadcast(trees)
-    groups = max(1, int(rows.rdd.getNumPartitions() ** 0.5))
-    parts = rows.filter(~apart).select("body").mapInArrow(_learn(block), SLICED).withColumn("part", F.pmod("part", F.lit(groups)))
-    tables = parts.groupBy("slice", "part").applyInArrow(_add, SLICED).groupBy("slice").applyInArrow(_log_odds, SLICED)
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(size / TASK_BYTES))
+    groups = max(1, int(tasks**0.5))
+    learned = lambda df: df.select("body").mapInArrow(_learn(block), SLICED)
+    parts = learned(rows.filter(~apart).coalesce(tasks)).withColumn("part", F.pmod("part", F.lit(groups)))
+    most = X.settle(parts.groupBy("slice", "part").applyInArrow(_add, SLICED))
     begin = np.concatenate(([0], np.cumsum(_table_sizes(trees))))
-    table = np.zeros(begin[-1], np.int16)
-    for r in tables.collect():  # slices of tables of fixed size
-        table[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(r.payload, np.int16)
+
+    def log_odds(counts: DataFrame) -> np.ndarray:
+        table = np.zeros(begin[-1], np.int16)
+        for r in counts.groupBy("slice").applyInArrow(_log_odds, SLICED).collect():  # slices of tables of fixed size
+            table[r.slice * SLICE : (r.slice + 1) * SLICE] = np.frombuffer(r.payload, np.int16)
+        return table
+
     weights = np.full((GATES, INPUTS), 0.3)
     weights[:, -1] = 0
-    model = {"trees": trees, "table": table, "begin": begin, "weights": weights, "tokens": int(sums.n or 0), "kinds": int(sums.v or 0)}
-    block = spark.sparkContext.broadcast(model)
-    fitted = rows.filter(apart).select("body").mapInArrow(_fit(block), "w binary, n binary, part int").withColumn("part", F.pmod("part", F.lit(groups)))
+    model = {"trees": trees, "table": log_odds(most), "begin": begin, "weights": weights, "tokens": int(total.n or 0), "kinds": int(total.v or 0)}
+    block_fit = spark.sparkContext.broadcast(model)
+    fitted = aside.mapInArrow(_fit(block_fit), "w binary, n binary, part int").withColumn("part", F.pmod("part", F.lit(groups)))
     fitted = fitted.groupBy("part").applyInArrow(_mean, "w binary, n binary, part int").select("w", "n", F.lit(0).alias("part")).groupBy("part").applyInArrow(_mean, "w binary, n binary, part int").collect()
+    block_fit.unpersist()
     if fitted:
         w, n = np.frombuffer(fitted[0].w).reshape(GATES, INPUTS), np.frombuffer(fitted[0].n)[:, None]
-        model["weights"] = np.where(n > 0, w / np.maximum(1, n), weights)
-    return model, counted, buckets
+        model = model | {"weights": np.where(n > 0, w / np.maximum(1, n), weights), "table": log_odds(most.union(learned(aside.coalesce(max(1, tasks // SHARE)))))}
+    return model, sums, buckets
 
 
 def lm_score(docs: DataFrame, learns=None, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns with n_tokens, n_known, train_tokens, base_score, score and bits_per_byte."""
+    """The kept columns with n_tokens, n_known, train_tokens, base_score, score and bits_per_byte.
+
+    ``learns``: condition on doc_id for texts that may be learned from; all that have a doc_id, if none."""
     keep = [c for c in docs.columns if c != text] if keep is None else keep
     results = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
-    own = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").cast("string").alias("body"))
-    model, counted, buckets = train(own, learns=learns)
+    owner = F.col(f"`{doc_id}`")
+    counted = owner.isNotNull() & (F.lit(True) if learns is None else F.coalesce(learns(owner), F.lit(False)))
+    size = X.measure(docs, text)
+    model, sums, buckets = train(docs.select(owner.alias("id"), F.col(f"`{text}`").cast("string").alias("body"), counted.alias("counted")), size=size)
     block = docs.sparkSession.sparkContext.broadcast(model)
-    chunks = X.counts(X.measure(docs, text))[0]
-    base = X.chunked(docs, keep, text, chunks)
-    asked = base.groupBy("chunk").applyInArrow(_ask(buckets), X.MESSAGE)
-    known = counted.filter("bucket >= 0").select(F.col("bucket").alias("b"), F.col("payload").alias("counts"))
-    answers = asked.groupBy("bucket").cogroup(known.select("b", F.col("counts").alias("payload")).groupBy("b")).applyInArrow(_reply, X.MESSAGE)
+    chunks, bits = X.counts(size)[0], gram_bits(size)
+    base = X.chunked(docs, keep, text, chunks, counted=counted)
+    asked = base.groupBy("chunk").applyInArrow(_ask(buckets, bits), X.MESSAGE)
+    known = sums.filter("bucket >= 0").select(F.col("bucket").alias("b"), "payload")
+    answers = X.spread(asked, 2 * buckets, "bucket").cogroup(known.groupBy("b")).applyInArrow(_reply(buckets), X.MESSAGE)
     out = base.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _score(block, len(keep)), f"{X.kept_schema(docs, keep)}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double".lstrip(", ")
+        _score(block, buckets, bits, len(keep)), f"{X.kept_schema(docs, keep)}, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double, bits_per_byte double".lstrip(", ")
     )
     return X.renamed(out, keep, results)
 
