@@ -18,8 +18,23 @@ from lexledger.plans.assembly import assemble, parsed_corpus
 from lexledger.sources import readers, sinks
 from lexledger.streaming.incremental import state_dir, windowed_counts
 
-KEY, CUST = F.col("o_orderkey"), F.col("o_custkey")
-K, C = KEY.cast("string"), CUST.cast("string")
+
+def key():
+    return F.col("o_orderkey")
+
+
+def cust():
+    return F.col("o_custkey")
+
+
+def key_text():
+    return key().cast("string")
+
+
+def cust_text():
+    return cust().cast("string")
+
+
 BUILT = datetime(2024, 1, 15)
 
 
@@ -27,8 +42,8 @@ def orders(spark, d) -> DataFrame:
     return star.read(spark, d, "orders")
 
 
-def euros(amount=F.floor("o_totalprice")):
-    return F.translate(F.format_number(amount, 0), ",", ".")
+def euros():
+    return F.translate(F.format_number(F.floor("o_totalprice"), 0), ",", ".")
 
 
 def pick(by, options: list):
@@ -79,8 +94,8 @@ def xml(boe, body, title="Resolución por la que se publica la sanción"):
 
 def templates(spark, d) -> DataFrame:
     """A publication for each order, by the rule of its key."""
-    body = pick(KEY % len(RULES), ["".join(f'<p class="parrafo">{x}</p>' for x in r[1]) for r in RULES])
-    boe = F.concat(F.lit("BOE-A-2008-"), K)
+    body = pick(key() % len(RULES), ["".join(f'<p class="parrafo">{x}</p>' for x in r[1]) for r in RULES])
+    boe = F.concat(F.lit("BOE-A-2008-"), key_text())
     return orders(spark, d).select(F.lit("star").alias("corpus"), boe.alias("boe_id"), F.concat(F.lit("/star/"), boe, F.lit(".xml")).alias("path"), xml(boe, F.replace(body, F.lit("{A}"), euros())).alias("content"))
 
 
@@ -116,21 +131,21 @@ def corpora(spark, d) -> DataFrame:
     o = orders(spark, d)
     act = F.format_string(
         "Imponer a Sociedad %d, S.A., por la comisión de una infracción %s tipificada en el artículo 99, letra o), de la Ley 24/1988, de 28 de julio, %spor no comunicar el día 3 de marzo de 2007 sus operaciones, una multa por importe de %s euros.",
-        CUST, F.when(KEY % 3 == 0, "muy grave").otherwise("grave"), F.when(KEY % 2 == 0, "en relación con los artículos 45 y 48 de la misma Ley, ").otherwise(""), euros(),
+        cust(), F.when(key() % 3 == 0, "muy grave").otherwise("grave"), F.when(key() % 2 == 0, "en relación con los artículos 45 y 48 de la misma Ley, ").otherwise(""), euros(),
     )
-    boe = F.concat(F.lit("BOE-A-2008-"), K)
+    boe = F.concat(F.lit("BOE-A-2008-"), key_text())
     body = F.concat(F.lit('<p class="parrafo">Resolución de fecha 12 de diciembre de 2007, firme en vía administrativa:</p><p class="parrafo_2">'), act, F.lit("</p>"))
-    one = lambda corpus: o.select(F.lit(corpus).alias("corpus"), F.concat(F.lit(f"/{corpus}/"), boe, F.lit(".xml")).alias("path"), boe.alias("boe_id"), xml(boe, body).alias("content"), KEY.alias("key"))
+    one = lambda corpus: o.select(F.lit(corpus).alias("corpus"), F.concat(F.lit(f"/{corpus}/"), boe, F.lit(".xml")).alias("path"), boe.alias("boe_id"), xml(boe, body).alias("content"), key().alias("key"))
     return one("star").unionByName(one("again").filter("key % 5 = 0")).drop("key")
 
 
 def observations(spark, d) -> DataFrame:
     """What later looks found for every third publication."""
-    note = F.struct(F.lit("APPEAL_NOTICE").alias("kind"), F.lit(2).alias("page"), F.concat(F.lit("interpuesto recurso "), K).alias("verbatim"))
+    note = F.struct(F.lit("APPEAL_NOTICE").alias("kind"), F.lit(2).alias("page"), F.concat(F.lit("interpuesto recurso "), key_text()).alias("verbatim"))
     kind = "array<struct<kind: string, page: int, verbatim: string>>"
     return orders(spark, d).filter("o_orderkey % 3 = 0").select(
-        F.concat(F.lit("BOE-A-2008-"), K).alias("boe_id"), F.concat(F.lit("sha"), K).alias("sha256"), F.when(KEY % 6 == 0, F.array(note)).otherwise(F.array()).cast(kind).alias("notes"), F.lit(None).cast("string").alias("status"),
-        F.when(KEY % 9 == 0, "FETCH_FAILED").otherwise("OK").alias("retrieval"), F.lit("2009-01-01").alias("first_observed_at"), F.lit("2010-01-01").alias("observed_at"),
+        F.concat(F.lit("BOE-A-2008-"), key_text()).alias("boe_id"), F.concat(F.lit("sha"), key_text()).alias("sha256"), F.when(key() % 6 == 0, F.array(note)).otherwise(F.array()).cast(kind).alias("notes"), F.lit(None).cast("string").alias("status"),
+        F.when(key() % 9 == 0, "FETCH_FAILED").otherwise("OK").alias("retrieval"), F.lit("2009-01-01").alias("first_observed_at"), F.lit("2010-01-01").alias("observed_at"),
     )
 
 
@@ -189,14 +204,23 @@ LISTED = f"(SELECT CAST(({AT}) // 5 AS INTEGER) AS page_index, * FROM customer W
 
 def summaries(spark, d) -> DataFrame:
     """A daily summary for each order, with its items in both nesting shapes, one of them of another department."""
-    item = lambda n: F.concat(F.lit('{"identificador":"A-'), K, F.lit(f'-{n}","titulo":'), F.when(KEY % 3 == 0, F.concat(F.lit('{"texto":"T'), C, F.lit('"}'))).otherwise(F.concat(F.lit('"T'), C, F.lit('"'))), F.lit(',"url_pdf":{"texto":"/p.pdf","pagina_inicial":7}}'))
+    item = lambda n: F.concat(F.lit('{"identificador":"A-'), key_text(), F.lit(f'-{n}","titulo":'), F.when(key() % 3 == 0, F.concat(F.lit('{"texto":"T'), cust_text(), F.lit('"}'))).otherwise(F.concat(F.lit('"T'), cust_text(), F.lit('"'))), F.lit(',"url_pdf":{"texto":"/p.pdf","pagina_inicial":7}}'))
     new = F.concat(F.lit('{"data":{"sumario":{"diario":{"seccion":[{"codigo":"3","departamento":{"codigo":"1040","epigrafe":[{"nombre":"E","item":['), item(1), F.lit(","), item(2), F.lit("]}]}},{\"codigo\":\"3\",\"departamento\":{\"codigo\":\"9\",\"item\":"), item(3), F.lit("}}]}}}}"))
     old = F.concat(F.lit('{"data":{"sumario":{"diario":[{"seccion":{"codigo":"3","departamento":[{"codigo":"1040","item":'), item(1), F.lit('},{"codigo":"1040","item":['), item(2), F.lit("]},{\"codigo\":\"9\",\"item\":"), item(3), F.lit("}]}}]}}}"))
-    return orders(spark, d).select(KEY.alias("day"), F.when(KEY % 2 == 0, new).otherwise(old).alias("payload"))
+    return orders(spark, d).select(key().alias("day"), F.when(key() % 2 == 0, new).otherwise(old).alias("payload"))
 
 
 NOTES = ["es firme en vía administrativa", "se ha renunciado a la interposición de recursos", "ha interpuesto recurso de alzada {k}", "recurso contencioso-administrativo número {k}", "sentencia de fecha {k} de mayo"]
 NOTE_KINDS = ["FIRMNESS", "RENUNCIATION", "APPEAL_NOTICE", "JUDICIAL_APPEAL", "JUDGMENT"]
+
+
+def noted(spark, d) -> DataFrame:
+    """Notes found in a page text for each event."""
+    say = F.replace(pick(F.col("event_id") % 5, NOTES), F.lit("{k}"), F.col("event_id").cast("string"))
+    pages = star.read(spark, d, "events").select("event_id", F.col("user_id").cast("int").alias("p"), F.concat(F.lit("Nota:  "), say, F.lit(". Fin")).alias("t"))
+    return readers.page_notes(pages, "event_id", "p", "t").select("event_id", "page", "kind", "verbatim")
+
+
 TITLES = ["Resolución por la que se publica la sanción", "Corrección de errores de la resolución", "Resolución sobre suspensión cautelar", "Orden de nombramiento", "Resolución de expediente sancionador por infracción grave", "Medidas de intervención", "Anuncio de MULTA"]
 TITLE_KINDS = [("ENFORCEMENT", True), ("CORRECTION", False), ("MEASURE", True), ("OTHER", False), ("ENFORCEMENT", True), ("MEASURE", False), ("OTHER", True)]
 YAML = "# defects\n- defect_id: D{k}\n  defect_class: \"class {r}\"\n  description: 'nation {k}'\n  fixtures: [BOE-A-{k}, 'BOE-A-{m}']\n"
@@ -225,25 +249,25 @@ KINDS = [("multa por importe de 3 euros", "MONETARY_FINE"), ("una sanción de su
 def amounts(spark, d) -> DataFrame:
     e = euros()
     say = lambda a, b="": F.concat(F.lit(a), e, F.lit(b))
-    t = pick(KEY % 7, [say("una multa de ", " euros."), say("multa (", " €)"), say("por importe de ", ",05 (letras)"), "multa de quinientos cincuenta mil euros", say("trescientos mil (", ") euros y 7 euros"), "sin importe", say("", " (letra) de euros")])
-    return orders(spark, d).select(KEY.alias("o_orderkey"), numbers.amount(t).alias("amount"), numbers.euro_amount(t).alias("plain"))
+    t = pick(key() % 7, [say("una multa de ", " euros."), say("multa (", " €)"), say("por importe de ", ",05 (letras)"), "multa de quinientos cincuenta mil euros", say("trescientos mil (", ") euros y 7 euros"), "sin importe", say("", " (letra) de euros")])
+    return orders(spark, d).select(key().alias("o_orderkey"), numbers.amount(t).alias("amount"), numbers.euro_amount(t).alias("plain"))
 
 
 def legal_texts(spark, d) -> DataFrame:
-    n = (1 + KEY % 40).cast("string")
-    t = pick(KEY % 4, [F.concat(F.lit("la Ley "), n, F.lit("/2001 y la Circular 3/1997, de la LMV")), F.concat(F.lit("Reglamento (UE) nº "), n, F.lit("/2014 y Real Decreto-ley 5/2009")), "la Ley Concursal", "nada"])
-    a = F.concat(pick(KEY % 3, ["artículo ", "art. ", ""]), (1 + KEY % 300).cast("string"), F.lit(", letra o) de la Ley"))
-    return orders(spark, d).select(KEY.alias("o_orderkey"), F.array_join(legal.statute_mentions(t), "|").alias("mentions"), legal.extract_article(a).alias("article"), legal.sanction_type(pick(KEY % 7, [k for k, _ in KINDS])).alias("kind"), numbers.count_of(pick(KEY % 5, ["3", " Dos ", "diez", "muchas", "Una"])).alias("n"),
-        legal.assess(KEY % 2 == 0, KEY % 3 != 0, KEY % 5 == 0).alias("assessed"))
+    n = (1 + key() % 40).cast("string")
+    t = pick(key() % 4, [F.concat(F.lit("la Ley "), n, F.lit("/2001 y la Circular 3/1997, de la LMV")), F.concat(F.lit("Reglamento (UE) nº "), n, F.lit("/2014 y Real Decreto-ley 5/2009")), "la Ley Concursal", "nada"])
+    a = F.concat(pick(key() % 3, ["artículo ", "art. ", ""]), (1 + key() % 300).cast("string"), F.lit(", letra o) de la Ley"))
+    return orders(spark, d).select(key().alias("o_orderkey"), F.array_join(legal.statute_mentions(t), "|").alias("mentions"), legal.extract_article(a).alias("article"), legal.sanction_type(pick(key() % 7, [k for k, _ in KINDS])).alias("kind"), numbers.count_of(pick(key() % 5, ["3", " Dos ", "diez", "muchas", "Una"])).alias("n"),
+        legal.assess(key() % 2 == 0, key() % 3 != 0, key() % 5 == 0).alias("assessed"))
 
 
 def id_forms(spark, d) -> DataFrame:
-    boe = F.concat(F.lit("véase BOE-A-2008-"), K, F.lit(" y otros"))
+    boe = F.concat(F.lit("véase BOE-A-2008-"), key_text(), F.lit(" y otros"))
     return orders(spark, d).select(
-        KEY.alias("o_orderkey"), ids.extract_boe_id(F.when(KEY % 4 != 0, boe).otherwise("nada")).alias("boe_id"), ids.source_id(F.lit("CNMV"), F.lit("PDF"), F.sha2(K, 256)).alias("source_id"),
-        ids.event_id(F.concat(F.lit("C"), K), F.lit("X"), C).alias("event_id"), ids.pdf_event_id(F.concat(F.lit("C"), K), F.lit("NOTE"), F.lit(3), F.concat(K, F.repeat(F.lit("y"), 200))).alias("pdf_id"),
-        text.collapse_ws(F.concat(F.lit(" A&ntilde;o&nbsp;&amp;amp; "), K, F.lit("&#8364;   &euro;&lt;b&gt; &nada; "))).alias("plain"),
-        dates.any_es(pick(KEY % 4, [F.date_format("o_orderdate", "dd/MM/yyyy"), F.date_format("o_orderdate", "yyyyMMdd"), "el 31 de febrero de 2020", F.concat(F.lit("a 3 de mayo de "), F.date_format("o_orderdate", "yyyy"))])).alias("day"),
+        key().alias("o_orderkey"), ids.extract_boe_id(F.when(key() % 4 != 0, boe).otherwise("nada")).alias("boe_id"), ids.source_id(F.lit("CNMV"), F.lit("PDF"), F.sha2(key_text(), 256)).alias("source_id"),
+        ids.event_id(F.concat(F.lit("C"), key_text()), F.lit("X"), cust_text()).alias("event_id"), ids.pdf_event_id(F.concat(F.lit("C"), key_text()), F.lit("NOTE"), F.lit(3), F.concat(key_text(), F.repeat(F.lit("y"), 200))).alias("pdf_id"),
+        text.collapse_ws(F.concat(F.lit(" A&ntilde;o&nbsp;&amp;amp; "), key_text(), F.lit("&#8364;   &euro;&lt;b&gt; &nada; "))).alias("plain"),
+        dates.any_es(pick(key() % 4, [F.date_format("o_orderdate", "dd/MM/yyyy"), F.date_format("o_orderdate", "yyyyMMdd"), "el 31 de febrero de 2020", F.concat(F.lit("a 3 de mayo de "), F.date_format("o_orderdate", "yyyy"))])).alias("day"),
     )
 
 
@@ -253,24 +277,24 @@ def id_forms(spark, d) -> DataFrame:
 def planted(spark, d) -> DataFrame:
     """Every gate's outcome over tables of one case for each order, with violations at keys divisible by a prime each."""
     o = orders(spark, d)
-    off = lambda n: KEY % n == 0
+    off = lambda n: key() % n == 0
     unless = lambda n, v: F.when(~off(n), v)
-    name = lambda p: F.concat(F.lit(p), K)
+    name = lambda p: F.concat(F.lit(p), key_text())
     day = lambda v: F.lit(v).cast("date")
-    fine = F.when(KEY % 2 == 0, "MONETARY_FINE").otherwise("SUSPENSION")
+    fine = F.when(key() % 2 == 0, "MONETARY_FINE").otherwise("SUSPENSION")
     later = lambda n: F.when(off(n), F.lit("2030-01-01").cast("timestamp")).otherwise(F.lit("2010-01-01").cast("timestamp"))
     t = {
         "documents": o.select(name("B").alias("document_id")),
         "cases": o.filter(~off(7)).select(name("C").alias("case_id"), name("B").alias("canonical_boe_id"), F.when(off(101), day("2009-01-01")).otherwise(day("2008-01-01")).alias("sanctioning_resolution_date"), day("2008-06-01").alias("boe_publication_date"), F.when(off(4), "NOT_OBSERVED_WITHIN_VERIFIED_COVERAGE").otherwise("INCONCLUSIVE").alias("appeal_observation_status"), unless(8, F.lit("cb")).alias("coverage_basis_id")),
         "infringements": o.filter(~off(103)).select(name("I").alias("infringement_id"), name("C").alias("case_id"), F.when(off(107), "UNKNOWN").otherwise("SERIOUS").alias("severity"), unless(109, F.lit("99.o")).alias("article_normalized"), unless(113, F.lit("L")).alias("statute_normalized"), F.when(off(127), day("2008-07-01")).otherwise(day("2008-05-01")).alias("conduct_end_date")),
-        "sanctions": o.filter(~off(131)).select(F.when(off(137), "twice").otherwise(name("S")).alias("sanction_id"), name("C").alias("case_id"), name("I").alias("infringement_id"), F.when(off(149), " ").otherwise(unless(139, name("R"))).alias("respondent_id"), fine.alias("sanction_type"), F.when((KEY % 2 == 0) & ~off(150), F.lit(5)).when((KEY % 2 == 1) & off(157), F.lit(1)).cast("decimal(18,2)").alias("amount")),
+        "sanctions": o.filter(~off(131)).select(F.when(off(137), "twice").otherwise(name("S")).alias("sanction_id"), name("C").alias("case_id"), name("I").alias("infringement_id"), F.when(off(149), " ").otherwise(unless(139, name("R"))).alias("respondent_id"), fine.alias("sanction_type"), F.when((key() % 2 == 0) & ~off(150), F.lit(5)).when((key() % 2 == 1) & off(157), F.lit(1)).cast("decimal(18,2)").alias("amount")),
         "respondents": o.select(name("R").alias("respondent_id")),
         "evidence": o.filter(~off(163)).select(F.when(off(137), "twice").otherwise(name("S")).alias("entity_id"), F.when(off(167), "none").otherwise(name("B")).alias("document_id"), F.lit("VALUE_BINDING_PROVEN").alias("proof_level"), unless(173, F.lit("texto/p[1]")).alias("locator"), unless(179, F.lit("sha")).alias("artifact_sha256"), later(181).alias("observed_at")),
         "events": o.select(name("E").alias("event_id"), later(191).alias("observed_at")),
         "parse_issues": o.select(F.when(off(193), "PARSE_FAILED").otherwise("NOTE").alias("kind")),
     }
     block = lambda n: F.array(F.struct(F.array(*[F.struct(F.lit("x").alias("text"))] * n).cast("array<struct<text: string>>").alias("sanctions")))
-    publications = o.select(name("B").alias("boe_id"), F.when(KEY % 2 == 0, "register").otherwise("history").alias("corpus"), F.when(off(7), "SUBSEQUENT_EVENT").otherwise("SANCTION_PUBLICATION").alias("document_kind"), F.lit(None).cast("string").alias("error"), F.when(off(197), F.array()).when(off(199), block(0)).otherwise(block(1)).alias("blocks"))
+    publications = o.select(name("B").alias("boe_id"), F.when(key() % 2 == 0, "register").otherwise("history").alias("corpus"), F.when(off(7), "SUBSEQUENT_EVENT").otherwise("SANCTION_PUBLICATION").alias("document_kind"), F.lit(None).cast("string").alias("error"), F.when(off(197), F.array()).when(off(199), block(0)).otherwise(block(1)).alias("blocks"))
     nation = star.read(spark, d, "nation")
     defects = registry(spark, d)
     tests = nation.filter("n_nationkey % 5 <> 4").select(F.format_string("test_D%d_holds", "n_nationkey").alias("name"))
@@ -345,7 +369,7 @@ def views(spark, d) -> DataFrame:
 def covered(spark, d) -> DataFrame:
     """The coverage ledger of the star's cases and documents as (part, key, n)."""
     t = star.tables(spark, d)
-    docs = orders(spark, d).select(F.col("o_orderstatus").alias("corpus"), F.concat(F.lit("BOE-A-"), F.date_format("o_orderdate", "yyyy"), F.lit("-"), K).alias("boe_id"))
+    docs = orders(spark, d).select(F.col("o_orderstatus").alias("corpus"), F.concat(F.lit("BOE-A-"), F.date_format("o_orderdate", "yyyy"), F.lit("-"), key_text()).alias("boe_id"))
     c = sinks.coverage(t["cases"].filter("appeal_observation_status <> 'P'"), docs, t["events"].select(F.col("event_type").alias("kind")))
     row = lambda part, key, n: [F.lit(part).alias("part"), key.cast("string").alias("key"), n.cast("bigint").alias("n")]
     out = c["range"].select(*row("from", F.col("first"), F.col("n_cases"))).union(c["range"].select(*row("to", F.col("last"), F.col("n_cases"))))
@@ -356,7 +380,7 @@ def covered(spark, d) -> DataFrame:
 def linked(spark, d) -> DataFrame:
     """Line items as sanctions on successors of the customer of an order, orders' own keys as declared infringements."""
     name = F.concat(F.lit("Caja "), (F.col("o_orderkey") % 3).cast("string"))
-    declared = orders(spark, d).select((KEY % 50).alias("doc"), name.alias("name"), KEY.alias("ordinal"), K.alias("infringement_id"))
+    declared = orders(spark, d).select((key() % 50).alias("doc"), name.alias("name"), key().alias("ordinal"), key_text().alias("infringement_id"))
     lines = star.read(spark, d, "supplier").select((F.col("s_suppkey") % 60).alias("doc"), F.col("s_suppkey").alias("sanction_id"), F.concat(F.lit(" CAJA "), (F.col("s_suppkey") % 4).cast("string"), F.lit(" ")).alias("declared_subject"))
     return flow.successor_link(lines, declared).select("sanction_id", "declared_infringement")
 
@@ -390,11 +414,9 @@ def add(query) -> None:
         lambda spark, d: readers.observation_snapshot(star.read(spark, d, "nation").groupBy("n_regionkey").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("n_name", F.struct(F.md5("n_name").alias("sha256"), F.array(F.struct(F.lit("NOTE").alias("kind"), F.col("n_nationkey").cast("int").alias("page"), F.lit("v").alias("verbatim"))).alias("notes"), F.lit("OK").alias("retrieval")))))).alias("j")), "j").select("boe_id", "sha256", "retrieval", F.col("notes")[0]["kind"].alias("kind"), F.col("notes")[0]["page"].alias("page")))
     put("sidecar_index", "SELECT n_name AS boe_id, 'T' || n_nationkey AS title, DATE '2010-05-03' AS register_entry_date, 'EXACT' AS method FROM nation",
         lambda spark, d: readers.sidecar_index(star.read(spark, d, "nation").agg(F.to_json(F.collect_list(F.struct(F.col("n_name").alias("boe_id"), F.concat(F.lit("T"), F.col("n_nationkey").cast("string")).alias("title"), F.lit("2010-05-03").alias("register_entry_date"), F.lit("EXACT").alias("method"), F.lit(1.0).alias("score")))).alias("j")), "j").select("boe_id", "title", "register_entry_date", "method"))
-    k = F.col("event_id").cast("string")
-    say = F.replace(pick(F.col("event_id") % 5, NOTES), F.lit("{k}"), k)
     put("page_notes", f"SELECT event_id, CAST(user_id AS INTEGER) AS page, CASE event_id % 5 {' '.join(f'WHEN {i} THEN {_sql_text(x)}' for i, x in enumerate(NOTE_KINDS))} END AS kind, CASE event_id % 5 WHEN 0 THEN 'es firme en vía administrativa' WHEN 1 THEN 'renunciado a la interposición de recursos' ELSE replace(CASE event_id % 5 {' '.join(f'WHEN {i} THEN {_sql_text(x)}' for i, x in enumerate(NOTES))} END, '{{k}}', CAST(event_id AS VARCHAR)) END AS verbatim FROM events",
-        lambda spark, d: readers.page_notes(star.read(spark, d, "events").select("event_id", F.col("user_id").cast("int").alias("p"), F.concat(F.lit("Nota:  "), say, F.lit(". Fin")).alias("t")), "event_id", "p", "t").select("event_id", "page", "kind", "verbatim"))
-    put("title_classes", f"SELECT o_orderkey, {choose([_sql_text(a) for a, _ in TITLE_KINDS])} AS class, {choose([str(b).lower() for _, b in TITLE_KINDS])} AS sanction_like FROM orders", lambda spark, d: orders(spark, d).select("o_orderkey", readers.classify_item(pick(KEY % 7, TITLES)).alias("class"), readers.sanction_like(pick(KEY % 7, TITLES)).alias("sanction_like")))
+        noted)
+    put("title_classes", f"SELECT o_orderkey, {choose([_sql_text(a) for a, _ in TITLE_KINDS])} AS class, {choose([str(b).lower() for _, b in TITLE_KINDS])} AS sanction_like FROM orders", lambda spark, d: orders(spark, d).select("o_orderkey", readers.classify_item(pick(key() % 7, TITLES)).alias("class"), readers.sanction_like(pick(key() % 7, TITLES)).alias("sanction_like")))
     put("charset_fallback", "SELECT c_custkey, 'Ñandú ' || c_name AS text FROM customer", lambda spark, d: star.read(spark, d, "customer").select("c_custkey", readers.text_of(F.when(F.col("c_custkey") % 2 == 0, F.encode(F.concat(F.lit("Ñandú "), "c_name"), "UTF-8")).otherwise(F.encode(F.concat(F.lit("Ñandú "), "c_name"), "ISO-8859-1"))).alias("text")))
     put("yaml_records", "SELECT 'D' || n_nationkey AS defect_id, 'class ' || n_regionkey AS defect_class, 'nation ' || n_nationkey AS description, 'BOE-A-' || n_nationkey || '|BOE-A-' || (n_nationkey + 1000) AS fixtures FROM nation", lambda spark, d: registry(spark, d).withColumn("fixtures", F.array_join("fixtures", "|")))
     put("seed_reviews", "SELECT 'RV-' || substr(sha256('defect|D' || n_nationkey || '|BOE-A-' || n_nationkey || '|' || md5(n_name) || '|2'), 1, 16) AS review_id, 'D' || n_nationkey AS subject_id, 'BOE-A-' || n_nationkey AS document_id, 'class ' || n_regionkey AS reason_code, 'CORRECTED' AS status FROM nation WHERE n_nationkey % 6 <> 5", lambda spark, d: flow.seed_reviews(registry(spark, d), nation_documents(spark, d), "2").select("review_id", "subject_id", "document_id", "reason_code", "status"))
