@@ -2,6 +2,8 @@
 
 from .bpe import op4
 from .decontaminate import op6
+from .divergence import SQL as OP12_SQL
+from .divergence import op12
 from .jaccard_join import op9
 from .langid import op10
 from .line_dedup import SQL as OP8_SQL
@@ -23,8 +25,10 @@ QUERIES = {
     "op8_line_dedup": op8,
     "op9_jaccard_join": op9,
     "op10_language_id": op10,
+    "op12_source_divergence": op12,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op8_line_dedup": OP8_SQL,
+    "op12_source_divergence": OP12_SQL,
 }
