@@ -10,6 +10,7 @@ from .line_dedup import SQL as OP8_SQL
 from .line_dedup import op8
 from .lm import op3
 from .neighbours import op7
+from .periodic import op13
 from .quality import op1
 from .substring_dedup import op2
 from .suffix_dedup import op5
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_jaccard_join": op9,
     "op10_language_id": op10,
     "op12_source_divergence": op12,
+    "op13_periodic_runs": op13,
 }
 
 ORACLE_SQL: dict[str, str] = {
