@@ -6,6 +6,7 @@ from .divergence import SQL as OP12_SQL
 from .divergence import op12
 from .jaccard_join import op9
 from .langid import op10
+from .licenses import op11
 from .line_dedup import SQL as OP8_SQL
 from .line_dedup import op8
 from .lm import op3
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_line_dedup": op8,
     "op9_jaccard_join": op9,
     "op10_language_id": op10,
+    "op11_license_scan": op11,
     "op12_source_divergence": op12,
     "op13_periodic_runs": op13,
 }
