@@ -1,16 +1,17 @@
 """Source divergence audit: how far apart the sources of a language are in their use of words, and by which words.
 
-Wide term vectors: each kept term of a language becomes one row with an array of counts indexed by the language's
-sources (in byte order). JVM higher-order functions turn counts into smoothed shares and emit the contribution of each
-pair of sources; sums are partly made where the rows are (map side), so what is shuffled is one row for each pair and
-task. A language keeps the terms that at least ``min_docs`` of its documents have. Everything is whole numbers: shares
-are floor(SCALE * (count + 5) / (N + 5 * V)), in decimals of 38 digits, so no count overflows or rounds.
-
-Shuffles: (lang, term, source) counts, summed in the tasks first, so a hot source or word arrives once from each task;
-the same triples again by (lang, term), one row for each source, bounded by the number of sources; pair sums; ranks. The
-vectors are settled in the shared folder, since shares need their totals first. The table of languages (sources, totals)
-is broadcast only if it is measured to be under BROADCAST_BYTES, else joined by shuffle with skewed languages split by
-AQE. Work on pairs is terms times pairs of sources of one language, as is the answer itself.
+Terms are counted with numpy, some MB of text at a time, and sent packed to buckets of term hashes, so a task sends each
+(language, source, term) once for a piece and a hot word or source never meets in one place as rows. Buckets keep the
+terms that at least ``min_docs`` documents of a language have. Wide term vectors: each kept term of a language is one
+row, pivoted into an array of counts indexed by the language's sources (in byte order). JVM higher-order functions turn
+counts into smoothed shares and emit the contribution of each pair of sources; sums are partly made where the rows are
+(map side), so what is shuffled is one row for each pair and task. Everything is whole numbers: shares are
+floor(SCALE * (count + 5) / (N + 5 * V)), in decimals of 38 digits, so no count overflows or rounds.
+
+Shuffles: packed terms; pair sums; ranks (a group's best are picked in the tasks first). Vectors are settled in the
+shared folder, since shares need their totals first. The table of languages (sources, totals) is broadcast only if it is
+measured to be under BROADCAST_BYTES, else joined by shuffle with skewed languages split by AQE. Work on pairs is
+terms times pairs of sources of one language, as is the answer itself.
 
 Defined results: null text, lang or source counts as ''; a group or language without terms takes part with counts of 0;
 a language that keeps no term (V = 0) has pairs of value 0 and no term rows; a language of one source has no pairs; every
@@ -19,40 +20,123 @@ row is a document of its own, repeated ones included; an empty table gives an em
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import exchange as X
+from .kernel import LOWER, U64, flat, mix, spans, word_hashes
 
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, TOP, SCALE, PRIOR = 30, 50, 1_000_000_000, 5
 BROADCAST_BYTES = 8 << 20
+PIECE = 12 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
-def terms(body):
-    """Runs of ASCII letters and characters beyond ASCII, A-Z lower-cased."""
-    plain = F.octet_length(body) == F.char_length(body)
-    low = F.when(plain, F.lower(body)).otherwise(F.translate(body, UPPER, UPPER.lower()))
-    return F.regexp_extract_all(low, F.lit(TERM), F.lit(0))
-
-
-def counts(docs: DataFrame) -> DataFrame:
-    """(lang, term, source, n, docs): occurrences, and documents that have the term.
-
-    A document's terms are sorted, so that equal ones are neighbours and the first of them stands for the document."""
-    marked = F.transform(
-        F.array(F.array_sort(terms(F.col("body")))),
-        lambda a: F.transform(a, lambda t, i: F.struct(t.alias("term"), ((i == 0) | (F.get(a, i - 1) != t)).cast("long").alias("first"))),
-    )
-    each = docs.select("lang", "source", F.inline(F.flatten(marked)))
-    return each.groupBy("lang", "term", "source").agg(F.count(F.lit(1)).alias("n"), F.sum("first").alias("docs"))
-
-
-def vectors(triples: DataFrame, min_docs: int) -> DataFrame:
+# A term is a run of ASCII letters (A-Z lower-cased) and bytes of characters beyond ASCII.
+IS_TERM = np.zeros(256, bool)
+IS_TERM[0x61:0x7B] = IS_TERM[0x80:] = True
+
+
+def tally(data: np.ndarray, offsets: np.ndarray, group: np.ndarray):
+    """Of each distinct (group, term): (group, hash of the term, start and end of an occurrence, occurrences, texts that have it).
+
+    ``group`` is the group's number for each text. Equal keys come out of a stable sort in the order of their texts, so
+    the first word of each text in a key's stretch stands for that text."""
+    starts, ends, first = spans(data, offsets, IS_TERM)
+    text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    hashes = word_hashes(data, starts, ends)
+    key = mix(hashes + group[text].astype(U64) * U64(0x9E3779B97F4A7C15))
+    order = np.argsort(key, kind="stable")
+    key, text = key[order], text[order]
+    new = np.append(True, key[1:] != key[:-1])[: len(key)]
+    at = np.flatnonzero(new)
+    own = new | np.append(True, text[1:] != text[:-1])[: len(key)]
+    some = order[at]
+    return group[text[at]], hashes[some], starts[some], ends[some], np.diff(np.append(at, len(key))), np.add.reduceat(own, at, dtype=np.int64) if len(at) else at
+
+
+PACKED = "bucket int, langs array<string>, sources array<string>, body binary, terms binary"
+ENTRY = np.dtype([("lang", np.uint32), ("source", np.uint32), ("size", np.uint32), ("n", np.int64), ("docs", np.int64)])
+
+
+def strings(data: np.ndarray, starts: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of data[start : start + size], one after another, and where each begins."""
+    off = np.concatenate(([0], np.cumsum(size))).astype(np.int64)
+    return data[np.arange(off[-1]) + np.repeat(starts - off[:-1], size)], off
+
+
+def _send(buckets: int):
+    @X.tidy
+    def run(batches):
+        """Terms of PIECE bytes of text together, counted before they leave the task; one row for each bucket."""
+        for table in X.gathered(batches, PIECE):
+            data, offsets = flat(table["body"])
+            data = LOWER[data]
+            names, codes = zip(*(np.unique(table[c].to_numpy(), return_inverse=True) for c in ("lang", "source")))
+            wide = len(names[1])
+            group, hashes, starts, ends, n, docs = tally(data, offsets, codes[0] * wide + codes[1])
+            to = X.bucket_of(hashes, 64, buckets).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            entry = np.empty(len(to), ENTRY)
+            for name, value in (("lang", group // wide), ("source", group % wide), ("size", ends - starts), ("n", n), ("docs", docs)):
+                entry[name] = value[order]
+            held, off = strings(data, starts[order], entry["size"].astype(np.int64))
+            cut = np.searchsorted(to[order], np.arange(buckets + 1))
+            rows = []
+            for bucket, (x, y) in enumerate(zip(cut.tolist(), cut[1:].tolist())):
+                if y > x:
+                    own = entry[x:y].copy()
+                    lang, own["lang"] = np.unique(own["lang"], return_inverse=True)
+                    source, own["source"] = np.unique(own["source"], return_inverse=True)
+                    rows.append((bucket, names[0][lang].tolist(), names[1][source].tolist(), own.tobytes(), held[off[x] : off[y]].tobytes()))
+            kinds = (pa.int32(), pa.list_(pa.string()), pa.list_(pa.string()), pa.binary(), pa.binary())
+            columns = zip(*rows) if rows else ((),) * 5
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["bucket", "langs", "sources", "body", "terms"])
+
+    return run
+
+
+def _keep(min_docs: int):
+    @X.tidy
+    def run(table: pa.Table) -> pa.Table:
+        """The bucket's terms that enough documents have, with their count in each source."""
+        codes: tuple[dict, dict] = ({}, {})
+        parts, words = [], []
+        for langs, sources, body, terms in zip(table["langs"].to_pylist(), table["sources"].to_pylist(), table["body"].to_pylist(), table["terms"].to_pylist()):
+            e = np.frombuffer(body, ENTRY).copy()
+            for name, seen, own in (("lang", codes[0], langs), ("source", codes[1], sources)):
+                e[name] = np.array([seen.setdefault(x, len(seen)) for x in own], np.uint32)[e[name]]
+            parts.append(e)
+            words.append(terms)
+        e = np.concatenate(parts)
+        off = np.concatenate(([0], np.cumsum(e["size"], dtype=np.int64)))
+        word = pa.LargeStringArray.from_buffers(len(e), pa.py_buffer(off), pa.py_buffer(b"".join(words))).dictionary_encode()
+        key = word.indices.to_numpy().astype(np.int64) * len(codes[0]) + e["lang"]
+        docs = np.zeros(int(key.max()) + 1, np.int64)
+        np.add.at(docs, key, e["docs"])
+        own = np.flatnonzero(docs[key] >= min_docs)
+        own = own[np.lexsort((e["source"][own], key[own]))]
+        k, source = key[own], e["source"][own]
+        new = np.append(True, (k[1:] != k[:-1]) | (source[1:] != source[:-1]))[: len(k)]
+        at = np.flatnonzero(new)
+        n = np.add.reduceat(e["n"][own], at) if len(at) else np.zeros(0, np.int64)
+        k, source = k[at], source[at]
+        head = np.flatnonzero(np.append(True, k[1:] != k[:-1])[: len(k)])
+        names = [pa.array(list(c), pa.string()) for c in codes]
+        each = pa.MapArray.from_arrays(pa.array(np.append(head, len(k)), pa.int32()), names[1].take(pa.array(source)), pa.array(n, pa.int64()))
+        return pa.table({"lang": names[0].take(pa.array(k[head] % len(names[0]))), "term": word.dictionary.take(pa.array(k[head] // len(names[0]))).cast(pa.string()), "each": each})
+
+    return run
+
+
+def vectors(docs: DataFrame, min_docs: int) -> DataFrame:
     """(lang, term, each): kept terms with their count in each source that has them."""
-    each = F.map_from_entries(F.collect_list(F.struct("source", "n"))).alias("each")
-    return triples.groupBy("lang", "term").agg(each, F.sum("docs").alias("docs")).filter(F.col("docs") >= min_docs).select("lang", "term", "each")
+    _, buckets = X.counts(X.measure(docs, "body"))
+    sent = docs.select("lang", "source", "body").mapInArrow(_send(buckets), PACKED)
+    return X.spread(sent, buckets, "bucket").applyInArrow(_keep(min_docs), "lang string, term string, each map<string, bigint>")
 
 
 def languages(docs: DataFrame, kept: DataFrame) -> DataFrame:
@@ -73,9 +157,9 @@ def share(count: str, total: str) -> str:
 
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top: int = TOP, lang: str = "lang", source: str = "source", text: str = "text") -> DataFrame:
     """(lang, source, part, item, value, rank): distances to other sources ('pair', all) and telling terms ('term', top)."""
-    spark = docs.sparkSession
+    X.small_batches(docs.sparkSession)
     base = docs.select(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(k) for c, k in ((lang, "lang"), (source, "source"), (text, "body"))])
-    kept = X.settle(vectors(counts(base), min_docs))
+    kept = X.settle(vectors(base, min_docs))
     langs = X.settle(languages(base, kept))
     size = langs.agg(F.sum(F.aggregate("sources", F.lit(0).cast("long"), lambda a, s: a + F.octet_length(s) + 64))).first()[0] or 0
     held = F.broadcast(langs) if size <= BROADCAST_BYTES else langs
