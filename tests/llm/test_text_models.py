@@ -441,3 +441,26 @@ def test_pipeline(spark, docs, rows, tmp_path):
     encode = bpe._encoding("byte_bpe_50k.tiktoken").encode_ordinary
     assert sorted((r.doc_id or -1, r.n_tokens) for r in kept["byte_bpe"][1]) == sorted((r.doc_id or -1, len(encode(r.text or ""))) for r in kept["decontamination"][1])
     assert sorted((r.doc_id or -1, r.ids_sha256) for r in p.run(spark, folder).collect()) == sorted((r.doc_id or -1, r.ids_sha256) for r in kept["byte_bpe"][1])
+
+
+def test_neighbours_of_vectors_of_any_length(spark):
+    """Squares that vanish or overflow: true cosines all the same, and nobody else's answer is lost."""
+    from fractions import Fraction
+    from math import isclose, sqrt
+
+    from lexledger.llm import neighbours
+
+    rows = [(0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.3, 1.0]), (3, [1e-200, 0.0]), (4, [1e200, 1e200]), (5, [5e-324, 1e-320]), (6, [-1.7e308, 1.6e308]), (50, [3e-310, 4e-310])]
+    got: dict = {}
+    for r in neighbours.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), lambda c: c % 50 == 0, k=7).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+
+    def cosine(a, b):
+        a, b = ([Fraction(x) / Fraction(max(map(abs, v))) for x in v] for v in (a, b))
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+        return float(dot(a, b)) / sqrt(dot(a, a)) / sqrt(dot(b, b))
+
+    for q in (0, 50):
+        want = sorted(((i, cosine(dict(rows)[q], v)) for i, v in rows if i != q), key=lambda x: (-x[1], x[0]))
+        assert [i for i, _ in got[q]] == [i for i, _ in want]
+        assert all(isclose(a, b, abs_tol=1e-15, rel_tol=1e-12) for (_, a), (_, b) in zip(got[q], want))
