@@ -4,24 +4,21 @@ from collections import defaultdict
 
 
 def by_hand(docs):
-    docs = [(i, t) for i, t in docs]
-    order = sorted(((i is None, i if i is not None else 0, t) for i, t in docs if t is not None), key=lambda x: x[:2])
+    """(doc_id, n_lines, n_removed, kept text) of each row; among rows of equal id that share windows, texts must be equal."""
+    order = sorted(docs, key=lambda d: (d[0] is None, d[0] if d[0] is not None else 0))
     places = defaultdict(list)
-    for none, i, t in order:
-        lines = t.split("\n")
+    for at, (_, t) in enumerate(order):
+        lines = t.split("\n") if t is not None else []
         for k in range(len(lines) - 2):
             w = tuple(lines[k : k + 3])
             if "".join(w).strip(" "):
-                places[w].append((none, i, t, k))
+                places[w].append((at, k))
     gone = defaultdict(set)
     for p in places.values():
-        for none, i, t, k in p[1:]:
-            gone[(none, i, t)] |= {k, k + 1, k + 2}
-    want = defaultdict(set)
-    for i, t in docs:
-        if t is None:
-            want[i].add((0, 0, None))
-            continue
-        lines, g = t.split("\n"), gone[(i is None, i if i is not None else 0, t)]
-        want[i].add((len(lines), len(g), "\n".join(x for k, x in enumerate(lines) if k not in g)))
-    return want
+        for at, k in p[1:]:
+            gone[at] |= {k, k + 1, k + 2}
+    out = []
+    for at, (i, t) in enumerate(order):
+        lines = t.split("\n") if t is not None else []
+        out.append((i, len(lines), len(gone[at]), None if t is None else "\n".join(x for k, x in enumerate(lines) if k not in gone[at])))
+    return out
