@@ -1,6 +1,7 @@
 """Chunked key exchange: how the operators ask "which keys occur elsewhere?" without exploding text into rows.
 
-Texts are dealt into *chunks* of bounded size by a hash of the row, so a hot source or a group of copies spreads out.
+Texts are dealt into *chunks* of bounded size by a hash of the row's place, so a hot source or a group of copies, even of
+equal rows, spreads out.
 A chunk is processed with numpy in one Python call. It sends each distinct key once, packed by *bucket* (a range of
 key space), so a key that fills a third of all rows arrives at most once from each chunk: the pre-aggregation that
 keeps hot keys harmless. Buckets answer each chunk with packed keys, and the chunk is cogrouped with the answers.
@@ -87,11 +88,12 @@ def tidy(run):
 def chunked(docs: DataFrame, keep: list[str], text: str, chunks: int, **more) -> DataFrame:
     """(k0, k1, ..., body, chunk, more columns), dealt out so that each chunk is whole in one partition.
 
+    Rows are dealt by their place in the input, which is made stable for that, so any number of equal rows spread out.
     The kept columns get plain names here, so names that clash with the operators' own do no harm."""
     cols = [F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)]
-    spread = [F.col(f"`{c}`") for c in keep if dict(docs.dtypes)[c] in ("bigint", "int", "string")]
-    at = F.pmod(F.xxhash64(*spread, F.col(f"`{text}`")), F.lit(chunks)).cast("int")
-    return docs.select(*cols, F.col(f"`{text}`").cast("string").alias("body"), at.alias("chunk"), *[v.alias(k) for k, v in more.items()]).repartition(min(chunks, MAX_PARTS), "chunk")
+    rows = stable(docs.select(*cols, F.col(f"`{text}`").cast("string").alias("body"), *[v.alias(k) for k, v in more.items()]))
+    at = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(chunks)).cast("int").alias("chunk")
+    return rows.select(*[c for c in rows.columns if c not in more], at, *more).repartition(min(chunks, MAX_PARTS), "chunk")
 
 
 def kept_schema(docs: DataFrame, keep: list[str]) -> str:

@@ -138,14 +138,56 @@ def test_induced_sorting(limit, tmp_path):
 def test_lines(docs, rows):
     from conftest_lines import by_hand
 
-    want = by_hand({(r[0], r[1]) for r in rows})
     got = line_dedup.line_dedup(docs, keep=KEEP).collect()
-    assert len(got) == len(rows)
-    for r in got:
-        assert (r.n_lines, r.n_removed, r.kept_text) in want[r.doc_id]
+    assert sorted(map(str, ((r.doc_id, r.n_lines, r.n_removed, r.kept_text) for r in got))) == sorted(map(str, by_hand([(r[0], r[1]) for r in rows])))
     assert sum(r.n_removed for r in got) > 0
 
 
+def test_lines_of_equal_rows_and_rows_without_id(spark, tmp_path):
+    """A third of all rows is one text without an id: the first keeps its lines, all others lose them; as its SQL says."""
+    import duckdb
+    from conftest_lines import by_hand
+
+    copy, other = "one\ntwo\nthree\nfour\nfive", "six\nseven\neight\nnine"
+    rows = [(None, copy)] * 40 + [(i % 40, f"own {i % 40}\n{other}" if i % 3 else f"{i % 40}") for i in range(80)]
+    path = str(tmp_path / "documents.parquet")
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5).write.parquet(path)
+    got = [tuple(r) for r in line_dedup.line_dedup(spark.read.parquet(path), keep=["doc_id"]).collect()]
+    assert sorted(map(str, got)) == sorted(map(str, by_hand(rows)))
+    assert sorted(r[2] for r in got if r[0] is None) == [0] + [5] * 39
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{path}/*.parquet')")
+    assert sorted(map(str, con.sql(line_dedup.SQL).fetchall())) == sorted(map(str, got))
+
+
+def test_equal_rows_spread_over_all_chunks(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from lexledger.llm import exchange
+
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(None, "same text")] * 1000 + [(i, f"text {i}") for i in range(1000)], "doc_id bigint, text string").repartition(3).write.parquet(path)
+    dealt = exchange.chunked(spark.read.parquet(path), ["doc_id"], "text", 20)
+    for _ in range(2):  # the same at every evaluation
+        n = {r.chunk: r.n for r in dealt.filter("k0 IS NULL").groupBy("chunk").agg(F.count("*").alias("n")).collect()}
+        assert len(n) == 20 and max(n.values()) < 100
+    assert dealt.count() == 2000
+
+
+@pytest.mark.parametrize("operator, kept", [(substring_dedup.substring_dedup, "kept_text"), (suffix_dedup.suffix_dedup, "kept")])
+def test_a_third_of_all_rows_equal(spark, operator, kept):
+    """Every copy goes, with or without an id; other texts stay."""
+    rng = np.random.default_rng(3)
+    text = lambda: " ".join("".join(map(chr, rng.integers(97, 123, 7))) for _ in range(80))
+    copy, others = text(), [text() for _ in range(60)]
+    rows = [(None, copy)] * 30 + [(i, t) for i, t in enumerate(others)]
+    got = operator(spark.createDataFrame(rows, "doc_id bigint, text string"), keep=["doc_id"]).collect()
+    assert len(got) == 90
+    for r in got:
+        value = r[kept] if isinstance(r[kept], str) else bytes(r[kept]).decode()
+        assert value == ("" if r.doc_id is None else others[r.doc_id])
+
+
 def sets_of(rows, words=5):
     out = []
     for r in rows:
