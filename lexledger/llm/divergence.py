@@ -31,7 +31,7 @@ from .kernel import LOWER, U64, flat, mix, spans, word_hashes
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 MIN_DOCS, TOP, SCALE, PRIOR = 30, 50, 1_000_000_000, 5
 BROADCAST_BYTES = 8 << 20
-PIECE = 12 << 20
+PIECE = 6 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
