@@ -453,13 +453,70 @@ def _stream(spark, d):
     return first_seen(spark, spark.readStream.schema(schema).parquet(f"{d}/events.parq*"), ["user_id", "event_type"])
 
 
-@query("streaming_observed_state", "SELECT user_id, arg_max(event_type, ts) AS sha256, min(ts) AS first_observed_at, max(ts) AS observed_at FROM events GROUP BY 1")
+def _looks(spark, d, folder, parts):
+    """Events as looks at their user, as a stream of the parts (thirds of the time) that lie in the folder."""
+    e = star.read(spark, d, "events").select("user_id", F.col("event_type").alias("sha256"), F.col("ts").cast("timestamp").alias("observed_at"))
+    span = e.agg(F.min("observed_at").alias("low"), F.max("observed_at").alias("high"))
+    third = F.least(F.lit(2), F.floor(3 * (F.col("observed_at").cast("double") - F.col("low").cast("double")) / (F.col("high").cast("double") - F.col("low").cast("double"))))
+    each = e.join(F.broadcast(span)).withColumn("part", third).select(*e.columns, "part")
+    for p in parts:
+        each.filter(F.col("part") == p).drop("part").coalesce(1).write.mode("append").parquet(f"{folder}/looks")
+    return spark.readStream.schema(e.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/looks")
+
+
+@query(
+    "streaming_observed_state",
+    """SELECT user_id, arg_max(event_type, (ts, event_type)) AS sha256, min(ts) AS first_observed_at, max(ts) AS observed_at, count(*) FILTER (event_type <> before) AS changes
+       FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_type) AS before FROM events WHERE user_id IS NOT NULL AND ts IS NOT NULL) GROUP BY 1""",
+)
 def _observed_state(spark, d):
-    from lexledger.streaming.incremental import observe_stream
-
-    schema = star.read(spark, d, "events").schema
-    source = spark.readStream.schema(schema).parquet(f"{d}/events.parq*").select("user_id", F.col("event_type").alias("sha256"), F.col("ts").alias("observed_at"))
-    return observe_stream(spark, source, "user_id").drop("changes")
+    """Three batches in two runs on one folder: the second run goes on from the first one's state."""
+    from lexledger.streaming.incremental import state_dir
+    from lexledger.streaming.observation import observe_stream
+
+    folder = state_dir(spark)
+    for parts in ((0, 1), (2,)):
+        out = observe_stream(spark, _looks(spark, d, folder, parts), "user_id", folder)
+    return out.select("user_id", "sha256", F.col("first_observed_at").cast("timestamp_ntz").alias("first_observed_at"), F.col("observed_at").cast("timestamp_ntz").alias("observed_at"), "changes")
+
+
+@query(
+    "resumed_enumeration",
+    """WITH bounds AS (SELECT min(o_orderdate)::DATE AS low, max(o_orderdate)::DATE AS high FROM orders),
+            days AS (SELECT unnest(generate_series(low, high, INTERVAL 1 DAY))::DATE AS day FROM bounds),
+            n AS (SELECT o_orderdate::DATE AS day, count(*) AS n, min(o_orderkey) AS first FROM orders GROUP BY 1)
+       SELECT day, coalesce(n, 0)::INTEGER AS n_items, 'A-' || first AS first_id, (CASE WHEN extract(day FROM day) = 13 AND (day - low) // 500 < (DATE '1995-01-01' - low) // 500 THEN 2 ELSE 1 END)::BIGINT AS attempts, CAST(NULL AS VARCHAR) AS error
+       FROM days CROSS JOIN bounds LEFT JOIN n USING (day)""",
+)
+def _enumerated(spark, d):
+    """Daily summaries of orders, enumerated in two runs: in the first, every 13th of a month fails and the run dies in the batch of 1995;
+    the second, on the same folder, goes on there and looks at the failed days again."""
+    from pyspark.errors import StreamingQueryException
+
+    from lexledger.streaming.enumeration import enumerate_days, summaries_in
+    from lexledger.streaming.incremental import state_dir
+
+    o = star.read(spark, d, "orders").select(F.col("o_orderdate").cast("date").alias("day"), "o_orderkey")
+    item = F.to_json(F.struct(F.format_string("A-%d", "o_orderkey").alias("identificador"), F.lit("Resolución de sanción").alias("titulo")))
+    head, tail = '{"data":{"sumario":{"diario":[{"seccion":{"codigo":"3","departamento":{"codigo":"1040","item":[', "]}}}]}}}"
+    table = o.groupBy("day").agg(F.concat(F.lit(head), F.array_join(F.collect_list(item), ","), F.lit(tail)).alias("payload")).withColumn("error", F.lit(None).cast("string"))
+    low, high = o.agg(F.min("day").cast("string"), F.max("day").cast("string")).first()
+    folder = state_dir(spark)
+
+    def unreliable(days):
+        if days.filter("year(day) >= 1995").limit(1).count():
+            raise ConnectionError("the source went away")
+        bad = F.dayofmonth("day") == 13
+        return days.join(table, "day", "left").select("day", F.when(~bad, F.col("payload")).alias("payload"), F.when(bad, "status 503").alias("error"))
+
+    try:
+        enumerate_days(spark, low, high, unreliable, folder, batch_days=500, split_days=100)
+    except StreamingQueryException:
+        pass
+    out = enumerate_days(spark, low, high, summaries_in(table), folder, batch_days=500, split_days=100)
+    first = F.array_min(F.transform("items", lambda i: F.substr(i["boe_id"], F.lit(3)).cast("bigint")))
+    # A failed day of the first run is looked at twice; days of the batch that died, and later ones, only once.
+    return out.select("day", F.size("items").alias("n_items"), F.concat(F.lit("A-"), first.cast("string")).alias("first_id"), "attempts", "error")
 
 
 from lexledger.plans import corpus  # noqa: E402

@@ -1,7 +1,11 @@
-"""Structured Streaming forms of the incremental patterns: first sightings, resumed enumeration, observed snapshots."""
+"""Structured Streaming forms of the incremental patterns: folders that outlive a run, first sightings, windows.
+
+Every function takes the folder that holds its checkpoint and output. Called again on the same folder it goes on where
+the last run ended; without one it works in a new folder below the shared one."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,48 +13,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def state_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a folder of our own only where none is set."""
+def shared_dir(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir; a folder of our own only in local mode, where none is set."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if base is None:
+        if not re.match(r"local(\[[^,]*\])?$", spark.sparkContext.master):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexledger-"))
         base = spark.sparkContext.getCheckpointDir()
-    return f"{base}/stream-{uuid.uuid4().hex}"
+    return base
 
 
-def first_seen(spark: SparkSession, source: DataFrame, keys: list[str]) -> DataFrame:
-    """Distinct keys of a stream, run over what is available now; the state is one entry for each key."""
-    folder = state_dir(spark)
-    stream = source.select(*keys).dropDuplicates(keys).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
-    stream.awaitTermination()
-    return spark.read.schema(source.select(*keys).schema).parquet(f"{folder}/out")
-
-
-def observe(state, batch: DataFrame, key: str) -> DataFrame:
-    """One micro-batch of (key, sha256, observed_at) folded into (key, sha256, first_observed_at, observed_at, changes)."""
-    new = batch.groupBy(key).agg(F.max_by("sha256", "observed_at").alias("new_sha"), F.min("observed_at").alias("new_first"), F.max("observed_at").alias("new_last"))
-    if state is None:
-        return new.select(key, F.col("new_sha").alias("sha256"), F.col("new_first").alias("first_observed_at"), F.col("new_last").alias("observed_at"), F.lit(0).cast("bigint").alias("changes"))
-    changed = F.col("sha256").isNotNull() & F.col("new_sha").isNotNull() & (F.col("sha256") != F.col("new_sha"))
-    return state.join(new, key, "full_outer").select(
-        key, F.coalesce("new_sha", "sha256").alias("sha256"), F.coalesce("first_observed_at", "new_first").alias("first_observed_at"),
-        F.greatest("observed_at", "new_last").alias("observed_at"), (F.coalesce("changes", F.lit(0)) + changed.cast("bigint")).alias("changes"),
-    )
+def state_dir(spark: SparkSession) -> str:
+    """A new folder below the shared one."""
+    return f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
 
 
-def observe_stream(spark: SparkSession, source: DataFrame, key: str) -> DataFrame:
-    """The observed state after all that is available now, kept as one Parquet version for each micro-batch."""
-    folder = state_dir(spark)
-    versions: list[str] = []
+def drain(stream) -> None:
+    """Runs a started query until all that is available has been taken, however many batches that takes."""
+    try:
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
 
-    def fold(batch: DataFrame, number: int) -> None:
-        old = spark.read.parquet(versions[-1]) if versions else None
-        path = f"{folder}/state-{number}"
-        observe(old, batch, key).write.mode("overwrite").parquet(path)
-        versions.append(path)
 
-    source.writeStream.foreachBatch(fold).option("checkpointLocation", f"{folder}/log").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(versions[-1]) if versions else observe(None, spark.createDataFrame([], source.schema), key)
+def first_seen(spark: SparkSession, source: DataFrame, keys: list[str], folder: str | None = None) -> DataFrame:
+    """Distinct keys of a stream, run over what is available now; the state is one entry for each key."""
+    folder = folder or state_dir(spark)
+    stream = source.select(*keys).dropDuplicates(keys).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/state").trigger(availableNow=True).start()
+    stream.awaitTermination()
+    return spark.read.schema(source.select(*keys).schema).parquet(f"{folder}/out")
 
 
 def windowed_counts(source: DataFrame, at: str, width: str, late: str, *keys: str) -> DataFrame:
