@@ -282,16 +282,10 @@ def canonical_row(df: DataFrame) -> Column:
 
 def logical_hash(df: DataFrame) -> DataFrame:
     """Order-insensitive hash of a small table: SHA-256 of its sorted rows, each ended by a newline. All rows meet in one
-    task; tables of a release that may be large take mergeable_hash."""
+    task; tables of a release that may be large take the root of merkle.tree."""
     return df.agg(F.sha2(F.concat(F.array_join(F.sort_array(F.collect_list(canonical_row(df))), "\n"), F.lit("\n")), 256).alias("logical_sha256"), F.count(F.lit(1)).alias("n_rows"))
 
 
-def mergeable_hash(df: DataFrame) -> DataFrame:
-    """Order-insensitive hash of a table of any size: sums of row hashes, partially aggregated. Not the logical hash."""
-    h = lambda seed: F.sum(F.xxhash64(F.lit(seed), canonical_row(df)).cast("decimal(38,0)")).cast("string")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), h(1).alias("sum_a"), h(2).alias("sum_b"))
-
-
 def schema_fingerprint(df: DataFrame) -> str:
     return hashlib.sha256(";".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields).encode()).hexdigest()[:16]
 

@@ -12,10 +12,10 @@ from lexledger.api import responses
 from lexledger.functions import dates, ids, legal, numbers, text
 from lexledger.grammar.udf import parse_publications
 from lexledger.operators import dataflow as flow
-from lexledger.operators import gates, ledger
+from lexledger.operators import gates, ledger, merkle
 from lexledger.plans import star
 from lexledger.plans.assembly import assemble, parsed_corpus
-from lexledger.sources import readers, sinks
+from lexledger.sources import readers, sinks, store
 from lexledger.streaming.incremental import state_dir, windowed_counts
 
 
@@ -354,13 +354,47 @@ def ledger_twice(spark, d) -> DataFrame:
 def stored_twice(spark, d) -> DataFrame:
     """Documents put into the content store twice: bytes once by hash, a manifest row for each retrieval."""
     docs, folder = star.read(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", F.encode("text", "UTF-8").alias("content")).withColumn("sha256", F.sha2("content", 256)), state_dir(spark)
-    spark.createDataFrame([], "sha256 string, content binary").write.parquet(f"{folder}/content")
     for _ in range(2):
-        sinks.store_content(spark, docs, folder)
-    kept, seen = spark.read.parquet(f"{folder}/content"), readers.jsonl(spark, f"{folder}/manifest", "doc_id bigint, sha256 string")
+        store.store(spark, docs, folder)
+    kept, seen = store.objects(spark, folder), readers.jsonl(spark, f"{folder}/manifest", "doc_id bigint, sha256 string")
     return kept.groupBy("sha256").agg(F.count(F.lit(1)).alias("n_stored")).join(seen.groupBy("sha256").agg(F.count(F.lit(1)).alias("n_retrieved")), "sha256")
 
 
+def _lines(spark, d) -> DataFrame:
+    """Line items with exact types."""
+    t = star.read(spark, d, "lineitem")
+    return t.select(*[F.col(c).cast("decimal(18,4)").alias(c) if k in ("double", "float") else F.col(c) for c, k in t.dtypes])
+
+
+LINE = ["l_orderkey", "l_linenumber"]
+
+
+def line_versions(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Line items before and after changes: some rows altered, some gone, some new, one row in 89 twice, elsewhere in other
+    order."""
+    a = _lines(spark, d)
+    k = F.col("l_orderkey")
+    kept = a.filter(k % 101 != 0).withColumn("l_quantity", F.when((k % 97 == 0) & (F.col("l_linenumber") == 1), F.col("l_quantity") + 1).otherwise(F.col("l_quantity")).cast("decimal(18,4)"))
+    new = a.filter(k % 103 == 0).withColumn("l_orderkey", (k + 10**9).cast(dict(a.dtypes)["l_orderkey"]))
+    return a, kept.unionByName(new).unionByName(kept.filter(k % 89 == 0)).repartition(7, "l_suppkey")
+
+
+def merkle_changes(spark, d) -> DataFrame:
+    before, after = line_versions(spark, d)
+    a = merkle.tree(before, LINE, leaf=256)
+    return merkle.changes(before, after, a, merkle.tree(after, like=a)).select(*LINE, "n_before", "n_after", "change")
+
+
+def merkle_roots(spark, d) -> DataFrame:
+    """Trees of a table, of the same rows in other order and partitions, and of the table less one row."""
+    a = _lines(spark, d)
+    one = merkle.tree(a, LINE)
+    other, less = merkle.tree(a.orderBy("l_partkey", "l_suppkey").repartition(5), like=one), merkle.tree(a.join(a.agg(F.min("l_orderkey").alias("l_orderkey")), "l_orderkey", "left_anti"), like=one)
+    r = [t.root().select(F.lit(i).alias("i"), "digest", "n_rows") for i, t in enumerate((one, other, less))]
+    base = one.root().select(F.col("digest").alias("first"))
+    return r[0].union(r[1]).union(r[2]).join(F.broadcast(base)).select("i", "n_rows", (F.col("digest") == F.col("first")).alias("same"))
+
+
 def views(spark, d) -> DataFrame:
     sinks.load_views(spark, {f"own_{n}": star.read(spark, d, n) for n in ("nation", "region", "supplier")}, "2024-01-15")
     return spark.sql("SELECT m.table_name, m.n_rows, (SELECT count(*) FROM own_nation JOIN own_region ON n_regionkey = r_regionkey) AS n_joined FROM meta m")
@@ -429,6 +463,11 @@ def add(query) -> None:
     put("exports_read_back", "SELECT fmt, n.* FROM nation n, (VALUES ('json'), ('csv'), ('parquet')) t(fmt)", exported)
     put("append_ledger", "SELECT c_custkey, CASE WHEN c_custkey % 3 <> 0 THEN 'first' ELSE 'second' END AS batch FROM customer", ledger_twice)
     put("content_store", "SELECT sha256(text) AS sha256, CAST(1 AS BIGINT) AS n_stored, 2 * count(*) AS n_retrieved FROM documents WHERE text IS NOT NULL GROUP BY 1", stored_twice)
+    put("merkle_changes", """WITH k AS (SELECT l_orderkey, l_linenumber, l_orderkey % 101 = 0 AS gone, l_orderkey % 97 = 0 AND l_linenumber = 1 AS altered, l_orderkey % 89 = 0 AS twice FROM lineitem)
+      SELECT l_orderkey, l_linenumber, sum(CASE WHEN gone OR altered THEN 1 ELSE 0 END)::BIGINT AS n_before, sum(CASE WHEN gone THEN 0 WHEN altered THEN 1 + twice::INTEGER WHEN twice THEN 1 ELSE 0 END)::BIGINT AS n_after,
+             CASE WHEN any_value(gone) THEN 'REMOVED' WHEN any_value(altered) THEN 'CHANGED' ELSE 'ADDED' END AS change FROM k WHERE gone OR altered OR twice GROUP BY l_orderkey, l_linenumber
+      UNION ALL SELECT l_orderkey + 1000000000, l_linenumber, 0, count(*), 'ADDED' FROM lineitem WHERE l_orderkey % 103 = 0 GROUP BY l_orderkey, l_linenumber""", merkle_changes)
+    put("merkle_roots", "SELECT i, n - CASE WHEN i = 2 THEN first ELSE 0 END AS n_rows, i < 2 AS same FROM (SELECT count(*) AS n, count(*) FILTER (l_orderkey = (SELECT min(l_orderkey) FROM lineitem)) AS first FROM lineitem), (VALUES (0), (1), (2)) t(i)", merkle_roots)
     put("views_and_meta", "SELECT t.table_name, t.n_rows, (SELECT count(*) FROM nation JOIN region ON n_regionkey = r_regionkey) AS n_joined FROM (SELECT 'own_nation' AS table_name, count(*) AS n_rows FROM nation UNION ALL SELECT 'own_region', count(*) FROM region UNION ALL SELECT 'own_supplier', count(*) FROM supplier) t", views)
     put("coverage_ledger", """WITH c AS (SELECT CAST(o_orderdate AS DATE) AS d FROM orders WHERE o_orderstatus <> 'P') SELECT 'from' AS part, CAST(min(d) AS VARCHAR) AS key, count(*) AS n FROM c UNION ALL SELECT 'to', CAST(max(d) AS VARCHAR), count(*) FROM c
       UNION ALL SELECT 'cases', o_orderstatus, count(*) FILTER (o_orderstatus <> 'P') FROM orders GROUP BY 2 UNION ALL SELECT 'non_case', o_orderstatus, count(*) FILTER (o_orderstatus = 'P') FROM orders GROUP BY 2 UNION ALL SELECT 'issue', event_type, count(*) FROM events GROUP BY 2""", covered)

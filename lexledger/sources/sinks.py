@@ -1,4 +1,4 @@
-"""Sinks: Parquet tables, JSON and CSV exports, append-only ledgers, the content-addressed store, release manifests."""
+"""Sinks: Parquet tables, JSON and CSV exports, append-only ledgers, release manifests."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexledger.operators import dataflow as flow
+from lexledger.operators import merkle
 
 
 def write_tables(tables: dict[str, DataFrame], folder: str, files: int | None = None) -> None:
@@ -46,19 +47,12 @@ def append_ledger(spark: SparkSession, rows: DataFrame, path: str, key: str) ->
     flow.append_new(spark.read.schema(rows.schema).json(path), rows.dropDuplicates([key]), key).write.mode("append").json(path)
 
 
-def store_content(spark: SparkSession, docs: DataFrame, folder: str) -> None:
-    """Bytes once by SHA-256; a manifest row for every retrieval."""
-    new = flow.append_new(spark.read.schema("sha256 string, content binary").parquet(f"{folder}/content"), docs.select("sha256", "content").dropDuplicates(["sha256"]), "sha256")
-    new.write.mode("append").parquet(f"{folder}/content")
-    docs.drop("content").write.mode("append").json(f"{folder}/manifest")
-
-
 def manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """(table_name, n_rows, sum_a, sum_b, schema_fingerprint): what a release holds, by hashes that are summed over rows, so
-    that no table has to meet in one task. flow.logical_hash gives the hash over sorted rows, for small tables."""
+    """(table_name, n_rows, logical_sha256, schema_fingerprint): what a release holds; the hash is the root of the table's
+    Merkle tree over row hashes, so no table has to meet in one task."""
     out = None
     for name, df in sorted(tables.items()):
-        one = flow.mergeable_hash(df).select(F.lit(name).alias("table_name"), "n_rows", "sum_a", "sum_b", F.lit(flow.schema_fingerprint(df)).alias("schema_fingerprint"))
+        one = merkle.tree(df).root().select(F.lit(name).alias("table_name"), "n_rows", F.col("digest").alias("logical_sha256"), F.lit(flow.schema_fingerprint(df)).alias("schema_fingerprint"))
         out = one if out is None else out.union(one)
     return out
 
@@ -83,7 +77,7 @@ def release(spark: SparkSession, tables: dict[str, DataFrame], folder: str, tag:
     write_tables(tables, base)
     back = {name: spark.read.schema(df.schema).parquet(f"{base}/{name}.parquet") for name, df in tables.items()}
     parts = {r.table_name: r.asDict() for r in manifest(back).collect()}  # one row for each table
-    whole = flow.corpus_hash({k: f"{v['n_rows']}:{v['sum_a']}:{v['sum_b']}" for k, v in parts.items()})
+    whole = flow.corpus_hash({k: v["logical_sha256"] for k, v in parts.items()})
     put = lambda name, text: spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(f"{base}/{name}")
     put("dataset_manifest.json", json.dumps({"release": tag, "code_commit": commit, "corpus_logical_sha256": whole, "tables": parts}, sort_keys=True))
     cover = {k: [r.asDict() for r in v.collect()] for k, v in coverage(back["cases"], back["documents"], back["parse_issues"]).items()}  # grouped rows
