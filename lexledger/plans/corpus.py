@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from lexledger.operators import dataflow as flow
 from lexledger.operators import gates, ledger, merkle
 from lexledger.plans import star
 from lexledger.plans.assembly import assemble, parsed_corpus
-from lexledger.sources import readers, sinks, store
+from lexledger.sources import pdf, readers, sinks, store
 from lexledger.streaming.incremental import state_dir, windowed_counts
 
 
@@ -221,6 +222,37 @@ def noted(spark, d) -> DataFrame:
     return readers.page_notes(pages, "event_id", "p", "t").select("event_id", "page", "kind", "verbatim")
 
 
+def _made_pdfs(df: DataFrame, key: str) -> DataFrame:
+    """(key, content): a document of (key, pages); keys that 50 divides with a rest of 7 get an error page instead."""
+
+    def run(batches):
+        for b in batches:
+            out = []
+            for k, pages in zip(b.column(key).to_pylist(), b.column("pages").to_pylist()):
+                plain = all(p.encode("cp1252", "ignore").decode("cp1252") == p for p in pages)
+                out.append(b"<html>not found</html>" if k % 50 == 7 else pdf.write_pdf(pages, unicode=not plain or k % 2 == 0, packed=k % 3 == 0))
+            yield pa.RecordBatch.from_arrays([b.column(key), pa.array(out, pa.binary())], names=[key, "content"])
+
+    return df.select(key, "pages").mapInArrow(run, f"{key} {dict(df.dtypes)[key]}, content binary")
+
+
+def pdf_texts(spark, d) -> DataFrame:
+    """Documents set as PDF, forty lines a page, and read back page by page."""
+    lines = F.split("text", "\n")
+    pages = F.transform(F.sequence(F.lit(0), F.floor((F.size(lines) - 1) / 40).cast("int")), lambda i: F.array_join(F.slice(lines, i * 40 + 1, F.lit(40)), "\n"))
+    docs = star.read(spark, d, "documents").filter("text IS NOT NULL").select("doc_id", pages.alias("pages"))
+    read = pdf.pdf_pages(_made_pdfs(docs, "doc_id"), ["doc_id"])
+    return read.select("doc_id", "page", F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")).alias("text"), F.col("error").isNotNull().alias("failed"))
+
+
+def pdf_notes(spark, d) -> DataFrame:
+    """Status notes of PDF documents, one for each user, a page for each event."""
+    say = F.concat(F.lit("Nota:  "), F.replace(pick(F.col("event_id") % 5, NOTES), F.lit("{k}"), F.col("event_id").cast("string")), F.lit(". Fin"))
+    each = star.read(spark, d, "events").groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("event_id", say.alias("say")))).alias("e"))
+    read = pdf.pdf_pages(_made_pdfs(each.select("user_id", F.col("e.say").alias("pages")), "user_id"), ["user_id"])
+    return readers.page_notes(read.filter("error IS NULL"), "user_id", "page", "text").select("user_id", "page", "kind", "verbatim")
+
+
 TITLES = ["Resolución por la que se publica la sanción", "Corrección de errores de la resolución", "Resolución sobre suspensión cautelar", "Orden de nombramiento", "Resolución de expediente sancionador por infracción grave", "Medidas de intervención", "Anuncio de MULTA"]
 TITLE_KINDS = [("ENFORCEMENT", True), ("CORRECTION", False), ("MEASURE", True), ("OTHER", False), ("ENFORCEMENT", True), ("MEASURE", False), ("OTHER", True)]
 YAML = "# defects\n- defect_id: D{k}\n  defect_class: \"class {r}\"\n  description: 'nation {k}'\n  fixtures: [BOE-A-{k}, 'BOE-A-{m}']\n"
@@ -450,6 +482,10 @@ def add(query) -> None:
         lambda spark, d: readers.sidecar_index(star.read(spark, d, "nation").agg(F.to_json(F.collect_list(F.struct(F.col("n_name").alias("boe_id"), F.concat(F.lit("T"), F.col("n_nationkey").cast("string")).alias("title"), F.lit("2010-05-03").alias("register_entry_date"), F.lit("EXACT").alias("method"), F.lit(1.0).alias("score")))).alias("j")), "j").select("boe_id", "title", "register_entry_date", "method"))
     put("page_notes", f"SELECT event_id, CAST(user_id AS INTEGER) AS page, CASE event_id % 5 {' '.join(f'WHEN {i} THEN {_sql_text(x)}' for i, x in enumerate(NOTE_KINDS))} END AS kind, CASE event_id % 5 WHEN 0 THEN 'es firme en vía administrativa' WHEN 1 THEN 'renunciado a la interposición de recursos' ELSE replace(CASE event_id % 5 {' '.join(f'WHEN {i} THEN {_sql_text(x)}' for i, x in enumerate(NOTES))} END, '{{k}}', CAST(event_id AS VARCHAR)) END AS verbatim FROM events",
         noted)
+    put("pdf_page_texts", r"""SELECT doc_id, CASE WHEN doc_id % 50 <> 7 THEN (i + 1)::INTEGER END AS page, CASE WHEN doc_id % 50 <> 7 THEN trim(regexp_replace(array_to_string(ls[i * 40 + 1 : i * 40 + 40], chr(10)), '[\x20\x09-\x0D]+', ' ', 'g')) END AS text, doc_id % 50 = 7 AS failed
+      FROM (SELECT doc_id, ls, unnest(range(0, CASE WHEN doc_id % 50 = 7 THEN 1 ELSE (len(ls) + 39) // 40 END)) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL))""", pdf_texts)
+    put("pdf_status_notes", f"""SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY event_id))::INTEGER AS page, CASE event_id % 5 {' '.join(f'WHEN {i} THEN {_sql_text(x)}' for i, x in enumerate(NOTE_KINDS))} END AS kind,
+      replace(CASE event_id % 5 WHEN 0 THEN 'es firme en vía administrativa' WHEN 1 THEN 'renunciado a la interposición de recursos' {' '.join(f'WHEN {i} THEN {_sql_text(NOTES[i])}' for i in (2, 3, 4))} END, '{{k}}', event_id::VARCHAR) AS verbatim FROM events WHERE user_id % 50 <> 7""", pdf_notes)
     put("title_classes", f"SELECT o_orderkey, {choose([_sql_text(a) for a, _ in TITLE_KINDS])} AS class, {choose([str(b).lower() for _, b in TITLE_KINDS])} AS sanction_like FROM orders", lambda spark, d: orders(spark, d).select("o_orderkey", readers.classify_item(pick(key() % 7, TITLES)).alias("class"), readers.sanction_like(pick(key() % 7, TITLES)).alias("sanction_like")))
     put("charset_fallback", "SELECT c_custkey, 'Ñandú ' || c_name AS text FROM customer", lambda spark, d: star.read(spark, d, "customer").select("c_custkey", readers.text_of(F.when(F.col("c_custkey") % 2 == 0, F.encode(F.concat(F.lit("Ñandú "), "c_name"), "UTF-8")).otherwise(F.encode(F.concat(F.lit("Ñandú "), "c_name"), "ISO-8859-1"))).alias("text")))
     put("yaml_records", "SELECT 'D' || n_nationkey AS defect_id, 'class ' || n_regionkey AS defect_class, 'nation ' || n_nationkey AS description, 'BOE-A-' || n_nationkey || '|BOE-A-' || (n_nationkey + 1000) AS fixtures FROM nation", lambda spark, d: registry(spark, d).withColumn("fixtures", F.array_join("fixtures", "|")))
