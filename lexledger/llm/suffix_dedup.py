@@ -8,7 +8,7 @@ that a third of the corpus shares arrives once from each chunk. An anchor whose
 together is *hot* (a shared passage amid ever different surroundings): its segments are not sorted, but the 62-bit hash
 of each of their windows goes, once from each chunk, to one of all buckets, so a hot anchor spreads over all of them.
 
-Passages. A repeat shorter than ``window`` isn't removed, but reported: n_shared counts a text's bytes inside strings of
+Passages, only if asked for. A repeat shorter than ``window`` isn't removed, but can be reported: n_shared counts a text's bytes inside strings of
 PASSAGE_GRAM bytes that occur elsewhere too, out of a sample that has one of every PASSAGE - PASSAGE_GRAM + 1 neighbouring
 ones, the least by hash. A passage of PASSAGE bytes that repeats is therefore always seen, whatever surrounds it.
 
@@ -116,7 +116,7 @@ def _passages(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return key, place
 
 
-def _anchors(buckets: int, window: int):
+def _anchors(buckets: int, window: int, passages: bool = False):
     @X.tidy
     def run(table: pa.Table) -> pa.Table:
         chunk = table["chunk"][0].as_py()
@@ -124,9 +124,12 @@ def _anchors(buckets: int, window: int):
         keys, flags = X.distinct(anchor << U64(1) | U64(1))
         first = np.unique(key, return_index=True)[1]
         size = np.bincount(np.searchsorted(keys, anchor[first]), (end - start)[first], len(keys)).astype(U64)
+        own = X.send(chunk, buckets, 62, keys, flags, size)
+        if not passages:
+            return own
         sampled = X.send(chunk, buckets, 62, *X.distinct(_passages(table)[0] << U64(1) | U64(1)))
         sampled = sampled.set_column(0, "bucket", pc.add(sampled["bucket"], pa.scalar(buckets, pa.int32())))
-        return pa.concat_tables([X.send(chunk, buckets, 62, keys, flags, size), sampled])
+        return pa.concat_tables([own, sampled])
 
     return run
 
@@ -491,8 +494,10 @@ def _cut(buckets: int, window: int, kept: int):
         for raw in answers.filter(pa.array(bucket < -buckets))["payload"].to_pylist():  # one note at most
             cut = 8 + int.from_bytes(raw[:8], "little")
             hot = X.unpack(raw[8:cut])[0]
-            sampled, places = _passages(table)
-            shared = cover(places[X.member(sampled, X.unpack(raw[cut:])[0])], PASSAGE_GRAM, len(data))
+            some = X.unpack(raw[cut:])[0]
+            if len(some):
+                sampled, places = _passages(table)
+                shared = cover(places[X.member(sampled, some)], PASSAGE_GRAM, len(data))
         before = np.concatenate((np.zeros(1, np.int64), np.cumsum(shared)))
         if len(hot):
             i = np.flatnonzero(X.member(anchor, hot))
@@ -525,10 +530,10 @@ def _cut(buckets: int, window: int, kept: int):
     return run
 
 
-def suffix_dedup(docs: DataFrame, window: int = 400, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """The kept columns with n_bytes, n_shared (bytes in shared passages, removed or not), removed (byte spans, end
-    exclusive), and kept (binary). Every byte covered by a string of ``window`` bytes that also starts elsewhere goes,
-    first copy too."""
+def suffix_dedup(docs: DataFrame, window: int = 400, text: str = "text", keep: list[str] | None = None, passages: bool = False) -> DataFrame:
+    """The kept columns with n_bytes, removed (byte spans, end exclusive), and kept (binary). Every byte covered by a
+    string of ``window`` bytes that also starts elsewhere goes, first copy too. ``passages``: another column, n_shared,
+    has the bytes in shorter passages that repeat, by sampled strings and not by the sort."""
     if window <= GRAM:
         raise ValueError(f"a window has more than {GRAM} bytes")
     keep = [c for c in docs.columns if c != text] if keep is None else keep
@@ -539,16 +544,16 @@ def suffix_dedup(docs: DataFrame, window: int = 400, text: str = "text", keep: l
     chunks, buckets = X.counts(X.measure(docs, text), bucket_bytes=SHARD_BYTES)
     base = X.chunked(docs, keep, text, chunks)
     chunk = lambda df: df.groupBy("chunk")
-    shared = chunk(base).applyInArrow(_anchors(buckets, window), X.MESSAGE)
+    shared = chunk(base).applyInArrow(_anchors(buckets, window, passages), X.MESSAGE)
     shared = X.spread(shared, 2 * buckets, "bucket").applyInArrow(_shared_anchors(buckets), X.MESSAGE)
     sent = chunk(base).cogroup(chunk(shared)).applyInArrow(_send_segments(buckets, window), X.MESSAGE)
     # Sorting is heavy for its bytes: one partition for each shard, which the adaptive planner does not merge.
     found = X.spread(sent, buckets, "bucket").applyInArrow(_shard(buckets, window, folder), X.MESSAGE)
     out = chunk(base).cogroup(chunk(found)).applyInArrow(_cut(buckets, window, len(keep)), f"{X.kept_schema(docs, keep)}, n_bytes bigint, n_shared bigint, removed array<struct<start: bigint, end: bigint>>, kept binary".lstrip(", "))
-    return X.renamed(out, keep, ["n_bytes", "n_shared", "removed", "kept"])
+    return X.renamed(out, keep, ["n_bytes", *(["n_shared"] if passages else []), "removed", "kept"])
 
 
 def op5(spark, sf_dir: str) -> DataFrame:
     out = suffix_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 400, keep=["doc_id"])
     gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda s, x: s + x["end"] - x["start"])
-    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_shared")
+    return out.select("doc_id", "n_bytes", gone.alias("n_removed"), F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))

@@ -84,7 +84,7 @@ def test_suffix_reports_shorter_passages(spark):
     texts = [word(int(rng.integers(300, 900))) for _ in range(40)]
     for i in (3, 17, 31):
         texts[i] = word(100 * i) + passage + word(40)
-    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")).collect()}
+    got = {r.doc_id: r for r in suffix_dedup.suffix_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), passages=True).collect()}
     assert {i for i, r in got.items() if r.n_shared} == {3, 17, 31}
     assert all(240 <= got[i].n_shared <= len(passage) and not got[i].removed for i in (3, 17, 31))
 
