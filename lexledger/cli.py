@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lexledger.api import responses
 from lexledger.grammar.udf import parse_publications
 from lexledger.operators import gates, ledger
-from lexledger.plans.assembly import assemble, parsed_corpus
+from lexledger.plans import maintenance
 from lexledger.sources import readers, sinks
 
 
@@ -35,7 +35,7 @@ def _parser() -> argparse.ArgumentParser:
     command("coverage", tables=...)
     command("validate", tables=...)
     command("parse", "folder")
-    command("build", "folder", "out", corpus="corpus")
+    command("build", "folder", "out", corpus="corpus", previous=None, sidecar=None, observations=None)
     return top
 
 
@@ -76,7 +76,12 @@ def run(spark: SparkSession, argv: list[str], out=sys.stdout) -> int:
         parts = {"document": p.select("path", "boe_id", F.size("blocks").alias("n_blocks"), F.aggregate("blocks", F.lit(0), lambda s, b: s + F.size(b["sanctions"])).alias("n_sanctions"), F.size("issues").alias("n_issues"), "error")}
     else:
         files = readers.xml_corpus(spark, {a.corpus: a.folder})
-        sinks.write_tables(assemble(parsed_corpus(files), files, datetime.now(UTC).replace(tzinfo=None)), a.out)
+        whole = lambda path: spark.read.option("wholetext", True).text(path)
+        sidecar = readers.sidecar_index(whole(a.sidecar), "value") if a.sidecar else None
+        looks = readers.observation_snapshot(whole(a.observations), "value") if a.observations else None
+        done = maintenance.build(spark, files, a.out, datetime.now(UTC).replace(tzinfo=None), previous=a.previous, sidecar=sidecar, observations=looks)
+        for k, v in done.items():
+            print(k, v, sep="\t", file=out)
         return 0
     for name, df in parts.items():
         _print(name, df, out)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -59,14 +60,17 @@ def _each(kind: pa.DataType):
     def run(batches):
         for batch in batches:
             parsed = pa.array([record(x.as_py()) for x in batch.column("content")], kind)
-            yield pa.RecordBatch.from_arrays([batch.column("content_key"), parsed], names=["content_key", "publication"])
+            names = [n for n in batch.schema.names if n != "content"]
+            yield pa.RecordBatch.from_arrays([*map(batch.column, names), parsed], names=[*names, "publication"])
 
     return run
 
 
-def parse_publications(docs, content: str = "content", key: str = "path"):
-    """(key, publication) for each document, by one narrow pass."""
-    return docs.select(F.col(key).alias("content_key"), F.col(content).alias("content")).mapInArrow(_each(to_arrow_type(_type())), f"content_key string, publication struct<{_fields()}>").withColumnRenamed("content_key", key)
+def parse_publications(docs, content: str = "content", key: str = "path", carry: Sequence[str] = ()):
+    """(key, carried columns, publication) for each document, by one narrow pass."""
+    base = docs.select(key, *carry, F.col(content).alias("content"))
+    columns = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields if f.name != "content")
+    return base.mapInArrow(_each(to_arrow_type(_type())), f"{columns}publication struct<{_fields()}>")
 
 
 def _fields() -> str:

@@ -11,7 +11,7 @@ from lexledger.functions import ids, text
 from lexledger.functions.legal import appeal_status
 from lexledger.grammar.udf import parse_publications
 from lexledger.operators import dataflow as flow
-from lexledger.streaming.incremental import state_dir
+from lexledger.streaming.incremental import shared_dir
 from lexledger.schemas import TABLES
 
 # Instruments (family, aliases, from, to) and rules (id, family, article, conduct) of the index.
@@ -49,16 +49,38 @@ def dimensions(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
 
 
 def parsed_corpus(corpus: DataFrame) -> DataFrame:
-    """Parsed publications in corpus order; of one boe_id the first file wins."""
-    docs = flow.first_wins(corpus, ["boe_id"], ["corpus", "path"])
-    return docs.select("path", "corpus").join(parse_publications(docs.select("path", "content")), "path").select("path", "corpus", "publication.*")
+    """Parsed publications (path, corpus, ...); of one boe_id the first file wins, told by the names alone. The files that
+    lose are few, so contents stay where they are read."""
+    losers = flow.later_entries(corpus.select("boe_id", "corpus", "path"), ["boe_id"], ["corpus", "path"]).select("corpus", "path")
+    return parse_publications(corpus.join(losers, ["corpus", "path"], "left_anti"), carry=["corpus"]).select("path", "corpus", "publication.*")
+
+
+#: What a person's or company's mention in a sanction tells of the respondent.
+PEOPLE = "respondent_id string, boe_id string, corpus string, path string, ordinal int, subject string, name string, respondent_type string, role string"
+
+
+def respondents_of(people: DataFrame) -> DataFrame:
+    """The respondents among mentions (PEOPLE): as the first mention has them."""
+    first = flow.first_wins(people, ["respondent_id"], ["corpus", "path", "ordinal"])
+    policy = F.when(F.col("respondent_type") == "NATURAL_PERSON", "NAME_AS_PUBLISHED").otherwise("PUBLIC")
+    return first.select("respondent_id", F.col("subject").alias("raw_display_name"), F.col("name").alias("normalized_name"), "respondent_type", (F.col("respondent_type") == "ANONYMIZED_PERSON").alias("source_anonymized"), policy.alias("publication_policy"), F.col("role").alias("role_raw"))
+
+
+SIDECAR = "boe_id string, title string, register_entry_date date, method string, score double"
+OBSERVATIONS = "boe_id string, sha256 string, notes array<struct<kind: string, page: int, verbatim: string>>, status string, retrieval string, first_observed_at string, observed_at string"
 
 
 def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sidecar: DataFrame | None = None, observations: DataFrame | None = None) -> dict[str, DataFrame]:
-    """The ledger's tables. ``observed_at``: when this build saw its sources (naive UTC); ``observations``: (boe_id,
-    sha256, notes, status, retrieval, first_observed_at, observed_at) of later notices."""
+    """The ledger's tables."""
+    return assemble_with_people(parsed, corpus, observed_at, sidecar, observations)[0]
+
+
+def assemble_with_people(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sidecar: DataFrame | None = None, observations: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The ledger's tables, and the mentions (PEOPLE) that its respondents come from. ``observed_at``: when this build saw
+    its sources (naive UTC); ``observations``: (boe_id, sha256, notes, status, retrieval, first_observed_at, observed_at) of
+    later notices."""
     spark = parsed.sparkSession
-    state_dir(spark)
+    shared_dir(spark)
     parsed = parsed.checkpoint()  # parsed once, in the shared folder, for all tables
     at = F.lit(observed_at).cast("timestamp")
     case = F.concat(F.lit("CNMV-"), F.col("boe_id"))
@@ -71,8 +93,8 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
     instruments, rules = dimensions(spark)
     facts = own.select(F.col("infringement_id").alias("id"), F.col("statute").alias("statute"), "article", F.col("conduct_start").cast("date").alias("start"), F.col("conduct_end").cast("date").alias("end"))
     resolved = flow.resolve_rules(facts, instruments, rules).select(F.col("id").alias("infringement_id"), "rule_version_id", "conduct_code", "rule_resolution_status")
-    sidecar = sidecar if sidecar is not None else spark.createDataFrame([], "boe_id string, title string, register_entry_date date, method string, score double")
-    seen = observations if observations is not None else spark.createDataFrame([], "boe_id string, sha256 string, notes array<struct<kind: string, page: int, verbatim: string>>, status string, retrieval string, first_observed_at string, observed_at string")
+    sidecar = sidecar if sidecar is not None else spark.createDataFrame([], SIDECAR)
+    seen = observations if observations is not None else spark.createDataFrame([], OBSERVATIONS)
     n = lambda df, name: df.groupBy("case_id").agg(F.count(F.lit(1)).cast("int").alias(name))
     people = lines.filter("s.name IS NOT NULL")
     kinds = F.transform(F.coalesce("notes", F.array().cast("array<struct<kind:string,page:int,verbatim:string>>")), lambda x: x["kind"])
@@ -122,14 +144,14 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
     noted = notes.filter(F.col("kind").isin("APPEAL_NOTICE", "JUDICIAL_APPEAL", "JUDGMENT")).select(
         ids.pdf_event_id(F.col("case_id"), F.col("kind"), F.col("page"), F.col("verbatim")).alias("event_id"), "case_id", F.when(F.col("kind") == "APPEAL_NOTICE", "ADMINISTRATIVE_APPEAL").when(F.col("kind") == "JUDGMENT", "JUDGMENT").otherwise("JUDICIAL_APPEAL_FILED").alias("event_type"),
         F.lit(None).cast("date").alias("event_date"), F.col("observed_at").cast("timestamp").alias("observed_at"), F.col("sha256").alias("source_document_id"), F.to_json(F.struct("kind", "page", "verbatim")).alias("event_payload"))
-    respondents = flow.first_wins(people.select("respondent_id", "s.*", "corpus", "path"), ["respondent_id"], ["corpus", "path", "ordinal"])
+    mentions = people.select("respondent_id", "boe_id", "corpus", "path", "s.ordinal", "s.subject", "s.name", "s.respondent_type", "s.role")
     out = {
         "cases": cases,
         "case_status": seen.select(case.alias("case_id"), firm.alias("firmness_status"), F.size("notes").alias("n_cnmv_notes"), F.col("sha256").alias("pdf_sha256"), F.col("first_observed_at").cast("timestamp").alias("first_observed_at"), F.col("observed_at").cast("timestamp").alias("observed_at")),
         "status_notes": notes.select("case_id", "kind", "page", "verbatim"),
         "events": own_events.unionByName(noted),
         "documents": parsed.select(F.coalesce("boe_id", F.sha2("path", 256)).alias("document_id"), "boe_id", F.lit("AEBOE").alias("source"), "corpus", F.lit("XML").alias("format"), "title", F.col("publication_date").cast("date").alias("publication_date"), F.col("document_date").cast("date").alias("document_date")),
-        "respondents": respondents.select("respondent_id", F.col("subject").alias("raw_display_name"), F.col("name").alias("normalized_name"), "respondent_type", (F.col("respondent_type") == "ANONYMIZED_PERSON").alias("source_anonymized"), F.when(F.col("respondent_type") == "NATURAL_PERSON", "NAME_AS_PUBLISHED").otherwise("PUBLIC").alias("publication_policy"), F.col("role").alias("role_raw")),
+        "respondents": respondents_of(mentions),
         "case_respondents": people.groupBy("case_id", "respondent_id").agg(F.first("s.role", ignorenulls=True).alias("role")),
         "infringements": own.select("infringement_id", "case_id", "ordinal", "severity", "statute_raw", "article_raw", F.col("statute").alias("statute_normalized"), F.col("article").alias("article_normalized"), F.col("conduct").alias("conduct_raw"), F.col("conduct_start").cast("date").alias("conduct_start_date"), F.col("conduct_end").cast("date").alias("conduct_end_date"), F.coalesce("conduct_code", F.lit("UNKNOWN")).alias("conduct_code"), "rule_version_id", "rule_resolution_status", F.size("related").alias("n_related_provisions")),
         "related_provisions": own.select("infringement_id", "case_id", F.explode("related").alias("r")).select("infringement_id", "case_id", "r.statute_raw", "r.article_raw", F.col("r.statute").alias("statute_normalized"), F.col("r.article").alias("article_normalized"), F.lit("RELATED").alias("relation")),
@@ -138,4 +160,4 @@ def assemble(parsed: DataFrame, corpus: DataFrame, observed_at: datetime, sideca
         "parse_issues": parsed.select("boe_id", F.inline("issues")).unionByName(empty_handed).unionByName(flow.later_entries(corpus, ["boe_id"], ["corpus", "path"]).select("boe_id", F.lit("DUPLICATE_DOCUMENT").alias("kind"), F.col("path").alias("detail"))),
         "review_items": spark.createDataFrame([], TABLES["review_items"]),
     }
-    return {k: v.to(spark.createDataFrame([], TABLES[k]).schema) for k, v in out.items()}
+    return {k: v.to(spark.createDataFrame([], TABLES[k]).schema) for k, v in out.items()}, mentions.to(spark.createDataFrame([], PEOPLE).schema)

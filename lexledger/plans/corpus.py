@@ -14,8 +14,9 @@ from lexledger.functions import dates, ids, legal, numbers, text
 from lexledger.grammar.udf import parse_publications
 from lexledger.operators import dataflow as flow
 from lexledger.operators import gates, ledger, merkle
-from lexledger.plans import star
+from lexledger.plans import maintenance, star
 from lexledger.plans.assembly import assemble, parsed_corpus
+from lexledger.schemas import TABLES
 from lexledger.sources import pdf, readers, sinks, store
 from lexledger.streaming.incremental import state_dir, windowed_counts
 
@@ -155,6 +156,31 @@ def assembled(spark, d) -> dict[str, DataFrame]:
     return assemble(parsed_corpus(files), files, BUILT, observations=observations(spark, d))
 
 
+def _changed(files: DataFrame, sql_key: str = "boe_id") -> DataFrame:
+    """The files some time later: every 7th publication is gone, every 11th has another fine, others are as they were."""
+    n = F.regexp_extract(sql_key, r"(\d+)$", 1).cast("bigint")
+    other = F.encode(F.regexp_replace(F.decode("content", "UTF-8"), r"importe de [0-9.]+ euros", "importe de 77 euros"), "UTF-8")
+    return files.filter(n % 7 != 0).withColumn("content", F.when(n % 11 == 0, other).otherwise(F.col("content")))
+
+
+def rebuilt(spark, d) -> DataFrame:
+    """A ledger brought up to date in two steps, beside one built at once from the same files: (table, rows, rows that only
+    one of them has), and how many publications were parsed in the second step."""
+    folder, files, looks = state_dir(spark), corpora(spark, d), observations(spark, d)
+    new = F.regexp_extract("boe_id", r"(\d+)$", 1).cast("bigint") % 13 == 0
+    maintenance.build(spark, files.filter(~new), f"{folder}/1", BUILT, observations=looks)
+    later = _changed(files)
+    stats = maintenance.build(spark, later, f"{folder}/2", BUILT, previous=f"{folder}/1", observations=looks.filter("boe_id not like '%5'"))
+    maintenance.build(spark, later, f"{folder}/3", BUILT, observations=looks.filter("boe_id not like '%5'"))
+    out = spark.createDataFrame([("parsed", stats["n_parsed"], 0)], "table_name string, n_rows bigint, n_differing bigint")
+    two, three = (readers.ledger_tables(spark, f"{folder}/{i}") for i in (2, 3))
+    for name in TABLES:
+        both = two[name].withColumn("n", F.lit(1)).unionByName(three[name].withColumn("n", F.lit(-1)))
+        one = both.groupBy(F.to_json(F.struct(*two[name].columns)).alias("j")).agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 0).alias("here"))
+        out = out.union(one.agg(F.lit(name).alias("table_name"), F.coalesce(F.sum("here"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.abs("n")), F.lit(0)).alias("n_differing")).select("table_name", "n_rows", "n_differing"))
+    return out.filter("table_name IN ('parsed', 'cases', 'infringements', 'sanctions', 'respondents', 'documents', 'evidence', 'events', 'case_respondents', 'parse_issues')")
+
+
 CASE = "'CNMV-BOE-A-2008-' || o_orderkey"
 RESP = "'RESP-' || substr(sha256('sociedad ' || o_custkey || ', s.a|LEGAL_PERSON'), 1, 16)"
 APPEAL = "CASE WHEN o_orderkey % 3 <> 0 OR o_orderkey % 9 = 0 THEN 'INCONCLUSIVE' WHEN o_orderkey % 6 = 0 THEN 'OBSERVED' ELSE 'NOT_OBSERVED_WITHIN_VERIFIED_COVERAGE' END"
@@ -471,6 +497,11 @@ def add(query) -> None:
     put("grammar_rules", GRAMMAR_SQL, grammar_rules)
     for table, (columns, sql) in ASSEMBLED.items():
         put(f"assembled_{table}", sql, lambda spark, d, t=table, c=columns: assembled(spark, d)[t].select(*c))
+    put("incremental_build", """WITH o AS (SELECT o_orderkey AS k, o_custkey AS c FROM orders WHERE o_orderkey % 7 <> 0)
+      SELECT t AS table_name, n AS n_rows, CAST(0 AS BIGINT) AS n_differing FROM (
+        SELECT 'parsed' AS t, count(*) FILTER (k % 13 = 0 OR k % 11 = 0) AS n FROM o UNION ALL SELECT unnest(['cases', 'infringements', 'sanctions', 'documents', 'case_respondents']), (SELECT count(*) FROM o)
+        UNION ALL SELECT 'respondents', count(DISTINCT c) FROM o UNION ALL SELECT 'evidence', 7 * count(*) FROM o
+        UNION ALL SELECT 'events', 3 * count(*) + (SELECT count(*) FROM orders WHERE o_orderkey % 6 = 0) FROM o UNION ALL SELECT 'parse_issues', count(*) FILTER (k % 5 = 0) FROM o)""", rebuilt)
     put("register_rows_scan", f"SELECT page_index, CAST({PAGES} AS INTEGER) AS declared_pages, make_date(2010, CAST(1 + c_custkey % 9 AS BIGINT), CAST(1 + c_custkey % 28 AS BIGINT)) AS register_entry_date, 'Sanción a ' || c_name AS title, '/verdocumento?e=' || c_custkey AS document_url FROM {LISTED}", lambda spark, d: readers.register_rows(register_pages(spark, d), "html", "page"))
     put("register_integrity", f"SELECT CAST(3 AS INTEGER) AS page_index, count(*) AS n, 'SHORT' AS problem FROM {LISTED} WHERE page_index = 3 UNION ALL SELECT CAST(5 AS INTEGER), 0, 'MISSING'", lambda spark, d: readers.register_integrity(readers.register_rows(register_pages(spark, d), "html", "page")))
     put("register_total", f"SELECT count(*) AS n_rows, CAST(({PAGES} - 1) * 5 + count(*) FILTER (page_index = {PAGES} - 1) AS BIGINT) AS derived_total FROM {LISTED}", lambda spark, d: readers.register_total(readers.register_rows(register_pages(spark, d), "html", "page")))
