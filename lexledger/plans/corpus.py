@@ -17,7 +17,7 @@ from lexledger.operators import gates, ledger, merkle
 from lexledger.plans import maintenance, star
 from lexledger.plans.assembly import assemble, parsed_corpus
 from lexledger.schemas import TABLES
-from lexledger.sources import pdf, readers, sinks, store
+from lexledger.sources import pdf, probe, readers, sinks, store, yamls
 from lexledger.streaming.incremental import state_dir, windowed_counts
 
 
@@ -293,6 +293,55 @@ def registry(spark, d) -> DataFrame:
     return m.withColumn("fixtures", readers.yaml_list(F.col("fixtures")))
 
 
+NESTED_YAML = """# rules of {k}
+- rule_id: R{k}
+  aliases:
+  - name: '{n}'
+    valid: {from: 19{y}-01-01, to: ~}   # open
+  - [A{k}, "B: {k} # no comment"]
+  description: |
+    {n}
+      indented {k}
+
+    last
+- rule_id: S{k}
+  amount: {k}
+  note: >-
+    {n}
+    folded
+"""
+
+
+def nested_rules(spark, d) -> DataFrame:
+    """Rules of each part written as nested YAML and read back."""
+    doc = F.lit(NESTED_YAML)
+    for mark, value in (("{k}", F.col("p_partkey").cast("string")), ("{n}", F.replace("p_name", F.lit("'"), F.lit(""))), ("{y}", F.lpad((F.col("p_partkey") % 100).cast("string"), 2, "0"))):
+        doc = F.replace(doc, F.lit(mark), value)
+    rows = yamls.yaml_rows(star.read(spark, d, "part").select("p_partkey", doc.alias("yaml")), "yaml", ["p_partkey"]).filter("error IS NULL")
+    r = rows.select("p_partkey", "at", F.parse_json("record").alias("v"))
+    get = lambda path, t="string": F.try_variant_get("v", path, t)
+    return r.select(
+        "p_partkey", "at", get("$.rule_id").alias("rule_id"), get("$.aliases[0].name").alias("name"), get("$.aliases[0].valid.from").alias("valid_from"), get("$.aliases[1][1]").alias("alias"),
+        get("$.description").alias("description"), get("$.amount", "bigint").alias("amount"), get("$.note").alias("note"),
+    )
+
+
+def summary_drift(spark, d) -> DataFrame:
+    """Drift of daily summaries, of which every third has a level renamed later."""
+    s = summaries(spark, d)
+    renamed = F.when(F.col("day") % 3 == 0, F.replace("payload", F.lit('"departamento"'), F.lit('"organismo"'))).otherwise(F.col("payload"))
+    moved = probe.drift(probe.profile(s, "payload", "json"), probe.profile(s.select(renamed.alias("payload")), "payload", "json")).filter("path LIKE '%.departamento' OR path LIKE '%.organismo'")
+    return moved.groupBy(F.regexp_extract("path", "([a-z]+)$", 1).alias("level"), "change").agg(F.round(F.sum("share_now") - F.sum("share_before"), 9).alias("moved"))
+
+
+def page_drift(spark, d) -> DataFrame:
+    """Drift of web pages whose articles became sections and whose menus became longer."""
+    p = star.read(spark, d, "pages")
+    now = F.replace(F.replace(F.replace("html", F.lit("<article>"), F.lit("<section>")), F.lit("</article>"), F.lit("</section>")), F.lit("<li>"), F.lit("<li>x</li><li>"))
+    moved = probe.drift(probe.profile(p, "html", "html"), probe.profile(p.select(now.alias("html")), "html", "html"))
+    return moved.filter(F.col("path").rlike("/(article|section)$")).select(F.regexp_extract("path", "([a-z]+)$", 1).alias("element"), "change", F.round("share_before", 9).alias("share_before"), F.round("share_now", 9).alias("share_now"))
+
+
 def nation_documents(spark, d) -> DataFrame:
     """A document for each nation but every sixth."""
     return star.read(spark, d, "nation").filter("n_nationkey % 6 <> 5").select(F.concat(F.lit("BOE-A-"), F.col("n_nationkey").cast("string")).alias("document_id"), F.md5("n_name").alias("sha256"))
@@ -520,6 +569,12 @@ def add(query) -> None:
     put("title_classes", f"SELECT o_orderkey, {choose([_sql_text(a) for a, _ in TITLE_KINDS])} AS class, {choose([str(b).lower() for _, b in TITLE_KINDS])} AS sanction_like FROM orders", lambda spark, d: orders(spark, d).select("o_orderkey", readers.classify_item(pick(key() % 7, TITLES)).alias("class"), readers.sanction_like(pick(key() % 7, TITLES)).alias("sanction_like")))
     put("charset_fallback", "SELECT c_custkey, 'Ñandú ' || c_name AS text FROM customer", lambda spark, d: star.read(spark, d, "customer").select("c_custkey", readers.text_of(F.when(F.col("c_custkey") % 2 == 0, F.encode(F.concat(F.lit("Ñandú "), "c_name"), "UTF-8")).otherwise(F.encode(F.concat(F.lit("Ñandú "), "c_name"), "ISO-8859-1"))).alias("text")))
     put("yaml_records", "SELECT 'D' || n_nationkey AS defect_id, 'class ' || n_regionkey AS defect_class, 'nation ' || n_nationkey AS description, 'BOE-A-' || n_nationkey || '|BOE-A-' || (n_nationkey + 1000) AS fixtures FROM nation", lambda spark, d: registry(spark, d).withColumn("fixtures", F.array_join("fixtures", "|")))
+    put("yaml_nested_rules", """SELECT p_partkey, i::INTEGER AS at, CASE i WHEN 0 THEN 'R' ELSE 'S' END || p_partkey AS rule_id, CASE i WHEN 0 THEN n END AS name, CASE i WHEN 0 THEN '19' || lpad((p_partkey % 100)::VARCHAR, 2, '0') || '-01-01' END AS valid_from,
+      CASE i WHEN 0 THEN 'B: ' || p_partkey || ' # no comment' END AS alias, CASE i WHEN 0 THEN n || chr(10) || '  indented ' || p_partkey || chr(10) || chr(10) || 'last' || chr(10) END AS description, CASE i WHEN 1 THEN p_partkey END AS amount, CASE i WHEN 1 THEN n || ' folded' END AS note
+      FROM (SELECT p_partkey, replace(p_name, chr(39), '') AS n FROM part), (VALUES (0), (1)) t(i)""", nested_rules)
+    put("summary_structure_drift", """WITH s AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 3 = 0) AS a FROM orders)
+      SELECT 'departamento' AS level, 'LESS' AS change, round(-a / n, 9) AS moved FROM s UNION ALL SELECT 'organismo', 'NEW', round(a / n, 9) FROM s""", summary_drift)
+    put("page_structure_drift", "SELECT unnest(['article', 'section']) AS element, unnest(['LOST', 'NEW']) AS change, unnest([round(s, 9), 0.0]) AS share_before, unnest([0.0, round(s, 9)]) AS share_now FROM (SELECT count(*) FILTER (html LIKE '%<article>%') / count(*) AS s FROM pages)", page_drift)
     put("seed_reviews", "SELECT 'RV-' || substr(sha256('defect|D' || n_nationkey || '|BOE-A-' || n_nationkey || '|' || md5(n_name) || '|2'), 1, 16) AS review_id, 'D' || n_nationkey AS subject_id, 'BOE-A-' || n_nationkey AS document_id, 'class ' || n_regionkey AS reason_code, 'CORRECTED' AS status FROM nation WHERE n_nationkey % 6 <> 5", lambda spark, d: flow.seed_reviews(registry(spark, d), nation_documents(spark, d), "2").select("review_id", "subject_id", "document_id", "reason_code", "status"))
     put("amounts_in_texts", f"SELECT o_orderkey, {choose([FLOOR, FLOOR, FLOOR + ' + 0.05', '550000', FLOOR, 'NULL', FLOOR])}::DECIMAL(18,2) AS amount, {choose([FLOOR, FLOOR, 'NULL', 'NULL', '7', 'NULL', 'NULL'])}::DECIMAL(18,2) AS plain FROM orders", amounts)
     put("legal_texts", f"""SELECT o_orderkey, {choose(["'Ley ' || (1 + o_orderkey % 40) || '/2001|Ley del Mercado de Valores|Circular 3/1997'", "'Reglamento (UE) ' || (1 + o_orderkey % 40) || '/2014|Real Decreto-ley 5/2009'", "'Ley Concursal'", "''"])} AS mentions, CASE WHEN o_orderkey % 3 <> 1 THEN (1 + o_orderkey % 300) || '.o' END AS article,

@@ -302,10 +302,24 @@ def _numbers(spark, d):
     return star.read(spark, d, "orders").select("o_orderkey", numbers.es_number(dotted).alias("a"), numbers.es_number(F.when(price >= 1000, F.translate(dotted, ",", ".")).otherwise(dotted)).alias("b"), numbers.es_number(F.split(dotted, ",")[0]).alias("c"))
 
 
-@query("spanish_words_to_int", "SELECT * FROM (VALUES ('cincuenta mil', 50000), ('quinientos cincuenta mil', 550000), ('veintitrés', 23), ('dos millones trescientos mil', 2300000), ('mil', 1000), ('cien mil millones', 100000000000), ('treinta y cinco', 35), ('nada de eso', NULL)) t(words, n)")
+# Number words and what they count.
+UNITS = [("dos", 2), ("tres", 3), ("siete", 7), ("diez", 10), ("quince", 15), ("veintitrés", 23), ("treinta y cinco", 35), ("cien", 100), ("quinientos", 500), ("quinientos cincuenta", 550)]
+SCALES = [("", 1), (" mil", 10**3), (" millones", 10**6), (" mil millones", 10**9)]
+
+
+def _case(by: str, values: list) -> str:
+    return f"CASE {by} " + " ".join(f"WHEN {i} THEN {v}" for i, v in enumerate(values)) + " END"
+
+
+def _pick(by, values: list):
+    return F.element_at(F.array(*[F.lit(v) for v in values]), (by + 1).cast("int"))
+
+
+@query("spanish_words_to_int", f"SELECT o_orderkey, CAST({_case('o_orderkey % 10', [n for _, n in UNITS])} * CAST({_case('o_orderkey // 10 % 4', [n for _, n in SCALES])} AS BIGINT) AS BIGINT) AS n FROM orders")
 def _words(spark, d):
-    rows = ["cincuenta mil", "quinientos cincuenta mil", "veintitrés", "dos millones trescientos mil", "mil", "cien mil millones", "treinta y cinco", "nada de eso"]
-    return spark.createDataFrame([(r,) for r in rows], "words string").select("words", numbers.words_to_int(F.col("words")).alias("n"))
+    k = F.col("o_orderkey")
+    words = F.concat(_pick(k % 10, [w for w, _ in UNITS]), _pick(F.floor(k / 10) % 4, [w for w, _ in SCALES]))
+    return star.read(spark, d, "orders").select("o_orderkey", numbers.words_to_int(words).cast("bigint").alias("n"))
 
 
 @query("parse_dates_multi", "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a, CAST(o_orderdate AS DATE) AS b, CAST(o_orderdate AS DATE) AS c, CAST(NULL AS DATE) AS bad FROM orders")
@@ -326,13 +340,12 @@ SEVERITIES = [("una infracción muy grave tipificada en el artículo 99", "VERY_
 SUBJECTS = [("Gestora Ejemplo, SGIIC, S.A.", "LEGAL_PERSON"), ("don Nombre Apellido", "NATURAL_PERSON"), ("persona anónima", "ANONYMIZED_PERSON"), ("alguien", "UNKNOWN")]
 
 
-def _literal(rows, names: str) -> str:
-    q = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
-    return f"SELECT * FROM (VALUES {', '.join(f'({q(a)}, {q(b)})' for a, b in rows)}) t({names})"
-
-
 def _scalar(name: str, rows, out: str, f) -> None:
-    query(name, _literal(rows, f"raw, {out}"))(lambda spark, d: spark.createDataFrame([(a,) for a, _ in rows], "raw string").select("raw", f(F.col("raw")).alias(out)))
+    """A scalar over a text for each order, by its key."""
+    q = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+    query(name, f"SELECT o_orderkey, {_case(f'o_orderkey % {len(rows)}', [q(b) for _, b in rows])} AS {out} FROM orders")(
+        lambda spark, d: star.read(spark, d, "orders").select("o_orderkey", f(F.concat(_pick(F.col("o_orderkey") % len(rows), [a for a, _ in rows]), F.lit(""))).alias(out))
+    )
 
 
 _scalar("normalize_article", ARTICLES, "article", legal.normalize_article)
@@ -373,13 +386,20 @@ query("notes_regex_explode", "SELECT doc_id, pos - 1 AS pos, m AS verbatim FROM
 )
 
 
-@query("sumario_dual_shape", "SELECT * FROM (VALUES ('new', 'A-1', 'T1'), ('new', 'A-2', 'T2'), ('old', 'B-1', 'U1'), ('old', 'B-2', 'U2')) t(shape, identificador, titulo)")
+@query(
+    "sumario_dual_shape",
+    """SELECT CASE WHEN n_nationkey % 2 = 0 THEN 'new' ELSE 'old' END AS shape, CASE WHEN n_nationkey % 2 = 0 THEN 'A-' ELSE 'B-' END || n_nationkey || '-' || i AS identificador, n_name || ' ' || i AS titulo
+       FROM nation, (VALUES (1), (2)) t(i)""",
+)
 def _sumario(spark, d):
+    """A summary for each nation, in the new and the old nesting shape by turns."""
     from lexledger.sources.readers import sumario_items
 
-    new = '{"data":{"sumario":{"diario":{"seccion":[{"codigo":"3","departamento":{"codigo":"1040","epigrafe":[{"nombre":"E","item":[{"identificador":"A-1","titulo":"T1"},{"identificador":"A-2","titulo":{"texto":"T2"}}]}]}}]}}}}'
-    old = '{"data":{"sumario":{"diario":[{"seccion":{"codigo":"3","departamento":[{"codigo":"1040","item":{"identificador":"B-1","titulo":"U1"}},{"codigo":"1040","item":[{"identificador":"B-2","titulo":"U2"}]}]}}]}}}'
-    return sumario_items(spark.createDataFrame([("new", new), ("old", old)], "shape string, payload string"), "payload").select("shape", "identificador", "titulo")
+    new = '{"data":{"sumario":{"diario":{"seccion":[{"codigo":"3","departamento":{"codigo":"1040","epigrafe":[{"nombre":"E","item":[{"identificador":"A-#-1","titulo":"@ 1"},{"identificador":"A-#-2","titulo":{"texto":"@ 2"}}]}]}}]}}}}'
+    old = '{"data":{"sumario":{"diario":[{"seccion":{"codigo":"3","departamento":[{"codigo":"1040","item":{"identificador":"B-#-1","titulo":"@ 1"}},{"codigo":"1040","item":[{"identificador":"B-#-2","titulo":"@ 2"}]}]}}]}}}'
+    even = F.col("n_nationkey") % 2 == 0
+    filled = F.replace(F.replace(F.when(even, new).otherwise(old), F.lit("#"), F.col("n_nationkey").cast("string")), F.lit("@"), F.col("n_name"))
+    return sumario_items(star.read(spark, d, "nation").select(F.when(even, "new").otherwise("old").alias("shape"), filled.alias("payload")), "payload").select("shape", "identificador", "titulo")
 
 
 # ---- gates and identity ---------------------------------------------------------------------------------------------
