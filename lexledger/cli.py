@@ -13,7 +13,8 @@ from lexledger.api import responses
 from lexledger.grammar.udf import parse_publications
 from lexledger.operators import gates, ledger
 from lexledger.plans import maintenance
-from lexledger.sources import readers, sinks
+from lexledger.sources import acquire, probe, readers, sinks
+from lexledger.streaming import enumeration
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,9 +37,33 @@ def _parser() -> argparse.ArgumentParser:
     command("validate", tables=...)
     command("parse", "folder")
     command("build", "folder", "out", corpus="corpus", previous=None, sidecar=None, observations=None)
+    command("probe", "files", kind="html", before=None, out=None)
+    command("enumerate-history", "start", "end", "folder", url=..., batch_days="31", pause="0.5")
+    command("fetch", "folder", "out", url=None, pause="0.5")
+    command("pdf-status", "links", "folder", pause="0.5")
     return top
 
 
+def _acquire(spark: SparkSession, a) -> dict[str, DataFrame]:
+    """Commands that read sources: a folder's structure, days of summaries, documents of an enumeration, PDF documents."""
+    if a.command == "probe":
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(a.files).select(readers.text_of(F.col("content")).alias("text"))
+        now = probe.profile(files, "text", a.kind)
+        if a.out:
+            now.write.mode("overwrite").parquet(a.out)
+            now = spark.read.parquet(a.out)
+        return {"drift": probe.drift(spark.read.parquet(a.before), now)} if a.before else {"path": now}
+    if a.command == "enumerate-history":
+        days = enumeration.enumerate_days(spark, a.start, a.end, enumeration.summaries_over_http(a.url, pause=float(a.pause)), a.folder, batch_days=int(a.batch_days))
+        return {"enumerated": days.agg(F.count(F.lit(1)).alias("days"), F.sum(F.size("items")).alias("items"), F.count("error").alias("errors"))}
+    if a.command == "fetch":
+        found = enumeration.settled(enumeration.manifest(spark, a.folder)).select(F.explode("items").alias("i")).filter("i.sanction_like")
+        url = F.replace(F.lit(a.url), F.lit("{boe_id}"), F.col("i.boe_id")) if a.url else F.col("i.url_xml")
+        return {"document": acquire.fetch_documents(spark, found.select("i.boe_id", url.alias("url")), a.out, pause=float(a.pause))}
+    links = spark.read.option("header", True).schema("boe_id string, url string").csv(a.links)
+    return {"observation": acquire.pdf_status(spark, links, a.folder, pause=float(a.pause))}
+
+
 def _print(name: str, df: DataFrame, out) -> None:
     for r in responses(df).toLocalIterator():
         print(name, r.json, sep="\t", file=out)
@@ -59,6 +84,8 @@ def run(spark: SparkSession, argv: list[str], out=sys.stdout) -> int:
         parts = {"respondent": ledger.respondent_search(t, a.name)}
     elif a.command == "article":
         parts = {"infringement": ledger.article(t, a.statute, a.number)}
+    elif a.command in ("probe", "enumerate-history", "fetch", "pdf-status"):
+        parts = _acquire(spark, a)
     elif a.command == "coverage":
         parts = sinks.coverage(t["cases"], t["documents"], t["parse_issues"])
     elif a.command == "validate":

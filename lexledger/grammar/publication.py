@@ -447,7 +447,8 @@ class Reader:
 
 def parse(raw: bytes) -> dict:
     """The nested record of a publication; malformed XML and document types raise ValueError."""
-    if b"<!DOCTYPE" in raw or b"<!ENTITY" in raw:
+    bare = raw.replace(b"\0", b"")  # UTF-16 too
+    if b"<!DOCTYPE" in bare or b"<!ENTITY" in bare:
         raise ValueError("document types are not read")
     try:
         root = ET.fromstring(raw)
