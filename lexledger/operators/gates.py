@@ -62,16 +62,18 @@ def publication_violations(publications: DataFrame, cases: DataFrame) -> dict[st
     }
 
 
-def review_violations(defects: DataFrame, tests: DataFrame, reviews: DataFrame, documents: DataFrame, compat: str) -> dict[str, DataFrame]:
+def review_violations(defects: DataFrame, tests: DataFrame, reviews: DataFrame, documents: DataFrame, compat: str, released: DataFrame | None = None) -> dict[str, DataFrame]:
     """Every defect (defect_id, fixtures) has a test (name: test_<defect>_...), reviews name known pairs of defect and
-    fixture, and staleness is what a look at versions and bytes says, computed without apply_staleness."""
+    fixture, and staleness is what a look at versions and bytes says, computed without apply_staleness. ``released``:
+    (review_id, status) as a release has them; without it what apply_staleness says is looked at."""
     covered = tests.select(F.regexp_extract("name", "^test_(.+?)_", 1).alias("defect_id"))
     pairs = defects.select(F.col("defect_id").alias("subject_id"), F.explode("fixtures").alias("document_id"))
     orphans = reviews.filter("subject_type = 'defect'").join(pairs, ["subject_id", "document_id"], "left_anti")
     shas = documents.select("document_id", F.col("sha256").alias("sha"))
     other = (F.col("review_compat_version") != compat) | ~F.coalesce("raw_sha256", F.lit("")).eqNullSafe(F.coalesce("sha", F.lit("")))
     expected = reviews.join(shas, "document_id", "left").filter(other | F.col("sha").isNull()).select("review_id")
-    stale = flow.apply_staleness(reviews, documents, compat).filter("status = 'STALE'").select("review_id")
+    said = flow.apply_staleness(reviews, documents, compat) if released is None else released
+    stale = said.filter("status = 'STALE'").select("review_id")
     return {
         "defects_have_tests": defects.join(covered, "defect_id", "left_anti").select("defect_id").union(orphans.select("review_id")),
         "staleness_as_expected": expected.join(stale, "review_id", "left_anti").union(stale.join(expected, "review_id", "left_anti")),

@@ -394,7 +394,7 @@ def planted(spark, d) -> DataFrame:
         "documents": o.select(name("B").alias("document_id")),
         "cases": o.filter(~off(7)).select(name("C").alias("case_id"), name("B").alias("canonical_boe_id"), F.when(off(101), day("2009-01-01")).otherwise(day("2008-01-01")).alias("sanctioning_resolution_date"), day("2008-06-01").alias("boe_publication_date"), F.when(off(4), "NOT_OBSERVED_WITHIN_VERIFIED_COVERAGE").otherwise("INCONCLUSIVE").alias("appeal_observation_status"), unless(8, F.lit("cb")).alias("coverage_basis_id")),
         "infringements": o.filter(~off(103)).select(name("I").alias("infringement_id"), name("C").alias("case_id"), F.when(off(107), "UNKNOWN").otherwise("SERIOUS").alias("severity"), unless(109, F.lit("99.o")).alias("article_normalized"), unless(113, F.lit("L")).alias("statute_normalized"), F.when(off(127), day("2008-07-01")).otherwise(day("2008-05-01")).alias("conduct_end_date")),
-        "sanctions": o.filter(~off(131)).select(F.when(off(137), "twice").otherwise(name("S")).alias("sanction_id"), name("C").alias("case_id"), name("I").alias("infringement_id"), F.when(off(149), " ").otherwise(unless(139, name("R"))).alias("respondent_id"), fine.alias("sanction_type"), F.when((key() % 2 == 0) & ~off(150), F.lit(5)).when((key() % 2 == 1) & off(157), F.lit(1)).cast("decimal(18,2)").alias("amount")),
+        "sanctions": o.filter(~off(131)).select(F.when(off(137), "twice").otherwise(name("S")).alias("sanction_id"), name("C").alias("case_id"), name("I").alias("infringement_id"), F.when(off(149), " ").otherwise(unless(139, name("R"))).alias("respondent_id"), fine.alias("sanction_type"), F.when((key() % 2 == 0) & ~off(150), F.lit(5)).when((key() % 2 == 1) & off(157), F.lit(1)).cast("decimal(20,2)").alias("amount")),
         "respondents": o.select(name("R").alias("respondent_id")),
         "evidence": o.filter(~off(163)).select(F.when(off(137), "twice").otherwise(name("S")).alias("entity_id"), F.when(off(167), "none").otherwise(name("B")).alias("document_id"), F.lit("VALUE_BINDING_PROVEN").alias("proof_level"), unless(173, F.lit("texto/p[1]")).alias("locator"), unless(179, F.lit("sha")).alias("artifact_sha256"), later(181).alias("observed_at")),
         "events": o.select(name("E").alias("event_id"), later(191).alias("observed_at")),
@@ -403,15 +403,21 @@ def planted(spark, d) -> DataFrame:
     block = lambda n: F.array(F.struct(F.array(*[F.struct(F.lit("x").alias("text"))] * n).cast("array<struct<text: string>>").alias("sanctions")))
     publications = o.select(name("B").alias("boe_id"), F.when(key() % 2 == 0, "register").otherwise("history").alias("corpus"), F.when(off(7), "SUBSEQUENT_EVENT").otherwise("SANCTION_PUBLICATION").alias("document_kind"), F.lit(None).cast("string").alias("error"), F.when(off(197), F.array()).when(off(199), block(0)).otherwise(block(1)).alias("blocks"))
     nation = star.read(spark, d, "nation")
+    # A corpus whose publications became no cases.
+    lost = nation.select(F.concat(F.lit("L"), F.col("n_nationkey").cast("string")).alias("boe_id"), F.lit("lost").alias("corpus"), F.lit("SANCTION_PUBLICATION").alias("document_kind"), F.lit(None).cast("string").alias("error"), block(1).alias("blocks"))
+    publications = publications.unionByName(lost)
+    enumerated = o.filter(~off(211)).select(name("B").alias("boe_id")).union(lost.select("boe_id"))
     defects = registry(spark, d)
     tests = nation.filter("n_nationkey % 5 <> 4").select(F.format_string("test_D%d_holds", "n_nationkey").alias("name"))
     docs = nation_documents(spark, d)
     reviews = flow.seed_reviews(defects, docs, "2").select("review_id", "subject_type", F.when(F.col("subject_id") == "D3", "D0").otherwise(F.col("subject_id")).alias("subject_id"), "document_id", "raw_sha256", "review_compat_version", "status", F.lit(None).cast("string").alias("notes"))
+    # A release that calls every review of a document of nations up to 5 stale, which none is.
+    released = reviews.select("review_id", F.when(F.regexp_extract("document_id", r"(\d+)$", 1).cast("int") <= 5, "STALE").otherwise(F.col("status")).alias("status"))
     files = nation.select(F.col("n_name").alias("name"), F.encode("n_name", "UTF-8").alias("content"))
     sums = nation.select(F.col("n_name").alias("name"), F.when(F.col("n_nationkey") % 9 == 0, "0").otherwise(F.sha2(F.encode("n_name", "UTF-8"), 256)).alias("expected"))
     days = summaries(spark, d)
     return gates.release_gates(
-        gates.table_violations(t, BUILT), gates.publication_violations(publications, t["cases"]), gates.review_violations(defects, tests, reviews, docs, "2"), gates.history_violations(publications, o.filter(~off(211)).select(name("B").alias("boe_id")), "register"),
+        gates.table_violations(t, BUILT), gates.publication_violations(publications, t["cases"]), gates.review_violations(defects, tests, reviews, docs, "2", released), gates.history_violations(publications, enumerated, "register"),
         gates.holdout_violations(publications), gates.fixture_violations(files, sums), gates.summary_violations(days.unionByName(days.select((F.col("day") + 10**9).alias("day"), F.lit("{}").alias("payload")).filter("day % 223 = 0")), readers.sumario_items(days, "payload"), "day"), gates.note_violations(nation.select(F.when(F.col("n_nationkey") > 2, "NOT exhaustive history").otherwise("all").alias("note")), "note"),
     )
 
@@ -425,9 +431,9 @@ PLANTED = {
     "references_resolve": f"(SELECT k FROM {_O} WHERE {_S} AND k % 103 = 0 UNION ALL SELECT k FROM {_O} WHERE {_S} AND k % 149 = 0)", "sanction_id_unique": f"(SELECT 1 FROM {_O} WHERE {_S} AND k % 137 = 0 HAVING count(*) > 1)",
     "sanction_has_evidence": f"{_O} WHERE {_S} AND k % 163 = 0 AND (k % 137 <> 0 OR NOT EXISTS (SELECT 1 FROM {_O} e WHERE e.k % 137 = 0 AND e.k % 163 <> 0))", "resolution_before_publication": f"{_O} WHERE k % 7 <> 0 AND k % 101 = 0", "conduct_before_publication": f"{_O} WHERE k % 7 <> 0 AND k % 103 <> 0 AND k % 127 = 0",
     "evidence_has_document": f"{_O} WHERE k % 163 <> 0 AND k % 167 = 0", "proven_value_has_locator_and_sha": f"{_O} WHERE k % 163 <> 0 AND (k % 173 = 0 OR k % 179 = 0)", "verified_negative_has_basis": f"{_O} WHERE k % 7 <> 0 AND k % 8 = 0",
-    "no_future_observation": f"(SELECT k FROM {_O} WHERE k % 163 <> 0 AND k % 181 = 0 UNION ALL SELECT k FROM {_O} WHERE k % 191 = 0)", "sanction_respondent_not_empty": f"{_O} WHERE {_S} AND k % 149 = 0", "evidence_bound_to_artifact": f"{_O} WHERE k % 163 <> 0 AND k % 179 = 0", "fine_amount_is_decimal": f"{_O} WHERE false",
-    "publication_has_block": f"{_O} WHERE k % 7 <> 0 AND k % 197 = 0", "publication_has_sanction": f"{_O} WHERE k % 7 <> 0 AND (k % 197 = 0 OR k % 199 = 0)", "documents_reconcile_with_cases": f"{_O} WHERE false",
-    "defects_have_tests": "(SELECT 1 FROM nation WHERE n_nationkey % 5 = 4 UNION ALL SELECT 1 FROM nation WHERE n_nationkey = 3)", "staleness_as_expected": f"{_O} WHERE false", "history_is_enumerated": f"{_O} WHERE k % 2 = 1 AND k % 211 = 0",
+    "no_future_observation": f"(SELECT k FROM {_O} WHERE k % 163 <> 0 AND k % 181 = 0 UNION ALL SELECT k FROM {_O} WHERE k % 191 = 0)", "sanction_respondent_not_empty": f"{_O} WHERE {_S} AND k % 149 = 0", "evidence_bound_to_artifact": f"{_O} WHERE k % 163 <> 0 AND k % 179 = 0", "fine_amount_is_decimal": f"{_O} WHERE {_S} AND k % 2 = 0",
+    "publication_has_block": f"{_O} WHERE k % 7 <> 0 AND k % 197 = 0", "publication_has_sanction": f"{_O} WHERE k % 7 <> 0 AND (k % 197 = 0 OR k % 199 = 0)", "documents_reconcile_with_cases": "(SELECT DISTINCT 'lost' FROM nation)",
+    "defects_have_tests": "(SELECT 1 FROM nation WHERE n_nationkey % 5 = 4 UNION ALL SELECT 1 FROM nation WHERE n_nationkey = 3)", "staleness_as_expected": "nation WHERE n_nationkey <= 4", "history_is_enumerated": f"{_O} WHERE k % 2 = 1 AND k % 211 = 0",
     "holdout_has_sanctions": f"{_O} WHERE k % 197 = 0 OR k % 199 = 0", "fixtures_match_sums": "nation WHERE n_nationkey % 9 = 0", "summaries_give_items": f"{_O} WHERE (k + 1000000000) % 223 = 0", "coverage_note_is_honest": "nation WHERE n_nationkey <= 2",
 }
 PLANTED_SQL = "SELECT gate, n_violations, n_violations = 0 AS ok FROM (" + " UNION ALL ".join(f"SELECT '{k}' AS gate, count(*) AS n_violations FROM {v}" for k, v in PLANTED.items()) + ")"
