@@ -82,14 +82,21 @@ def sanction_type(c: Column) -> Column:
     )
 
 
+# Marks of who a respondent is, for this and for the grammar's plain Python; both regular dialects read them.
+ANONYMOUS = r"(?i)an[oó]nim|se\s+preserva\s+su\s+identidad|no\s+se\s+identifica"
+PERSON = r"(?i)^\s*(?:don|doña|dña|d\.)(?:\s+|$)"
+#: An abbreviation of a legal form at the end, in any case; or one in capitals, or a word for a company, anywhere.
+COMPANY_END = r"(?i)(?<!\w)(?:S\.?\s?A\.?U?|S\.?\s?L\.?U?|SGIIC|SGEIC|SGECR|SICAV|SV|AV|EAFI?|Limited|Ltd)\.?\)?$"
+COMPANY_WORD = r"(?<!\w)(?:S\.?\s?A\.?U?|S\.?\s?L\.?U?|SGIIC|SGEIC|SGECR|SGR|FCR|SICAV|SIM|SV|AV|EAFI?|(?i:Banco|Bank|Limited|Ltd|Fondos?|Gestora|Sucursal|Cartera|Caja))(?!\w)"
+
+
 def respondent_type(c: Column) -> Column:
     """Anonymised before person before entity."""
+    has = lambda text, pattern: text.rlike("(?U)" + pattern)
     return (
-        F.when(c.rlike(r"(?iu)an[oó]nim|se\s+preserva\s+su\s+identidad|no\s+se\s+identifica"), "ANONYMIZED_PERSON")
-        .when(c.rlike(r"(?iu)^\s*(?:don|doña|dña|d\.)(?:\s|$)"), "NATURAL_PERSON")
-        .when(c.rlike(r"(?iu)\b(?:S\.?\s?A\.?U?|S\.?\s?L\.?U?|SGIIC|SGEIC|SGECR|SGR|FCR|SICAV|SIM|SV|AV|Banco|Bank|Limited|Ltd|Fondos?|Gestora|Sucursal|EAFI?|Cartera)(?:\b|\.|$)"), "LEGAL_PERSON")
-        .otherwise("UNKNOWN")
-    )
+        F.when(has(c, ANONYMOUS), "ANONYMIZED_PERSON").when(has(c, PERSON), "NATURAL_PERSON")
+        .when(has(F.regexp_replace(c, r"[ .]+$", ""), COMPANY_END) | has(c, COMPANY_WORD), "LEGAL_PERSON").otherwise("UNKNOWN")
+    )
 
 
 def appeal_status(retrieval: Column, kinds: Column) -> Column:

@@ -14,7 +14,7 @@ import re
 import xml.etree.ElementTree as ET
 
 from lexledger.functions.dates import MONTHS
-from lexledger.functions.legal import ORDINALS, STATUTES
+from lexledger.functions.legal import COMPANY_END, ORDINALS, STATUTES
 from lexledger.functions.numbers import COUNTS
 from lexledger.functions.numbers import amounts_of as amounts
 
@@ -31,7 +31,7 @@ CLAUSE = re.compile(rf"(?:[,;.:]\s*(?:y\s+)?|\s+y\s+)(?:[a-zñ]\)\s*)?(?=(?:(?:{
 DURATION = re.compile(r"por\s+(?:un\s+)?(?:plazo|per[ií]odo|tiempo)\s+de\s+([^,.;»]{2,60})", re.IGNORECASE)
 SUCCESSOR = re.compile(r",?\s*como\s+sucesor[a-z]*\s+en\s+la\s+responsabilidad\s+declarad[ao]\s+de\s*(?P<name>[^:]*?)\s*(?=:|,\s*(?:una\b|\d)|\.?\s*$)", I)
 PERSON = re.compile(r"^(?:don|doña|dña|d\.)\s+", re.IGNORECASE)
-COMPANY = re.compile(r"(?<!\w)(?:S\.?\s?A\.?U?|S\.?\s?L\.?U?|SGIIC|SGEIC|SGECR|SICAV|SV|AV|EAFI?|Limited|Ltd)\.?\)?$", re.IGNORECASE)
+COMPANY = re.compile(COMPANY_END)
 ROLE = re.compile(r",\s*(?=(?:en\s+su\s+(?:calidad|condici[oó]n)\s+de|como\s+(?:consejer|administrador|director|president|apoderad)|consejer|administrador|director|president|secretari|apoderad|miembros?\b|directiv))", re.IGNORECASE)
 DATE = re.compile(r"(\d{1,2})\s+de\s+(" + "|".join(MONTHS) + r")\s+de\s+(\d{4})", re.IGNORECASE)
 FLAGS = {

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType, _parse_datatype_string
 
+from lexledger.functions import legal
 from lexledger.grammar import publication
 
 SANCTION = "struct<subject: string, text: string, type: string, amount: decimal(18,2), currency: string, amount_raw: string, duration_raw: string, paragraph: int, ordinal: int, declared_subject: string, role: string, respondent_type: string, name: string>"
@@ -31,13 +33,12 @@ def _type() -> StructType:
 
 
 def respondent_kind(name: str) -> str:
-    import re
-
-    if re.search(r"an[oó]nim|se\s+preserva\s+su\s+identidad|no\s+se\s+identifica", name, re.IGNORECASE):
+    """As legal.respondent_type, for plain text."""
+    if re.search(legal.ANONYMOUS, name):
         return "ANONYMIZED_PERSON"
-    if publication.PERSON.match(name):
+    if re.search(legal.PERSON, name):
         return "NATURAL_PERSON"
-    return "LEGAL_PERSON" if publication.COMPANY.search(name.rstrip(" .")) or re.search(r"\b(?:S\.?A|S\.?L|SGIIC|SGEIC|SICAV|SV|AV|Banco|Bank|Limited|Ltd|Fondos?|Gestora|Sucursal|EAFI?|Cartera|Caja)\b", name) else "UNKNOWN"
+    return "LEGAL_PERSON" if re.search(legal.COMPANY_END, name.rstrip(" .")) or re.search(legal.COMPANY_WORD, name) else "UNKNOWN"
 
 
 def record(raw: bytes | None) -> dict:

@@ -200,3 +200,15 @@ def test_streams(spark, tmp_path):
     assert incremental.first_seen(spark, source(), ["id", "sha256"]).count() == 3
     got = {r.id: (r.sha256, r.first_observed_at.day, r.observed_at.day, r.changes) for r in observation.observe_stream(spark, source(), "id").collect()}
     assert got == {"b": ("1", 1, 1, 0), "a": ("2", 1, 2, 1)}
+
+
+def test_both_forms_tell_respondents_alike(spark):
+    from pyspark.sql import functions as F
+
+    from lexledger.functions import legal
+    from lexledger.grammar.udf import respondent_kind
+
+    names = ["Caja Uno", "Banco Dos, S.A.", "don Uno Dos", "D. Tres", "d", "Ejemplo SGIIC, S. A. U.", "ejemplo, s.l.", "Persona anónima", "alguien", "La Sala", "av de nada", "AV Cinco", "GESTORA SEIS", "Fondos Siete (SICAV)", "", "Ocho Limited.", "savia", "no se identifica"]
+    got = spark.createDataFrame([(n,) for n in names], "n string").select("n", legal.respondent_type(F.col("n")).alias("t")).collect()
+    assert {r.n: r.t for r in got} == {n: respondent_kind(n) for n in names}
+    assert respondent_kind("Caja Uno") == "LEGAL_PERSON" and respondent_kind("La Sala") == respondent_kind("savia") == "UNKNOWN"
