@@ -78,7 +78,8 @@ def tree(df: DataFrame, keys: list[str] = (), like: Tree | None = None, leaf: in
         level = level.groupBy(up.alias("path")).agg(F.array_sort(F.collect_list(child)).alias("c"), F.sum("n_rows").alias("n_rows"))
         level = level.select(F.lit(at).alias("level"), "path", F.sha2(F.array_join(F.transform("c", lambda x: F.concat(x["path"], F.lit(":"), x["digest"])), "\n"), 256).alias("digest"), "n_rows")
         nodes = nodes.unionByName(level)
-    return Tree(nodes, keys, depth, slots)
+    # Kept too: a comparison asks for level after level.
+    return Tree(nodes.checkpoint(), keys, depth, slots)
 
 
 def differing(a: Tree, b: Tree) -> DataFrame:

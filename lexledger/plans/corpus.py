@@ -580,7 +580,7 @@ def add(query) -> None:
       FROM (SELECT p_partkey, replace(p_name, chr(39), '') AS n FROM part), (VALUES (0), (1)) t(i)""", nested_rules)
     put("summary_structure_drift", """WITH s AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 3 = 0) AS a FROM orders)
       SELECT 'departamento' AS level, 'LESS' AS change, round(-a / n, 9) AS moved FROM s UNION ALL SELECT 'organismo', 'NEW', round(a / n, 9) FROM s""", summary_drift)
-    put("page_structure_drift", "SELECT unnest(['article', 'section']) AS element, unnest(['LOST', 'NEW']) AS change, unnest([round(s, 9), 0.0]) AS share_before, unnest([0.0, round(s, 9)]) AS share_now FROM (SELECT count(*) FILTER (html LIKE '%<article>%') / count(*) AS s FROM pages)", page_drift)
+    put("page_structure_drift", "SELECT unnest(['article', 'section']) AS element, unnest(['LOST', 'NEW']) AS change, unnest([round(s, 9), 0.0]) AS share_before, unnest([0.0, round(s, 9)]) AS share_now FROM (SELECT count(*) FILTER (html LIKE '%<article>%') / count(*) AS s FROM pages) WHERE s > 0.05", page_drift)
     put("seed_reviews", "SELECT 'RV-' || substr(sha256('defect|D' || n_nationkey || '|BOE-A-' || n_nationkey || '|' || md5(n_name) || '|2'), 1, 16) AS review_id, 'D' || n_nationkey AS subject_id, 'BOE-A-' || n_nationkey AS document_id, 'class ' || n_regionkey AS reason_code, 'CORRECTED' AS status FROM nation WHERE n_nationkey % 6 <> 5", lambda spark, d: flow.seed_reviews(registry(spark, d), nation_documents(spark, d), "2").select("review_id", "subject_id", "document_id", "reason_code", "status"))
     put("amounts_in_texts", f"SELECT o_orderkey, {choose([FLOOR, FLOOR, FLOOR + ' + 0.05', '550000', FLOOR, 'NULL', FLOOR])}::DECIMAL(18,2) AS amount, {choose([FLOOR, FLOOR, 'NULL', 'NULL', '7', 'NULL', 'NULL'])}::DECIMAL(18,2) AS plain FROM orders", amounts)
     put("legal_texts", f"""SELECT o_orderkey, {choose(["'Ley ' || (1 + o_orderkey % 40) || '/2001|Ley del Mercado de Valores|Circular 3/1997'", "'Reglamento (UE) ' || (1 + o_orderkey % 40) || '/2014|Real Decreto-ley 5/2009'", "'Ley Concursal'", "''"])} AS mentions, CASE WHEN o_orderkey % 3 <> 1 THEN (1 + o_orderkey % 300) || '.o' END AS article,
