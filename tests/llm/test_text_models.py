@@ -2,6 +2,7 @@
 
 import math
 import random
+import types
 import re
 import zlib
 from collections import Counter
@@ -192,6 +193,78 @@ def test_lm_bytes_depend_on_their_text_only():
     assert [len(x) for x in alone] == [len(t.split()) + 1 for t in texts]
 
 
+def small_model(texts):
+    """Made-up tables and weights over trees of the texts' bytes."""
+    data, offsets = lm.flat(pa.chunked_array([pa.array(texts)]))
+    out, first = lm.stream(data, offsets)
+    p1, p2 = lm.before(out, first, 2)
+    keys, n = np.unique(p2[::3].astype(np.int64) << 16 | p1[::3].astype(np.int64) << 8 | out[::3], return_counts=True)
+    trees = lm.Trees(keys, n.astype(float))
+    begin = np.concatenate(([0], np.cumsum(lm._table_sizes(trees))))
+    rng = np.random.default_rng(3)
+    table = (rng.integers(-900, 900, begin[-1]) * 4 + rng.integers(0, 4, begin[-1])).astype(np.int16)
+    return data, offsets, {"trees": trees, "table": table, "begin": begin, "weights": rng.random((lm.GATES, lm.INPUTS)) * 0.4}
+
+
+def bytes_by_hand(model, text):
+    """One text's tokens, each byte for itself: ln probabilities by weights that are refined block by block."""
+    out, first = lm.stream(*lm.flat(pa.chunked_array([pa.array([text])])))
+    back = lm.before(out, first)
+    step, at = model["trees"].events(out, back[0], back[1])
+    x, gate = lm._inputs(model, step, lm.slots([*lm.hashes(back), lm.word_so_far(out, back[0])], at, step >> 1))
+    w, bit = model["weights"][gate], step & 1
+    base = sum(w[:, k] * x[k] for k in range(lm.INPUTS - 1)) + 0.3 * w[:, -1]
+    moved, curve, tokens = [0.0, 0.0], [lm.DAMP, lm.DAMP], np.zeros(len(text.split()) + 1)
+    block = np.maximum(0, np.frexp(np.arange(len(out)) // 32)[1])[at]
+    token = np.cumsum(np.isin(np.append(0, out[:-1]), (lm.BLANK, lm.END)))[at]
+    for b in range(block.max() + 1):
+        own = block == b
+        p = 1 / (1 + np.exp(-np.clip(base[own] * (1 + moved[0]) + x[2][own] * moved[1], -16, 16)))
+        tokens += np.bincount(token[own], np.log(np.where(bit[own], p, 1 - p)), len(tokens))
+        for k, v in enumerate((base[own], x[2][own])):
+            curve[k] += (p * (1 - p) * v * v).sum()
+            moved[k] = min(0.4, max(-0.4, moved[k] + ((bit[own] - p) * v).sum() / curve[k]))
+    return tokens
+
+
+@pytest.mark.parametrize("bits", [22, 3])
+def test_lm_equal_places_are_worked_out_once(bits, monkeypatch):
+    """Bytes with equal contexts share their decisions, also where slots collide; results are those of each byte alone."""
+    rng = random.Random(5)
+    words = ["sea", "other", "Wörter", "there", "remarkable", "of", "extraordinarily"]
+    texts = [" ".join(rng.choice(words) for _ in range(n)) for n in (1, 7, 60, 400)] * 30 + ["", "x", "  "]
+    data, offsets, model = small_model(texts)
+    asked, events = [], lm.Trees.events
+    monkeypatch.setattr(lm, "PLACE_BITS", bits)
+    monkeypatch.setattr(lm, "PIECE", 3000)
+    with monkeypatch.context() as m:
+        m.setattr(lm.Trees, "events", lambda self, s, p1, p2: (asked.append(len(s)), events(self, s, p1, p2))[1])
+        got, size = lm.byte_log_probabilities(model, data, offsets)
+    assert got == pytest.approx(np.concatenate([bytes_by_hand(model, t) for t in texts]), rel=2e-3, abs=1e-4)
+    assert len(size) == len(texts)
+    if bits == 22:
+        assert sum(asked) < size.sum() / 20
+    # Learning counts each decision as often as it is taken.
+    monkeypatch.setattr(lm, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    batches = [pa.RecordBatch.from_pydict({"body": pa.array(t)}) for t in (texts[:50], texts[50:], [])]
+    table = np.zeros((model["begin"][-1] // lm.SLICE, 2 * lm.SLICE), np.uint64)
+    for batch in lm._learn(types.SimpleNamespace(value=model["trees"]))(iter(batches)):
+        table[batch["slice"][0].as_py()] = lm._wide(batch["payload"][0].as_py())
+    step, where = lm._decisions(model["trees"], data, offsets)
+    for begin, x in zip(model["begin"], [step >> 1, *where]):
+        want = np.bincount((x + begin) << 1 | step & 1, minlength=table.size)
+        end = 2 * model["begin"][model["begin"].tolist().index(begin) + 1]
+        assert (table.ravel()[2 * begin : end] == want[2 * begin : end]).all()
+
+
+def test_lm_keys_and_places_sorted_in_one_word():
+    rng = np.random.default_rng(4)
+    for keys, bits in ((rng.integers(0, 50, 900, dtype=np.uint64), 33), (rng.integers(0, 1 << 60, 900, dtype=np.uint64), 60), (rng.integers(0, 40, 900, dtype=np.uint64), 64), (np.zeros(0, np.uint64), 60)):
+        got, order = lm._ordered(keys, bits)
+        want = np.argsort(keys, kind="stable")
+        assert order.tolist() == want.tolist() and got.tolist() == keys[want].tolist()
+
+
 def test_lm_gathers_more_from_more(spark):
     """What is gathered grows with the input, and a text that occurs elsewhere too stands out."""
     rng = random.Random(8)
