@@ -52,3 +52,9 @@ def test_publications_of_one_id_are_counted_together_and_keep_their_rows(tables)
 def test_evidence_is_bound_to_its_own_paragraph(tables):
     of = {r.field_name: r.proof_level for r in tables["evidence"].filter("document_id = 'BOE-A-2008-7'").collect()}
     assert of["sanction_text"] == of["amount"] == "VALUE_BINDING_PROVEN" and of["name"] == "DOCUMENT_BINDING_PROVEN"
+
+
+def test_texts_of_evidence_are_squeezed_before_facts_are_dealt_out(tables):
+    """A paragraph once for each block or sanction, not several times for each fact."""
+    above = plan(tables["evidence"].select("proof_level")).split("Generate explode(fs", 1)[0]
+    assert "regexp_replace" not in above
