@@ -88,3 +88,10 @@ def test_a_build_does_not_overwrite_its_own_source(spark, first):
 
 def test_every_table_has_an_owner():
     assert all(k in maintenance.OWNER or "case_id" in v or k in ("respondents", "review_items") for k, v in TABLES.items())
+
+
+def test_a_first_build_keeps_its_publications_once(first):
+    import os
+
+    state = os.listdir(f"{first}/state")
+    assert "parsed" in state and "parsed_now" not in state
