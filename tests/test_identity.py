@@ -115,3 +115,14 @@ def test_stores_without_links_are_refused():
     with pytest.raises(ValueError):
         store.mounted("hdfs://host/x")
     assert store.mounted("file:///a/b%20c") == "/a/b c" and store.mounted("/a/b") == "/a/b"
+
+
+@pytest.mark.parametrize("changed", [3, 400])
+def test_rows_move_as_bytes_and_leaves_are_told_apart_only_where_few_differ(spark, changed):
+    df = spark.range(2000).select("id", F.col("id").cast("string").alias("v"))
+    after = df.withColumn("v", F.when(F.col("id") < changed, "x").otherwise(F.col("v")))
+    a = merkle.tree(df, ["id"], leaf=16)
+    out = merkle.changes(df, after, a, merkle.tree(after, like=a))
+    assert sorted((r.id, r.n_before, r.n_after, r.change) for r in out.collect()) == [(i, 1, 1, "CHANGED") for i in range(changed)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("LeftSemi" in plan) == (changed == 3) and "unhex" in plan
